@@ -1,0 +1,5 @@
+"""Intentionally empty: the warehouse is a batch pipeline.
+
+The column functions in ``tallymill.functions`` are stateless expressions, so
+they work unchanged on a streaming DataFrame; nothing here needs state.
+"""
