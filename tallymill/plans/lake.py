@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymill.operators.keys import dense_key
-from tallymill.plans import derive, gold
+from tallymill.plans import derive, gold, marts
 from tallymill.plans.tables import SILVER, kept
 
 AS_OF = date(2024, 6, 30)
@@ -132,6 +132,20 @@ class Lake:
                 return gold.agg_inventory_snapshot(s("inventory_snapshots"))
             case "agg_competitor_benchmark":
                 return gold.agg_competitor_benchmark(s("competitor_quarterly"), s("competitors"))
+            case "mart_sales":
+                return marts.sales(g("fact_sales"), s("returns"))
+            case "mart_campaign_roi":
+                return marts.campaign_roi(g("fact_pos_sales"), s("campaigns"))
+            case "mart_customer":
+                return marts.customer(g("dim_customers"), g("fact_loyalty"), g("fact_customer_experience"))
+            case "mart_supply":
+                return marts.supply(g("fact_procurement"))
+            case "mart_stock":
+                return marts.stock_health(g("agg_inventory_snapshot"), s("inventory_movements"))
+            case "mart_finance":
+                return marts.finance(g("agg_store_financials"), s("stores"))
+            case "mart_workforce":
+                return marts.workforce(g("dim_employee"), g("fact_time_attendance"), self.as_of)
         raise KeyError(name)
 
 
