@@ -158,7 +158,7 @@ def plain(df: DataFrame) -> DataFrame:
             c = c.cast("int").cast("bigint")
         elif isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
-        elif isinstance(f.dataType, (T.DateType, T.TimestampType)):
+        elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = c.cast("string")
         return c.alias(f.name)
 
