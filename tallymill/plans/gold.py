@@ -19,10 +19,10 @@ from tallymill.plans import vocab as v
 def dim_date(*dates: DataFrame) -> DataFrame:
     """Every day that occurs in any of the one-column frames, with its calendar.
 
-    Each source is reduced to its days before the union, so what is shuffled is
+    The distinct runs in each task before the one shuffle, so what is shuffled is
     bounded by the calendar, not by the facts.
     """
-    days = [d.select(F.col(d.columns[0]).cast("date").alias("date")).distinct() for d in dates]
+    days = [d.select(F.col(d.columns[0]).cast("date").alias("date")) for d in dates]
     every = reduce(DataFrame.unionAll, days).where(F.col("date").isNotNull()).distinct()
     d = F.col("date")
     weekday = F.dayofweek(d)
@@ -148,26 +148,34 @@ def cust_county(pos_transactions: DataFrame, stores: DataFrame) -> DataFrame:
 
 # --- sales facts -----------------------------------------------------------
 def one_per_id(headers: DataFrame, key: str, order_by: list[str]) -> DataFrame:
-    """The earliest header per id. With it the line join keeps the row count."""
+    """The earliest header per id."""
     rest = [c for c in headers.columns if c not in (key, *order_by)]
-    return best_per_key(
-        headers, [key], [F.col(c).asc_nulls_last() for c in order_by] + [F.col(c).asc_nulls_last() for c in rest]
+    return best_per_key(headers, [key], [F.col(c).asc_nulls_last() for c in (*order_by, *rest)])
+
+
+def pos_heads(transactions: DataFrame) -> DataFrame:
+    columns = (
+        "transaction_id", "store_id", "customer_id", "cashier_id", "payment_method",
+        "transaction_date", "transaction_time",
     )
+    return one_per_id(transactions.select(*columns), "transaction_id", ["transaction_date", "transaction_time"])
 
 
-def fact_pos_sales(lines: DataFrame, transactions: DataFrame, bridge: DataFrame) -> DataFrame:
-    heads = one_per_id(
-        transactions.select(
-            "transaction_id", "store_id", "customer_id", "cashier_id", "payment_method",
-            "transaction_date", "transaction_time",
-        ),
-        "transaction_id",
-        ["transaction_date", "transaction_time"],
+def web_heads(orders: DataFrame) -> DataFrame:
+    columns = (
+        "order_id", "customer_id", "order_date", "order_time", "delivery_address", "delivery_fee",
+        "payment_method", "order_status",
     )
+    return one_per_id(orders.select(*columns), "order_id", ["order_date", "order_time"])
+
+
+def fact_pos_sales(lines: DataFrame, heads: DataFrame, bridge: DataFrame) -> DataFrame:
+    """One row per kept till line. ``heads`` and ``bridge`` have at most one match
+    for a line (``pos_heads``, ``bridge_product``), so no line is doubled and the
+    facts are shuffled once. Pass both as written tables: the joins then see their
+    true sizes, and sit right on their shuffles, where Spark can split a hot id."""
     sold = lines.join(heads, "transaction_id", "left")
-    priced = point_in_time_join(
-        sold, bridge.drop("product_sk"), "product_id", "transaction_date"
-    )
+    priced = point_in_time_join(sold, bridge.drop("product_sk"), "product_id", "transaction_date")
     return priced.select(
         "transaction_id",
         "store_id",
@@ -193,15 +201,7 @@ def fact_pos_sales(lines: DataFrame, transactions: DataFrame, bridge: DataFrame)
     )
 
 
-def _web_sales(lines: DataFrame, orders: DataFrame, bridge: DataFrame, homes: DataFrame) -> DataFrame:
-    heads = one_per_id(
-        orders.select(
-            "order_id", "customer_id", "order_date", "order_time", "delivery_address",
-            "delivery_fee", "payment_method", "order_status",
-        ),
-        "order_id",
-        ["order_date", "order_time"],
-    )
+def _web_sales(lines: DataFrame, heads: DataFrame, bridge: DataFrame, homes: DataFrame) -> DataFrame:
     sold = lines.join(heads, "order_id", "left")
     priced = point_in_time_join(sold, bridge.drop("product_sk"), "product_id", "order_date")
     store = homes.select("customer_id", F.col("primary_store_id").alias("store_id"))
@@ -209,10 +209,10 @@ def _web_sales(lines: DataFrame, orders: DataFrame, bridge: DataFrame, homes: Da
 
 
 def ecommerce_fact_sales(
-    lines: DataFrame, orders: DataFrame, bridge: DataFrame, homes: DataFrame
+    lines: DataFrame, heads: DataFrame, bridge: DataFrame, homes: DataFrame
 ) -> DataFrame:
     """One row per web order line; the silver line key breaks ties of the new key."""
-    sold = _web_sales(lines, orders, bridge, homes).select(
+    sold = _web_sales(lines, heads, bridge, homes).select(
         F.col("order_line_key").alias("_line"),
         "order_id",
         "line_number",
@@ -240,10 +240,10 @@ def ecommerce_fact_sales(
 
 
 def fact_ecommerce_sales(
-    lines: DataFrame, orders: DataFrame, bridge: DataFrame, homes: DataFrame
+    lines: DataFrame, heads: DataFrame, bridge: DataFrame, homes: DataFrame
 ) -> DataFrame:
     """Web order lines in the columns of the till facts."""
-    return _web_sales(lines, orders, bridge, homes).select(
+    return _web_sales(lines, heads, bridge, homes).select(
         F.col("order_id").alias("transaction_id"),
         "store_id",
         "customer_id",
@@ -278,19 +278,26 @@ def with_date_id(df: DataFrame, column: str, name: str = "date_id") -> DataFrame
     return df.withColumn(name, compat.day_key(F.col(column)).cast("int"))
 
 
-def fact_returns(returns: DataFrame, bridge: DataFrame, sales: DataFrame) -> DataFrame:
-    """Return events with product version, and store and customer of the original sale."""
-    origin = (
-        sales.where(F.col("transaction_id").isNotNull())
-        .groupBy("transaction_id")
-        .agg(F.min("store_id").alias("store_id"), F.min("customer_id").alias("customer_id"))
+def sale_origins(pos: DataFrame, web: DataFrame) -> DataFrame:
+    """Store and customer of every sale, one row per id."""
+    columns = ("transaction_id", "store_id", "customer_id")
+    return pos.select(*columns).unionByName(
+        web.select(
+            F.col("order_id").alias("transaction_id"), F.lit(None).cast("string").alias("store_id"), "customer_id"
+        )
+    ).groupBy("transaction_id").agg(
+        F.min("store_id").alias("store_id"), F.min("customer_id").alias("customer_id")
     )
+
+
+def fact_returns(returns: DataFrame, bridge: DataFrame, origins: DataFrame) -> DataFrame:
+    """Return events with product version, and store and customer of the original sale."""
     dated = with_date_id(returns, "return_date")
     versioned = point_in_time_join(
         dated, bridge.select("product_id", "valid_from", "valid_to", "product_sk"), "product_id", "return_date"
     )
     return versioned.join(
-        origin, versioned["original_transaction_id"] == origin["transaction_id"], "left"
+        origins, versioned["original_transaction_id"] == origins["transaction_id"], "left"
     ).drop("transaction_id")
 
 
@@ -324,22 +331,26 @@ def fact_time_attendance(events: DataFrame, employees: DataFrame) -> DataFrame:
     return point_in_time_join(with_date_id(events, "event_date"), periods, "employee_id", "event_date")
 
 
-def fact_procurement(lines: DataFrame, orders: DataFrame, receipts: DataFrame) -> DataFrame:
-    """Purchase lines as an accumulating snapshot: ordered, expected, received.
+def po_heads(orders: DataFrame) -> DataFrame:
+    columns = ("po_number", "supplier_id", "status", "order_date", "expected_delivery_date")
+    return one_per_id(orders.select(*columns), "po_number", ["order_date", "expected_delivery_date"])
 
-    Receipts are summed per order and product before the join.
-    """
-    heads = one_per_id(
-        orders.select("po_number", "supplier_id", "status", "order_date", "expected_delivery_date"),
-        "po_number",
-        ["order_date", "expected_delivery_date"],
-    )
-    got = receipts.groupBy("po_number", "product_id").agg(
+
+def receipts_per_line(receipts: DataFrame) -> DataFrame:
+    return receipts.groupBy("po_number", "product_id").agg(
         F.min("receipt_date").alias("first_receipt_date"),
         F.max("receipt_date").alias("last_receipt_date"),
         F.sum("quantity_received").alias("quantity_received"),
     )
-    snap = lines.join(heads, "po_number", "left").join(got, ["po_number", "product_id"], "left")
+
+
+def fact_procurement(lines: DataFrame, heads: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Purchase lines as an accumulating snapshot: ordered, expected, received.
+
+    ``receipts`` are summed per order and product (``receipts_per_line``) and
+    ``heads`` unique (``po_heads``) before they meet the lines.
+    """
+    snap = lines.join(heads, "po_number", "left").join(receipts, ["po_number", "product_id"], "left")
     late = compat.days_between(F.col("expected_delivery_date"), F.col("last_receipt_date"))
     for column, name in (
         ("order_date", "order_date_id"),

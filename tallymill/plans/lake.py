@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from tallymill.operators.keys import dense_key
 from tallymill.plans import derive, gold, marts
+from tallymill.plans.silver_sales import pos_transaction_heads
 from tallymill.plans.tables import SILVER, kept
+from tallymill.session import materialise
 
 AS_OF = date(2024, 6, 30)
 STORE_BRAND, STORE_CODE = "Chain Store", "cs_"
@@ -28,6 +30,7 @@ class Lake:
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self.silver = cache(self._silver)
         self.gold = cache(self._gold)
+        self.fixed = cache(self._fixed)
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -50,6 +53,16 @@ class Lake:
         key, order = SILVER[name].surrogate
         return dense_key(self.silver(name), [F.col(c) for c in order], key)
 
+    def receipts(self) -> DataFrame:
+        """Kept till receipts without their line sums, for those who need no sum."""
+        heads = pos_transaction_heads(self.raw("pos_transactions_raw"), self.as_of)
+        return kept("pos_transactions", heads)
+
+    def _fixed(self, name: str) -> DataFrame:
+        """A gold table that others join, written and read back: the join then knows
+        its size, and Spark may broadcast it or split hot keys of the other side."""
+        return materialise(self.gold(name), name)
+
     def _gold(self, name: str) -> DataFrame:
         s, g = self.silver, self.gold
         match name:
@@ -65,11 +78,11 @@ class Lake:
                     "inventory_movements_slim": "movement_date",
                     "inventory_snapshots": "snapshot_date",
                     "loyalty_transactions": "transaction_date",
-                    "pos_transactions": "transaction_date",
                     "returns": "return_date",
                     "service_interactions": "interaction_date",
                 }
-                return gold.dim_date(*[s(t).select(c) for t, c in sources.items()])
+                days = [s(t).select(c) for t, c in sources.items()]
+                return gold.dim_date(*days, self.receipts().select("transaction_date"))
             case "dim_campaign":
                 return gold.dim_campaign(s("campaigns"))
             case "dim_customers":
@@ -89,32 +102,42 @@ class Lake:
             case "bridge_store":
                 return gold.bridge_store(g("dim_store"))
             case "cust_county":
-                return gold.cust_county(s("pos_transactions"), s("stores"))
+                return gold.cust_county(self.receipts(), s("stores"))
+            case "pos_heads":
+                return gold.pos_heads(self.receipts())
+            case "web_heads":
+                return gold.web_heads(s("ecommerce_orders"))
+            case "po_heads":
+                return gold.po_heads(s("purchase_orders"))
+            case "receipts_per_line":
+                return gold.receipts_per_line(s("goods_receipts"))
+            case "sale_origins":
+                return gold.sale_origins(self.receipts(), s("ecommerce_orders"))
             case "fact_pos_sales":
-                return gold.fact_pos_sales(s("pos_line_items"), s("pos_transactions"), g("bridge_product"))
+                return gold.fact_pos_sales(s("pos_line_items"), self.fixed("pos_heads"), self.fixed("bridge_product"))
             case "fact_ecommerce_sales":
                 return gold.fact_ecommerce_sales(
-                    s("ecommerce_order_lines"), s("ecommerce_orders"), g("bridge_product"), g("cust_county")
+                    s("ecommerce_order_lines"),
+                    self.fixed("web_heads"),
+                    self.fixed("bridge_product"),
+                    self.fixed("cust_county"),
                 )
             case "ecommerce_fact_sales":
                 return gold.ecommerce_fact_sales(
                     self.keyed("ecommerce_order_lines"),
-                    s("ecommerce_orders"),
-                    g("bridge_product"),
-                    g("cust_county"),
+                    self.fixed("web_heads"),
+                    self.fixed("bridge_product"),
+                    self.fixed("cust_county"),
                 )
             case "fact_sales":
                 return gold.fact_sales(g("fact_pos_sales"), g("fact_ecommerce_sales"))
             case "fact_returns":
-                heads = s("pos_transactions").select("transaction_id", "store_id", "customer_id").unionAll(
-                    s("ecommerce_orders").select("order_id", F.lit(None).cast("string"), "customer_id")
-                )
-                return gold.fact_returns(s("returns"), g("bridge_product"), heads)
+                return gold.fact_returns(s("returns"), self.fixed("bridge_product"), self.fixed("sale_origins"))
             case "fact_loyalty":
                 return gold.fact_loyalty(s("loyalty_transactions"))
             case "fact_inventory_movements":
                 return gold.fact_inventory_movements(
-                    s("inventory_movements"), g("bridge_product"), g("bridge_store")
+                    s("inventory_movements"), self.fixed("bridge_product"), self.fixed("bridge_store")
                 )
             case "fact_customer_experience":
                 return gold.fact_customer_experience(s("feedback"))
@@ -124,7 +147,7 @@ class Lake:
                 return gold.fact_time_attendance(s("time_tracking"), g("dim_employee"))
             case "fact_procurement":
                 return gold.fact_procurement(
-                    s("purchase_order_lines"), s("purchase_orders"), s("goods_receipts")
+                    s("purchase_order_lines"), self.fixed("po_heads"), self.fixed("receipts_per_line")
                 )
             case "agg_store_financials":
                 return gold.agg_store_financials(s("store_daily_financials"))

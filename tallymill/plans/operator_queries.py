@@ -216,7 +216,7 @@ def value_tier(lake: Lake) -> DataFrame:
 
 
 def time_of_day(lake: Lake) -> DataFrame:
-    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    stamp = F.col("ts").cast("string")
     return lake.base("events").select(
         "event_id",
         compat.clock_text(stamp).alias("event_time"),

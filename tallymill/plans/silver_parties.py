@@ -353,7 +353,7 @@ def time_tracking(raw: DataFrame) -> DataFrame:
         "event_id",
         "employee_id",
         clean.strip_dup(F.col("store_id")).alias("store_id"),
-        stamp.try_cast("timestamp").alias("event_time"),
+        stamp.try_cast("timestamp_ntz").alias("event_time"),
         clean.as_date(F.left(stamp, F.lit(10))).alias("event_date"),
         "event_type",
     )

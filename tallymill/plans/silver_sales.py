@@ -76,8 +76,8 @@ def pos_line_items(raw: DataFrame) -> DataFrame:
     )
 
 
-def pos_transactions(raw: DataFrame, line_items: DataFrame, as_of: date) -> DataFrame:
-    """Till receipts with the sum of their kept lines."""
+def pos_transaction_heads(raw: DataFrame, as_of: date) -> DataFrame:
+    """Till receipts, typed and flagged."""
     customer = F.col("customer_id")
     base = raw.where(F.col("transaction_id").isNotNull()).select(
         clean.no_blanks(F.col("transaction_id")).alias("transaction_id"),
@@ -114,20 +114,25 @@ def pos_transactions(raw: DataFrame, line_items: DataFrame, as_of: date) -> Data
             ),
         }
     )
+    return typed.drop("_method", "total_amount")
+
+
+def pos_transactions(raw: DataFrame, line_items: DataFrame, as_of: date) -> DataFrame:
+    """Till receipts with the sum of their kept lines, added up before the join."""
     lines = line_items.groupBy("transaction_id").agg(
         money.exact_sum(F.col("line_total")).cast("double").alias("line_total")
     )
-    return typed.join(lines, "transaction_id", "left").drop("_method", "total_amount")
+    return pos_transaction_heads(raw, as_of).join(lines, "transaction_id", "left")
 
 
 def ecommerce_orders(raw: DataFrame) -> DataFrame:
     """Web orders with shifted fields put back; every distinct raw row is kept."""
-    distinct = raw.dropDuplicates([c for c in raw.columns if c != "delivery_fee"])
-    stamp = F.replace(F.col("order_date"), F.lit("T"), F.lit(" ")).try_cast("timestamp")
+    distinct = raw.drop("delivery_fee").distinct()
+    stamp = F.replace(F.col("order_date"), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
     return unpack_order(distinct).select(
         F.coalesce("order_id", F.lit(v.UNKNOWN)).alias("order_id"),
         F.coalesce(stamp.cast("date"), F.lit(v.EPOCH_PLACEHOLDER).cast("date")).alias("order_date"),
-        F.coalesce(F.date_format(stamp, "HH:mm:ss"), F.lit("00:00:00")).alias("order_time"),
+        F.coalesce(F.substring(stamp.cast("string"), 12, 8), F.lit("00:00:00")).alias("order_time"),
         F.coalesce(clean.strip_dup(F.col("customer_id")), F.lit(v.UNKNOWN)).alias("customer_id"),
         F.coalesce(
             F.trim(F.replace(F.col("delivery_address"), F.lit('"'), F.lit(""))), F.lit(v.UNKNOWN)
