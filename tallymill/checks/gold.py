@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallymill.checks import silver
-from tallymill.checks.text import NOW, bands, dec
+from tallymill.checks.text import NOW, bands, dec, mean
 from tallymill.plans import vocab as v
 from tallymill.plans.lake import AS_OF
 
@@ -281,7 +281,7 @@ def mart_sales() -> str:
         select return_date[:7] as year_month, sum(cast(refund_amount as decimal(18,2))) as back from {t("returns")} group by 1
     )
     select f.year_month, n_orders, n_lines, cast(rev as double) as revenue,
-           round(cast(rev as double) / n_orders, 2) as avg_order_value, {_ratio("rev - cost", "rev")} as gross_margin,
+           {mean("rev", "n_orders")} as avg_order_value, {_ratio("rev - cost", "rev")} as gross_margin,
            {_ratio("coalesce(back, 0)", "rev")} as return_rate
     from f left join r on r.year_month = f.year_month"""
 
@@ -342,7 +342,7 @@ def mart_finance() -> str:
         from {t("store_daily_financials")} group by 1
     ), z as (select store_id, max_by(size_sqm, valid_from) as sqm from {t("stores")} group by 1)
     select store_id, cast(rev as double) as revenue, cast(net as double) as net_profit,
-           {_ratio("net", "rev")} as operating_margin, {_ratio("rev", "sqm", 2)} as revenue_per_sqm
+           {_ratio("net", "rev")} as operating_margin, {mean("rev", "sqm")} as revenue_per_sqm
     from b left join z using (store_id)"""
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tallymill.checks import silver
 from tallymill.checks.gold import calendar
-from tallymill.checks.text import NOW, bands, dec, fixed, num, raw, rules, undup, whole
+from tallymill.checks.text import NOW, bands, dec, fixed, mean, num, raw, rules, undup, whole
 from tallymill.plans import vocab as v
 
 S = silver.SQL
@@ -225,9 +225,9 @@ SQL = {
     "summary": f"""
         select count(*) as total_orders, count(distinct customer_id) as unique_customers, min(order_date) as first_order_date,
                max(order_date) as last_order_date, cast(sum({dec("amount")}) as double) as total_revenue,
-               round(cast(sum({dec("amount")}) as double) / count(*), 4) as average_order_value,
+               {mean(f"sum({dec('amount')})", "count(*)", 4)} as average_order_value,
                cast(sum({dec("delivery_fee")}) as double) as total_delivery_fees,
-               round(cast(sum({dec("delivery_fee")}) as double) / count(*), 4) as average_delivery_fee,
+               {mean(f"sum({dec('delivery_fee')})", "count(*)", 4)} as average_delivery_fee,
                min(amount) as min_order_amount, max(amount) as max_order_amount
         from ({S["ecommerce_orders"]})""",
     "topn_preview": f"""

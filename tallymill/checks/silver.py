@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallymill.checks.text import (
-    NOW, bands, dec, fixed, lit, num, parts, plain, rate, raw, recode, rules, undup, whole, words,
+    NOW, bands, dec, fixed, lit, num, parts, rate, raw, recode, rules, undup, whole, words,
 )
 from tallymill.plans import vocab as v
 from tallymill.plans.lake import STORE_BRAND, STORE_CODE

@@ -69,14 +69,7 @@ def rate(c: str) -> str:
     return f"cast({c} as decimal(6,4))"
 
 
-def plain(sql: str, **replace: str) -> str:
-    """Cast the columns of a statement: text, bigint and double only."""
-    if not replace:
-        return sql
-    casts = []
-    for kind, columns in replace.items():
-        for c in columns.split():
-            casts.append(f"cast({c} as {kind}) as {c}")
-    return f"select * replace ({', '.join(casts)}) from ({sql})"
-
-
+def mean(total: str, n: str, places: int = 2) -> str:
+    """Exact average of a decimal total, half up."""
+    units = f"(2 * cast({total} * {10**places} as hugeint) + {n}) // nullif(2 * {n}, 0)"
+    return f"cast({units} as double) / {10**places}"

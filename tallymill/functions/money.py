@@ -61,6 +61,13 @@ def exact_sum(c: Column, scale: int = 2) -> Column:
     return F.sum(c.cast(f"decimal(18,{scale})"))
 
 
+def exact_mean(total: Column, n: Column, places: int = 2) -> Column:
+    """A non-negative decimal total over a count, rounded half up without binary error."""
+    scaled_total = (total * 10**places).cast("decimal(38,0)")
+    units = F.call_function("div", scaled_total * 2 + n, F.nullif(n * 2, F.lit(0).cast("bigint")))
+    return units.cast("double") / 10**places
+
+
 def percent(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole) * 100
 

@@ -82,7 +82,7 @@ def disjoint_periods(
         grouped.withColumn("_starts", starts)
         .withColumn("_cuts", cuts)
         .select(key, changes.alias("_periods"))
-        .select(key, "_periods", F.posexplode("_periods").alias("_i", "_p"))
+        .select(key, "_periods", F.posexplode_outer("_periods").alias("_i", "_p"))
         .where(F.col("_p.won").isNotNull())
         .select(
             key,

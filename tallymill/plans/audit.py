@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.functions.money import exact_sum
+from tallymill.functions.money import exact_mean, exact_sum
 from tallymill.operators.quality import count_where, metrics, violations
 from tallymill.plans import vocab as v
 
@@ -44,9 +44,9 @@ def order_summary(orders: DataFrame) -> DataFrame:
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
         exact_sum(F.col("amount")).cast("double").alias("total_revenue"),
-        F.round(exact_sum(F.col("amount")).cast("double") / n, 4).alias("average_order_value"),
+        exact_mean(exact_sum(F.col("amount")), n, 4).alias("average_order_value"),
         exact_sum(F.col("delivery_fee")).cast("double").alias("total_delivery_fees"),
-        F.round(exact_sum(F.col("delivery_fee")).cast("double") / n, 4).alias("average_delivery_fee"),
+        exact_mean(exact_sum(F.col("delivery_fee")), n, 4).alias("average_delivery_fee"),
         F.min("amount").alias("min_order_amount"),
         F.max("amount").alias("max_order_amount"),
     )

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from tallymill.operators.keys import dense_key
 from tallymill.plans import derive, gold, marts
 from tallymill.plans.silver_sales import pos_transaction_heads
-from tallymill.plans.tables import SILVER, kept
-from tallymill.session import materialise
+from tallymill.plans.tables import SILVER
+from tallymill.session import fresh_path, materialise, spread
+from tallymill.sources.sinks import read_gated, write_gated
 
 AS_OF = date(2024, 6, 30)
 STORE_BRAND, STORE_CODE = "Chain Store", "cs_"
@@ -22,21 +23,24 @@ STORE_BRAND, STORE_CODE = "Chain Store", "cs_"
 class Lake:
     """Bronze from ``derive``, silver and gold from the table functions.
 
-    Frames stay lazy: each query runs only what it needs. A production run writes
-    every layer instead (``tallymill.plans.warehouse``).
+    As in a warehouse, raw tables and gated silver tables are written before they
+    are read: raw text is parsed once per row, and a gate's test is evaluated once
+    instead of being copied below every projection. Each query builds only the
+    tables it needs. A production run (``tallymill.plans.warehouse``) writes all.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: date = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self.raw = cache(self._raw)
         self.silver = cache(self._silver)
         self.gold = cache(self._gold)
         self.fixed = cache(self._fixed)
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
-    def raw(self, name: str) -> DataFrame:
-        return derive.raw(self.spark, self.sf_dir, name)
+    def _raw(self, name: str) -> DataFrame:
+        return materialise(derive.raw(self.spark, self.sf_dir, name), name)
 
     def flagged(self, name: str) -> DataFrame:
         """All rows of a silver table, those its gate rejects included."""
@@ -46,7 +50,13 @@ class Lake:
         return spec.make(self.as_of, *frames, **options)
 
     def _silver(self, name: str) -> DataFrame:
-        return kept(name, self.flagged(name))
+        keep = SILVER[name].keep
+        if keep is None:
+            return self.flagged(name)
+        flagged = self.flagged(name)
+        path = fresh_path(self.spark, name)
+        write_gated(flagged, keep(), path)
+        return read_gated(flagged.schema, self.spark, path)
 
     def keyed(self, name: str) -> DataFrame:
         """The kept rows with the table's surrogate key."""
@@ -56,7 +66,7 @@ class Lake:
     def receipts(self) -> DataFrame:
         """Kept till receipts without their line sums, for those who need no sum."""
         heads = pos_transaction_heads(self.raw("pos_transactions_raw"), self.as_of)
-        return kept("pos_transactions", heads)
+        return heads.where(SILVER["pos_transactions"].keep())
 
     def _fixed(self, name: str) -> DataFrame:
         """A gold table that others join, written and read back: the join then knows

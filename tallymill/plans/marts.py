@@ -47,7 +47,7 @@ def sales(facts: DataFrame, returns: DataFrame, month: str = "transaction_date")
         "n_orders",
         "n_lines",
         revenue.cast("double").alias("revenue"),
-        F.round(F.try_divide(revenue.cast("double"), F.col("n_orders")), 2).alias("avg_order_value"),
+        money.exact_mean(revenue, F.col("n_orders")).alias("avg_order_value"),
         _share(revenue - F.coalesce("_cost", F.lit(0)), revenue).alias("gross_margin"),
         _share(F.coalesce("_refunds", F.lit(0)), revenue).alias("return_rate"),
     )
@@ -143,7 +143,7 @@ def finance(daily: DataFrame, stores: DataFrame) -> DataFrame:
         revenue.alias("revenue"),
         net.alias("net_profit"),
         _share(net, revenue).alias("operating_margin"),
-        F.round(F.try_divide(revenue, F.col("size_sqm")), 2).alias("revenue_per_sqm"),
+        money.exact_mean(F.col("_sales"), F.col("size_sqm").cast("bigint")).alias("revenue_per_sqm"),
     )
 
 

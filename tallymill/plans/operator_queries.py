@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions import clean, compat, contact, money
@@ -15,7 +14,7 @@ from tallymill.plans import audit, gold
 from tallymill.plans import vocab as v
 from tallymill.plans.lake import AS_OF, Lake
 from tallymill.plans.tables import SILVER
-from tallymill.session import work_dir
+from tallymill.session import fresh_path
 from tallymill.sources import bronze, sinks
 
 EVENT_CHUNK = 100_000
@@ -531,13 +530,9 @@ def _as_text_file(lake: Lake, table: str, root: str) -> None:
     ).csv(f"{root}/{bronze.PATHS[table]}")
 
 
-def _fresh(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/tallymill/{label}-{uuid.uuid4().hex}"
-
-
 def bronze_roundtrip(lake: Lake) -> DataFrame:
     """Till lines written as text extracts, whose totals hold commas, and loaded back."""
-    root = _fresh(lake.spark, "extract")
+    root = fresh_path(lake.spark, "extract")
     _as_text_file(lake, "pos_line_items_raw", root)
     target = f"{root}/bronze"
     bronze.load_bronze(lake.spark, root, target, tables=["pos_line_items_raw"])
@@ -547,7 +542,7 @@ def bronze_roundtrip(lake: Lake) -> DataFrame:
 def gated_write(lake: Lake) -> DataFrame:
     """Kept and rejected till lines written in one pass and counted from the files."""
     flagged = lake.flagged("pos_line_items")
-    path = _fresh(lake.spark, "gated")
+    path = fresh_path(lake.spark, "gated")
     sinks.write_gated(flagged, SILVER["pos_line_items"].keep(), path)
     both = [
         sinks.read_gated(flagged.schema, lake.spark, path, side).select(F.lit(int(side)).alias("accepted"), "quality_flag")
@@ -558,7 +553,7 @@ def gated_write(lake: Lake) -> DataFrame:
 
 def load_log(lake: Lake) -> DataFrame:
     """Web orders loaded with batch columns, appended, and logged from the table."""
-    path = _fresh(lake.spark, "orders")
+    path = fresh_path(lake.spark, "orders")
     stamped = sinks.with_batch(lake.silver("ecommerce_orders"), "bronze.ecommerce_orders_raw", LOADED_AT, BATCH)
     columns = stamped.columns
     half = F.pmod(F.hash("order_id"), F.lit(2)) == 0

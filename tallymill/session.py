@@ -37,6 +37,11 @@ def work_dir(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, label: str) -> str:
+    """A path nobody else uses, in the shared folder."""
+    return f"{work_dir(spark)}/tallymill/{label}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
@@ -44,6 +49,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     sampled anew on every run) and between medallion layers. Unlike a cached
     or locally checkpointed frame, it outlives lost executors.
     """
-    path = f"{work_dir(df.sparkSession)}/tallymill/{label}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a few-split input (one row group, say) out to all cores.
+
+    Inputs that already have a split per core, as large ones do, are left alone.
+    Hashing the first column is cheaper than a round robin, which sorts first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df

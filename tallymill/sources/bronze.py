@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import types as T
 
 from tallymill.sources.schemas import PATHS, SCHEMAS
 
-STATUS_SCHEMA = "table_name string, path string, rows bigint, status string, error string"
+STATUS_SCHEMA = "table_name string, path string, rows_loaded bigint, status string, error string"
 _NEVER = "\u0001"
 
 
@@ -75,7 +74,3 @@ def load_bronze(
 
 def read_bronze(spark: SparkSession, target: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{target.rstrip('/')}/{name}")
-
-
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)

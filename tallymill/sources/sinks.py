@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LOG_SCHEMA = (
     "table_name string, rows_inserted bigint, rows_updated bigint, rows_deleted bigint, "
@@ -43,6 +44,19 @@ def replace_table(df: DataFrame, path: str, sort: list[str] | None = None) -> in
     return seen.get["rows"]
 
 
+def replace_monthly(df: DataFrame, day: str, path: str) -> int:
+    """Full refresh in one folder per month.
+
+    The rebalance hint gathers a month's rows into few files and lets Spark split
+    months that are too large for one task.
+    """
+    seen = Observation()
+    monthly = df.withColumn("month", F.date_format(day, "yyyy-MM")).hint("rebalance", "month")
+    counted = monthly.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").partitionBy("month").parquet(path)
+    return seen.get["rows"]
+
+
 def append_table(df: DataFrame, path: str, columns: list[str]) -> int:
     """Append under a fixed column list."""
     seen = Observation()
@@ -65,9 +79,10 @@ def write_gated(df: DataFrame, keep: Column, path: str) -> dict[str, int]:
     return {"kept": seen.get["kept"], "rejected": seen.get["rows"] - seen.get["kept"]}
 
 
-def read_gated(df_schema, spark, path: str, accepted: bool = True) -> DataFrame:
+def read_gated(df_schema: T.StructType, spark: SparkSession, path: str, accepted: bool = True) -> DataFrame:
     """The kept (or the rejected) partition of a gated table."""
-    both = spark.read.schema(df_schema.add("accepted", "boolean")).parquet(path)
+    schema = T.StructType([*df_schema.fields, T.StructField("accepted", T.BooleanType())])
+    both = spark.read.schema(schema).parquet(path)
     return both.where(F.col("accepted") == accepted).drop("accepted")
 
 
