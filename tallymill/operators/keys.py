@@ -9,22 +9,30 @@ from pyspark.sql import functions as F
 
 from tallymill.session import materialise
 
-_ROW = "_row_in_partition"
+_PLACE, _ROW = "_place_in_file", "_row_in_partition"
 
 
-def dense_key(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFrame:
+def dense_key(df: DataFrame, order_by: Sequence[Column], name: str, written: bool = False) -> DataFrame:
     """Number the rows 1..n along ``order_by`` without gathering them in one task.
 
     A window over the whole table runs in a single task. Here the rows are range
-    partitioned on all of ``order_by`` (end it with unique columns, so that one
-    hot leading value spreads over many partitions), numbered inside their
-    partition and written once. Row counts per partition, at most one small row
-    per written partition, then give each partition its offset. The write pins
-    the sampled range bounds: without it the two reads could see different ones.
+    partitioned, numbered inside their partition and written once. Row counts per
+    partition, at most one small row per written partition, then give each
+    partition its offset. The write pins the sampled range bounds: without it the
+    two reads could see different ones.
+
+    The input is written first, unless it is a plain scan of files (``written``).
+    Sampling then reads only the ordering columns, and a row's place in its file,
+    the same on every retry, can break ties: even a third of all rows being copies
+    of each other spread over many partitions.
     """
+    base = df if written else materialise(df, "unkeyed")
+    order = [*order_by, F.col(_PLACE)]
     placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
+        base.withColumn(_PLACE, F.monotonically_increasing_id())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop(_PLACE)
         .withColumn(_ROW, F.monotonically_increasing_id())
     )
     rows = materialise(placed, "keys")

@@ -132,6 +132,10 @@ def bridge_store(dim: DataFrame) -> DataFrame:
     return disjoint_periods(dim, "store_id", "store_key", ["store_key", "county"])
 
 
+def bridge_employee(dim: DataFrame) -> DataFrame:
+    return disjoint_periods(dim, "employee_id", "employee_sk", ["employee_sk", "department"])
+
+
 def cust_county(pos_transactions: DataFrame, stores: DataFrame) -> DataFrame:
     """Each customer's home: the store they buy at most, then the lowest store id."""
     visits = (
@@ -319,16 +323,18 @@ def fact_customer_experience(feedback: DataFrame) -> DataFrame:
     return with_date_id(feedback, "feedback_date")
 
 
-def fact_gift_card(transactions: DataFrame, cards: DataFrame) -> DataFrame:
+def card_owners(cards: DataFrame) -> DataFrame:
+    return cards.groupBy("card_number").agg(F.min("customer_id").alias("customer_id"))
+
+
+def fact_gift_card(transactions: DataFrame, owners: DataFrame) -> DataFrame:
     """Gift-card events with the customer the card was issued to."""
-    owner = cards.groupBy("card_number").agg(F.min("customer_id").alias("customer_id"))
-    return with_date_id(transactions, "date").join(owner, "card_number", "left")
+    return with_date_id(transactions, "date").join(owners, "card_number", "left")
 
 
-def fact_time_attendance(events: DataFrame, employees: DataFrame) -> DataFrame:
+def fact_time_attendance(events: DataFrame, bridge: DataFrame) -> DataFrame:
     """Clock events with the staff version of that day."""
-    periods = disjoint_periods(employees, "employee_id", "employee_sk", ["employee_sk", "department"])
-    return point_in_time_join(with_date_id(events, "event_date"), periods, "employee_id", "event_date")
+    return point_in_time_join(with_date_id(events, "event_date"), bridge, "employee_id", "event_date")
 
 
 def po_heads(orders: DataFrame) -> DataFrame:

@@ -61,7 +61,8 @@ class Lake:
     def keyed(self, name: str) -> DataFrame:
         """The kept rows with the table's surrogate key."""
         key, order = SILVER[name].surrogate
-        return dense_key(self.silver(name), [F.col(c) for c in order], key)
+        gated = SILVER[name].keep is not None
+        return dense_key(self.silver(name), [F.col(c) for c in order], key, written=gated)
 
     def receipts(self) -> DataFrame:
         """Kept till receipts without their line sums, for those who need no sum."""
@@ -111,6 +112,10 @@ class Lake:
                 return gold.bridge_product(g("dim_product"))
             case "bridge_store":
                 return gold.bridge_store(g("dim_store"))
+            case "bridge_employee":
+                return gold.bridge_employee(g("dim_employee"))
+            case "card_owners":
+                return gold.card_owners(s("gift_cards"))
             case "cust_county":
                 return gold.cust_county(self.receipts(), s("stores"))
             case "pos_heads":
@@ -152,9 +157,9 @@ class Lake:
             case "fact_customer_experience":
                 return gold.fact_customer_experience(s("feedback"))
             case "fact_gift_card":
-                return gold.fact_gift_card(s("gift_card_transactions"), s("gift_cards"))
+                return gold.fact_gift_card(s("gift_card_transactions"), self.fixed("card_owners"))
             case "fact_time_attendance":
-                return gold.fact_time_attendance(s("time_tracking"), g("dim_employee"))
+                return gold.fact_time_attendance(s("time_tracking"), self.fixed("bridge_employee"))
             case "fact_procurement":
                 return gold.fact_procurement(
                     s("purchase_order_lines"), self.fixed("po_heads"), self.fixed("receipts_per_line")

@@ -16,7 +16,7 @@ from tallymill.sources import bronze, sinks
 # in the order they depend on each other
 GOLD = (
     "dim_date", "dim_campaign", "dim_customers", "dim_employee", "dim_store", "dim_supplier", "dim_product",
-    "dim_geography_economic", "bridge_product", "bridge_store", "cust_county", "pos_heads", "web_heads", "po_heads",
+    "dim_geography_economic", "bridge_product", "bridge_store", "bridge_employee", "card_owners", "cust_county", "pos_heads", "web_heads", "po_heads",
     "receipts_per_line", "sale_origins", "fact_pos_sales", "fact_ecommerce_sales", "fact_sales",
     "ecommerce_fact_sales", "fact_returns", "fact_loyalty", "fact_inventory_movements",
     "fact_customer_experience", "fact_gift_card", "fact_time_attendance", "fact_procurement",
@@ -80,7 +80,7 @@ class Warehouse(Lake):
             ready = sinks.read_gated(flagged.schema, self.spark, gated)
         if spec.surrogate is not None:
             key, order = spec.surrogate
-            ready = dense_key(ready, [F.col(c) for c in order], key)
+            ready = dense_key(ready, [F.col(c) for c in order], key, written=spec.keep is not None)
         stamped = sinks.with_audit(ready, f"silver.{name}", self.as_of)
         counts["rows"] = sinks.replace_table(stamped, self.path("silver", name))
         return counts

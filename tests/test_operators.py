@@ -107,6 +107,20 @@ def test_dense_key_numbers_along_the_order(ledger):
     assert [r["sk"] for r in ordered] == list(range(1, 3001))
 
 
+def test_dense_key_spreads_copies(spark):
+    """Two thirds of the rows are copies of one row, and still fill many partitions."""
+    data = [("copy", 1)] * 4000 + [(f"k{i:04d}", i) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, v int").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    keyed = dense_key(df, [F.col("k"), F.col("v")], "sk")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = keyed.collect()
+    assert sorted(r["sk"] for r in got) == list(range(1, 6001))
+    assert {r["sk"] for r in got if r["k"] == "copy"} == set(range(1, 4001))
+    holding = [f for f in keyed.inputFiles() if not spark.read.parquet(f).where("k = 'copy'").isEmpty()]
+    assert len(holding) > 1
+
+
 DAY = date(2020, 1, 1)
 
 
