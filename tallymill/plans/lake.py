@@ -13,8 +13,7 @@ from tallymill.operators.keys import dense_key
 from tallymill.plans import derive, gold, marts
 from tallymill.plans.silver_sales import pos_transaction_heads
 from tallymill.plans.tables import SILVER
-from tallymill.session import fresh_path, materialise, spread
-from tallymill.sources.sinks import read_gated, write_gated
+from tallymill.session import materialise, spread
 
 AS_OF = date(2024, 6, 30)
 STORE_BRAND, STORE_CODE = "Chain Store", "cs_"
@@ -23,9 +22,8 @@ STORE_BRAND, STORE_CODE = "Chain Store", "cs_"
 class Lake:
     """Bronze from ``derive``, silver and gold from the table functions.
 
-    As in a warehouse, raw tables and gated silver tables are written before they
-    are read: raw text is parsed once per row, and a gate's test is evaluated once
-    instead of being copied below every projection. Each query builds only the
+    As in a warehouse, raw tables are written before they are read, and so are the
+    gold tables that facts join. Silver stays lazy, and each query builds only the
     tables it needs. A production run (``tallymill.plans.warehouse``) writes all.
     """
 
@@ -51,18 +49,13 @@ class Lake:
 
     def _silver(self, name: str) -> DataFrame:
         keep = SILVER[name].keep
-        if keep is None:
-            return self.flagged(name)
         flagged = self.flagged(name)
-        path = fresh_path(self.spark, name)
-        write_gated(flagged, keep(), path)
-        return read_gated(flagged.schema, self.spark, path)
+        return flagged if keep is None else flagged.where(keep())
 
     def keyed(self, name: str) -> DataFrame:
         """The kept rows with the table's surrogate key."""
         key, order = SILVER[name].surrogate
-        gated = SILVER[name].keep is not None
-        return dense_key(self.silver(name), [F.col(c) for c in order], key, written=gated)
+        return dense_key(self.silver(name), [F.col(c) for c in order], key)
 
     def receipts(self) -> DataFrame:
         """Kept till receipts without their line sums, for those who need no sum."""

@@ -143,9 +143,3 @@ SILVER: dict[str, Silver] = {
     "stores": Silver(parties.stores, ("stores_raw",), dated=True),
     "suppliers": Silver(parties.suppliers, ("suppliers_raw",), dated=True),
 }
-
-
-def kept(name: str, flagged: DataFrame) -> DataFrame:
-    """The rows of a flagged frame that the table's gate lets through."""
-    keep = SILVER[name].keep
-    return flagged if keep is None else flagged.where(F.coalesce(keep(), F.lit(False)))
