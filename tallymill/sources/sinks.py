@@ -14,13 +14,18 @@ LOG_SCHEMA = (
 )
 
 
+def _clock(at: datetime) -> Column:
+    """A wall-clock time that no session time zone moves."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def with_audit(df: DataFrame, source: str, as_of: date) -> DataFrame:
     return df.withColumns({"etl_load_date": F.lit(as_of), "etl_source": F.lit(source)})
 
 
 def with_batch(df: DataFrame, source: str, loaded_at: datetime, batch_id: str) -> DataFrame:
     """Creation, modification and load dates, source system and batch."""
-    at = F.lit(loaded_at)
+    at = _clock(loaded_at)
     return df.withColumns(
         {
             "created_date": at,
@@ -100,7 +105,7 @@ def load_log_line(df: DataFrame, table: str, batch_id: str, at: datetime) -> Dat
     return mine.agg(F.count(F.lit(1)).alias("rows_inserted")).select(
         F.lit(table).alias("table_name"),
         "rows_inserted",
-        F.lit(at).alias("load_date"),
+        _clock(at).alias("load_date"),
         F.lit(batch_id).alias("batch_id"),
         F.lit("SUCCESS").alias("status"),
     )
