@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.llm.common import per_batch, texts
+from tallymill.session import materialise
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -80,6 +81,7 @@ def learn(
         .groupBy("lang", "item")
         .agg(F.count("*").alias("n"))
     )
+    words = materialise(words, "language-words")  # read twelve times below
 
     def commonest(counts: DataFrame, most: int) -> list:
         top = counts.groupBy("item").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "item").limit(most)

@@ -6,12 +6,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, html, language, mixing, pii, tokens
+from tallymill.llm import ann, bpe, chat, html, language, lattice, minhash, mixing, pii, tokens
 from tallymill.llm.common import table
 
 MIX = {"share_percent": 60, "epochs": 2, "weights": {"mix_lang": {"en": 2.0}}, "seed": 17}
 
 
+def near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.echo_pairs(table(spark, sf_dir, "conversations"))
+
+
+def near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identify(docs, language.learn(language.training_part(docs)))
@@ -51,13 +67,19 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_near_embeddings": near_embeddings,
     "op2_personal_data": personal_data,
+    "op3_nearest_neighbours": nearest_neighbours,
     "op4_language_id": language_id,
     "op5_token_counts": token_counts,
     "op6_bpe_round_trip": bpe_round_trip,
+    "op7_preference_pairs": preference_pairs,
     "op8_source_mix": source_mix,
     "op9_main_texts": main_texts,
+    "op10_near_documents": near_documents,
 }
 SQL = {
+    "op1_near_embeddings": lattice.SQL,
+    "op7_preference_pairs": chat.ECHO_SQL,
     "op8_source_mix": mixing.mix_sql(**MIX),
 }
