@@ -265,8 +265,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
 #: DuckDB: links from all pairs, components by walking the links.
 SQL = """
 with recursive v as (select vec_id, min(embedding::double[]) as e from embeddings where vec_id is not null
-    and embedding is not null and len(embedding) = len(list_filter(embedding, x -> isfinite(x)))
-    and len(list_filter(embedding, x -> x <> 0)) > 0 group by vec_id),
+    and embedding is not null and len(embedding) = len([x for x in embedding if isfinite(x)])
+    and len([x for x in embedding if x <> 0]) > 0 group by vec_id),
 links as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
     where list_cosine_similarity(a.e, b.e) >= 0.95),
 reach as (select vec_id as a, vec_id as b from v union select reach.a, links.b from reach join links on reach.b = links.a),
