@@ -60,7 +60,7 @@ def dim_customers() -> str:
 def dim_employee() -> str:
     return f"""
     select row_number() over (order by employee_id, valid_from, valid_to) as employee_sk,
-           * replace (coalesce(left(store_id, 9), 'HQ') as store_id)
+           * replace (coalesce(store_id, 'HQ') as store_id)
     from {t("hr")}"""
 
 

@@ -158,9 +158,14 @@ SQL = {
                cast(abs(coalesce(try_cast(if(len(f) < 4, f[-1], null) as decimal(18,2)), 0)) as double) as amount
         from s""",
     "split_rows": f"""
-        select order_id, order_date, total_amount, trim(f[1]) as piece_1, trim(f[2]) as piece_2, trim(f[3]) as piece_3
-        from (select distinct order_id, order_date, total_amount, string_split(total_amount, ',') as f
-              from {raw("ecommerce_orders_raw")} where total_amount is not null)""",
+        select order_id, order_date, total_amount, coalesce(len(f), 0) as n_pieces,
+               trim(f[1]) as piece_1, trim(f[2]) as piece_2, trim(f[3]) as piece_3,
+               coalesce(array_to_string([trim(x) for x in f[4:]], ','), '') as further
+        from (select *, string_split(total_amount, ',') as f from (select distinct * from {raw("ecommerce_orders_raw")}))""",
+    "hash_impute": f"""
+        select c_custkey, cast(date '{v.IMPUTE_FROM}' + cast(('0x' || left(md5(cast(c_custkey as varchar)), 12))::bigint
+               % (date '{v.IMPUTE_TO}' - date '{v.IMPUTE_FROM}' + 1) as int) as varchar) as birth_date
+        from customer""",
     "campaign_prefix": f"""
         select campaign_id, count(*) as n, cast(sum(cast(line_total as decimal(18,2))) as double) as amount
         from ({S["pos_line_items"]}) group by 1""",

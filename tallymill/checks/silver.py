@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from tallymill.checks.text import (
-    NOW, bands, dec, fixed, lit, num, parts, rate, raw, recode, rules, undup, whole, words,
+    NOW, bands, dec, fixed, lit, num, parts, rate, raw, recode, rules, undup, unread, whole, words,
 )
+from tallymill.functions.clean import UNREADABLE
 from tallymill.plans import vocab as v
 from tallymill.plans.lake import STORE_BRAND, STORE_CODE
 
@@ -16,9 +17,13 @@ _LINE_AMOUNTS = (
 )
 
 
+_bare = "replace(regexp_replace(t, '^CMP[^,]*', ''), ',', '')"
+
+
 def _line_flag(total: str, extra: list[tuple[str, str]]) -> str:
     return rules(
         [
+            (UNREADABLE, "lost"),
             ("Invalid quantity", "q <= 0"),
             ("Invalid unit price", "p <= 0"),
             ("Invalid discount rate", "d not between 0 and 1"),
@@ -34,12 +39,13 @@ def flagged_pos_lines() -> str:
     with a as (
         select replace(transaction_id, ' ', '') as transaction_id, {whole("line_number")} as line_number,
                {undup("product_id")} as product_id, abs({whole("quantity")}) as q,
-               round(abs({num("unit_price")}), 2) as p, abs({num("discount_rate")}) as d,
-               replace(line_total, ',', '') as t
+               round(abs({num("unit_price")}), 2) as p, abs({num("discount_rate")}) as d, line_total as t,
+               {unread(("quantity", whole("quantity")), ("unit_price", dec(num("unit_price"))),
+                       ("discount_rate", num("discount_rate")))} as gone
         from {raw("pos_line_items_raw")} where transaction_id <> '' and product_id is not null
     ), b as (
-        select * exclude (t), regexp_extract(t, '^(CMP.....)', 1) as camp,
-               abs({num("regexp_replace(t, '^CMP.....', '')")}) as line_total
+        select * exclude (t, gone), regexp_extract(t, '^(CMP[^,]*)', 1) as camp,
+               abs({num(_bare)}) as line_total, gone or {unread((_bare, dec(num(_bare))))} as lost
         from a
     )
     select transaction_id, line_number, product_id, q as quantity, p as unit_price_kes, d as discount_rate,
@@ -49,7 +55,8 @@ def flagged_pos_lines() -> str:
            case split_part(transaction_id, '-', 1) when 'TXN' then 'POS' else split_part(transaction_id, '-', 1) end
              as transaction_source,
            {_line_flag("line_total", [
-               ("Line total mismatch", f"abs(cast({expect} as decimal(20,4)) - cast(line_total as decimal(20,4))) > 0.01"),
+               ("Line total mismatch",
+                f"abs(try_cast({expect} as decimal(20,4)) - try_cast(line_total as decimal(20,4))) > 0.01"),
            ])} as quality_flag
     from b"""
 
@@ -65,6 +72,8 @@ def pos_transactions() -> str:
                coalesce({undup("customer_id")}, '{v.WALK_IN}') as customer_id, {undup("cashier_id")} as cashier_id,
                try_cast(substr(transaction_date, 1, 10) as date) as dt, substr(transaction_date, 12, 8) as tm,
                payment_method as pm, {num("total_amount")} as amt,
+               {unread(("transaction_date", "try_cast(substr(transaction_date, 1, 10) as date)"),
+                       ("total_amount", dec(num("total_amount"))))} as lost,
                case when customer_id is null then 'Walk-in (Unknown)'
                     when customer_id like '%-DUP%' then 'Registered (Needs merge)'
                     else 'Registered Customer' end as customer_type
@@ -74,6 +83,7 @@ def pos_transactions() -> str:
         from ({pos_line_items()}) group by transaction_id
     ), f as (
         select a.*, cast(substr(tm, 1, 2) as bigint) as hr, l.line_total, {rules([
+            (UNREADABLE, "lost"),
             ("Future date - Invalid", f"dt > {NOW}"),
             ("Suspicious old date", f"dt < {_OLD}"),
             ("Invalid amount", "amt <= 0"),
@@ -86,7 +96,7 @@ def pos_transactions() -> str:
            {bands("amt", v.TRANSACTION_TIERS)} as transaction_tier, {bands("hr", v.DAY_TIMES)} as time_of_day,
            {parts("dt", "transaction")}, hr as transaction_hour, dayofweek(dt) + 1 as transaction_weekday_num,
            dayname(dt) as transaction_weekday, quality_flag, line_total
-    from f where quality_flag <> 'Future date - Invalid'"""
+    from f where quality_flag not in ('Future date - Invalid', '{UNREADABLE}')"""
 
 
 def ecommerce_orders() -> str:
@@ -120,7 +130,9 @@ def flagged_web_lines() -> str:
     with a as (
         select order_id, {whole("line_number")} as line_number, {undup("product_id")} as product_id,
                {whole("quantity")} as q, abs(round({num("unit_price")}, 2)) as p, abs({num("discount_rate")}) as d,
-               abs(round({num("line_total")}, 2)) as line_total_kes
+               abs(round({num("line_total")}, 2)) as line_total_kes,
+               {unread(("quantity", whole("quantity")), ("unit_price", dec(num("unit_price"))),
+                       ("discount_rate", num("discount_rate")), ("line_total", dec(num("line_total"))))} as lost
         from {raw("ecommerce_order_lines_raw")} where order_id is not null and product_id is not null
     )
     select order_id, line_number, product_id, q as quantity, p as unit_price_kes, d as discount_rate, line_total_kes,
@@ -230,7 +242,7 @@ def stores() -> str:
     )
     select row_number() over w as store_key, store_id, cast(vf as varchar) as valid_from,
            cast(vt as varchar) as valid_to, store_name, county,
-           substr(store_name, {len(STORE_CODE) + 1}, 20) as town, coalesce(format, lag(format) over w) as format,
+           substr(store_name, {len(STORE_CODE) + 1}) as town, coalesce(format, lag(format) over w) as format,
            size_sqm, opening_date, closing_date, is_active
     from t window w as (order by store_id, vf, vt, store_name)"""
 
@@ -316,7 +328,7 @@ def competitor_quarterly() -> str:
     return f"""
     with t as (
         select competitor_id, quarter, {whole("split_part(market_share_pct, ',', 1)")} as revenue_kes,
-               {num("left(split_part(market_share_pct, ',', 2), 4)")} as market_share_pct
+               {num("split_part(market_share_pct, ',', 2)")} as market_share_pct
         from {raw("competitor_quarterly_raw")}
     )
     select row_number() over (order by quarter, competitor_id, revenue_kes, market_share_pct) as comp_qtr_key, * from t"""
@@ -468,7 +480,9 @@ def purchase_order_lines() -> str:
     return f"""
     with a as (
         select po_number, {whole("line_number")} as line_number, {undup("product_id")} as product_id,
-               {whole("quantity_ordered")} as q, {num("unit_price")} as p, {num("line_total")} as t
+               {whole("quantity_ordered")} as q, {num("unit_price")} as p, {num("line_total")} as t,
+               {unread(("quantity_ordered", whole("quantity_ordered")), ("unit_price", dec(num("unit_price"))),
+                       ("line_total", dec(num("line_total"))))} as lost
         from {raw("purchase_order_lines_raw")}
         where po_number not like '%DUP' and product_id is not null
     )
@@ -479,8 +493,8 @@ def purchase_order_lines() -> str:
            {scaled("1.10")} as landed_cost_kes, {scaled("0.16")} as estimated_vat_kes, left(po_number, 2) as po_prefix,
            {whole("right(po_number, 8)")} as po_sequence_number,
            {rules([
-               ("Invalid quantity", "q <= 0"), ("Invalid unit price", "p <= 0"), ("Invalid line total", "t <= 0"),
-               ("Line total mismatch", f"{dec('p')} * q <> {dec('t')}"),
+               (UNREADABLE, "lost"), ("Invalid quantity", "q <= 0"), ("Invalid unit price", "p <= 0"),
+               ("Invalid line total", "t <= 0"), ("Line total mismatch", f"{dec('p')} * q <> {dec('t')}"),
            ])} as quality_flag
     from a"""
 

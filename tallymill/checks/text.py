@@ -62,11 +62,17 @@ def parts(d: str, p: str) -> str:
 
 
 def dec(c: str, scale: int = 2) -> str:
-    return f"cast({c} as decimal(14,{scale}))"
+    return f"try_cast({c} as decimal(14,{scale}))"
 
 
 def rate(c: str) -> str:
-    return f"cast({c} as decimal(6,4))"
+    return f"try_cast({c} as decimal(6,4))"
+
+
+def unread(*pairs: tuple[str, str]) -> str:
+    """Text whose typed value is missing or NaN."""
+    lost = (f"({raw} <> '' and ({typed} is null or cast({typed} as varchar) = 'nan'))" for raw, typed in pairs)
+    return " or ".join(f"coalesce({x}, false)" for x in lost)
 
 
 def mean(total: str, n: str, places: int = 2) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 BAD_DATE = "2023-13-45"
 DUP_MARK = "-DUP"
 VALID = "Valid"
+UNREADABLE = "Unreadable value"
 
 
 # --- casts -----------------------------------------------------------------
@@ -137,6 +138,15 @@ def first_failing(rules: Sequence[tuple[str, Column]], ok: str = VALID) -> Colum
     return out.otherwise(F.lit(ok))
 
 
+def unreadable(*pairs: tuple[Column, Column]) -> Column:
+    """Is any text there that its type cannot hold? Pairs of raw text and typed value; NaN holds nothing."""
+    out = F.lit(False)
+    for raw, typed in pairs:
+        lost = typed.isNull() | (typed.cast("string") == "NaN")
+        out = out | (F.coalesce(raw != "", F.lit(False)) & lost)
+    return out
+
+
 def yes_no(cond: Column) -> Column:
     return F.when(cond, F.lit("yes")).otherwise(F.lit("no"))
 
@@ -152,9 +162,10 @@ def comma_count(c: Column) -> Column:
 
 
 def imputed_date(key: Column, start: str, end: str) -> Column:
-    """A repeatable date in [start, end], spread by a hash of ``key``."""
+    """A repeatable date in [start, end], spread by the first 48 bits of ``key``'s digest."""
     span = F.date_diff(F.lit(end).cast("date"), F.lit(start).cast("date")) + 1
-    return F.date_add(F.lit(start).cast("date"), F.pmod(F.xxhash64(key), span).cast("int"))
+    number = F.conv(F.left(F.md5(key.cast("string")), F.lit(12)), 16, 10).cast("bigint")
+    return F.date_add(F.lit(start).cast("date"), (number % span).cast("int"))
 
 
 def parity_choice(odd: str, even: str, *names: Column) -> Column:

@@ -11,12 +11,17 @@ VAT_RATE = "0.16"
 LINE_TOLERANCE = 0.01
 
 
-def _amount(c: Column) -> Column:
-    return c.cast("decimal(14,2)")
+def amount(c: Column) -> Column:
+    """Exact money; NULL for what no amount of the books can be."""
+    return c.try_cast("decimal(14,2)")
 
 
 def _rate(c: Column) -> Column:
-    return c.cast("decimal(6,4)")
+    return c.try_cast("decimal(6,4)")
+
+
+def _units(c: Column) -> Column:
+    return c.try_cast("decimal(10,0)")
 
 
 def cents(c: Column) -> Column:
@@ -24,36 +29,36 @@ def cents(c: Column) -> Column:
 
 
 def line_total(qty: Column, price: Column, rate: Column) -> Column:
-    return cents(_amount(price) * (F.lit(1) - _rate(rate)) * qty.cast("decimal(10,0)"))
+    return cents(amount(price) * (F.lit(1) - _rate(rate)) * _units(qty))
 
 
 def line_discount(qty: Column, price: Column, rate: Column) -> Column:
-    return cents(_amount(price) * _rate(rate) * qty.cast("decimal(10,0)"))
+    return cents(amount(price) * _rate(rate) * _units(qty))
 
 
 def net_price(price: Column, rate: Column) -> Column:
-    return cents(_amount(price) * (F.lit(1) - _rate(rate)))
+    return cents(amount(price) * (F.lit(1) - _rate(rate)))
 
 
 def extended(qty: Column, price: Column) -> Column:
-    return cents(price.cast("decimal(16,4)") * qty.cast("decimal(14,4)"))
+    return cents(price.try_cast("decimal(16,4)") * qty.try_cast("decimal(14,4)"))
 
 
-def scaled(amount: Column, factor: str) -> Column:
-    return cents(_amount(amount) * F.lit(factor).cast("decimal(6,4)"))
+def scaled(value: Column, factor: str) -> Column:
+    return cents(amount(value) * F.lit(factor).cast("decimal(6,4)"))
 
 
-def landed_cost(amount: Column) -> Column:
-    return scaled(amount, LANDED_FACTOR)
+def landed_cost(value: Column) -> Column:
+    return scaled(value, LANDED_FACTOR)
 
 
-def vat(amount: Column) -> Column:
-    return scaled(amount, VAT_RATE)
+def vat(value: Column) -> Column:
+    return scaled(value, VAT_RATE)
 
 
-def unit_price(amount: Column, qty: Column) -> Column:
+def unit_price(value: Column, qty: Column) -> Column:
     """Price per unit, NULL for a zero quantity."""
-    return cents(F.try_divide(_amount(amount), qty.cast("decimal(10,0)")))
+    return cents(F.try_divide(amount(value), _units(qty)))
 
 
 def exact_sum(c: Column, scale: int = 2) -> Column:
@@ -76,6 +81,6 @@ def real_index(index: Column, inflation: Column) -> Column:
     return F.round(index * F.try_divide(F.lit(100.0), inflation + 100), 2)
 
 
-def signed(amount: Column, positive: Column, negative: Column, otherwise: Column) -> Column:
-    """``amount`` where ``positive``, its opposite where ``negative``."""
-    return F.when(positive, amount).when(negative, -amount).otherwise(otherwise)
+def signed(value: Column, positive: Column, negative: Column, otherwise: Column) -> Column:
+    """``value`` where ``positive``, its opposite where ``negative``."""
+    return F.when(positive, value).when(negative, -value).otherwise(otherwise)

@@ -53,10 +53,3 @@ def dense_key(df: DataFrame, order_by: Sequence[Column], name: str, written: boo
             *[F.col(c) for c in df.columns],
         )
     )
-
-
-def small_key(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFrame:
-    """``dense_key`` for tables with a physical size limit (stores, counties,
-    campaigns): one window, one task, no write."""
-    number = F.row_number().over(Window.orderBy(*order_by)).cast("long")
-    return df.select(number.alias(name), *[F.col(c) for c in df.columns])

@@ -61,7 +61,10 @@ def shift_gift_card(df: DataFrame) -> DataFrame:
 
 
 def split_rows(df: DataFrame, column: str, position: str = "position", value: str = "value") -> DataFrame:
-    """One row per comma-separated piece, with its place counted from 1."""
-    return df.select("*", F.posexplode(F.split(column, ",")).alias("_pos", value)).select(
+    """One row per comma-separated piece, with its place counted from 1.
+
+    A NULL field has no pieces; its row stays, once, with NULL place and piece.
+    """
+    return df.select("*", F.posexplode_outer(F.split(column, ",")).alias("_pos", value)).select(
         *df.columns, (F.col("_pos") + 1).cast("long").alias(position), value
     )

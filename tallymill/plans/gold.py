@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions import clean, compat, money
-from tallymill.operators.keys import dense_key, small_key
+from tallymill.operators.keys import dense_key
 from tallymill.operators.versions import disjoint_periods, point_in_time_join
 from tallymill.operators.windows import best_per_key, latest_per_key
 from tallymill.plans import vocab as v
@@ -53,7 +53,7 @@ def dim_campaign(campaigns: DataFrame) -> DataFrame:
         "budget_utilisation_pct",
         money.percent(F.col("actual_spend_kes").cast("double"), F.col("budget_kes")),
     )
-    return small_key(spent, [F.col("campaign_id"), F.col("start_date"), F.col("campaign_name")], "campaign_sk")
+    return dense_key(spent, [F.col("campaign_id"), F.col("start_date"), F.col("campaign_name")], "campaign_sk")
 
 
 def dim_customers(crm: DataFrame, as_of: date) -> DataFrame:
@@ -71,7 +71,7 @@ def dim_customers(crm: DataFrame, as_of: date) -> DataFrame:
 def dim_employee(hr: DataFrame) -> DataFrame:
     """Staff versions; those without a store belong to headquarters."""
     placed = hr.withColumn(
-        "store_id", F.when(F.col("store_id").isNull(), F.lit("HQ")).otherwise(F.substring("store_id", 1, 9))
+        "store_id", F.coalesce("store_id", F.lit("HQ"))
     )
     return dense_key(placed, [F.col("employee_id"), F.col("valid_from"), F.col("valid_to")], "employee_sk")
 
@@ -108,7 +108,7 @@ def dim_geography_economic(counties: DataFrame, economic: DataFrame) -> DataFram
     ]
     latest = latest_per_key(economic.select("county", "date", *measures), ["county"], "date")
     joined = counties.join(latest.withColumnRenamed("date", "economic_as_of_date"), "county", "left")
-    return small_key(
+    return dense_key(
         joined.select(
             "county",
             "population",

@@ -14,7 +14,7 @@ from tallymill.plans import audit, gold
 from tallymill.plans import vocab as v
 from tallymill.plans.lake import AS_OF, Lake
 from tallymill.plans.tables import SILVER
-from tallymill.session import fresh_path
+from tallymill.session import fresh_path, materialise
 from tallymill.sources import bronze, sinks
 
 EVENT_CHUNK = 100_000
@@ -104,7 +104,8 @@ def asof_line_cost(lake: Lake) -> DataFrame:
 
 def asof_line_cost_ranked(lake: Lake) -> DataFrame:
     """The same by ranking overlapping matches per line."""
-    numbered = _dated_lines(lake).withColumn("_line", F.monotonically_increasing_id())
+    # written, so that a retried stage sees the same numbers
+    numbered = materialise(_dated_lines(lake).withColumn("_line", F.monotonically_increasing_id()), "lines")
     return versions.point_in_time_guarded(
         numbered, _overlapping(lake), "l_partkey", "order_date", ["_line"], "version_no"
     ).drop("_line")
@@ -356,10 +357,18 @@ def shifted_repair(lake: Lake) -> DataFrame:
 
 def split_rows(lake: Lake) -> DataFrame:
     """Packed totals as rows, and their pieces gathered back by position."""
-    packed = lake.raw("ecommerce_orders_raw").dropDuplicates().select("order_id", "order_date", "total_amount")
-    rows = repair.split_rows(packed, "total_amount")
-    return rows.groupBy("order_id", "order_date", "total_amount").agg(
-        *[F.max(F.when(F.col("position") == i, F.trim("value"))).alias(f"piece_{i}") for i in (1, 2, 3)]
+    packed = lake.raw("ecommerce_orders_raw").dropDuplicates()
+    rows = repair.split_rows(packed, "total_amount").withColumn("value", F.trim("value"))
+    pieces = F.sort_array(F.collect_list(F.struct("position", "value"))).alias("pieces")
+    gathered = rows.groupBy(*packed.columns).agg(pieces)
+    values = F.filter(F.transform("pieces", lambda p: p["value"]), lambda x: x.isNotNull())
+    return gathered.withColumn("values", values).select(
+        "order_id",
+        "order_date",
+        "total_amount",
+        F.size("values").cast("bigint").alias("n_pieces"),
+        *[F.get("values", F.lit(i - 1)).alias(f"piece_{i}") for i in (1, 2, 3)],
+        F.array_join(F.filter("values", lambda _, i: i > 2), ",").alias("further"),
     )
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions import clean, compat, contact
-from tallymill.operators.keys import small_key
+from tallymill.operators.keys import dense_key
 from tallymill.operators.versions import open_first_version
-from tallymill.operators.windows import best_per_key
+from tallymill.operators.windows import best_per_key, lag_fill
 from tallymill.plans import vocab as v
 
 
@@ -112,18 +112,17 @@ def stores(raw: DataFrame, as_of: date, brand: str = "", brand_code: str = "") -
         clean.open_end(fixed("valid_to"), as_of).alias("valid_to"),
         name.alias("store_name"),
         "county",
-        F.substring(name, len(brand_code) + 1, 20).alias("town"),
+        F.substr(name, F.lit(len(brand_code) + 1)).alias("town"),
         "format",
         clean.as_int(F.col("size_sqm")).alias("size_sqm"),
         fixed("opening_date").alias("opening_date"),
         clean.open_end(fixed("closing_date"), as_of).alias("closing_date"),
         clean.yes_no(F.col("is_active") == "TRUE").alias("is_active"),
     )
-    # a chain's stores fit one task; the fill looks at the store row before
     order = [F.col("store_id"), F.col("valid_from"), F.col("valid_to"), F.col("store_name")]
-    keyed = small_key(typed, order, "store_key")
-    before = F.lag("format").over(Window.orderBy("store_key"))
-    return keyed.withColumn("format", F.coalesce("format", before))
+    keyed = dense_key(typed, order, "store_key")
+    # the fill looks at the store row before
+    return lag_fill(keyed, "format", [F.col("store_key")], [F.floor(F.col("store_key") / 100_000)])
 
 
 def products(raw: DataFrame, as_of: date) -> DataFrame:
@@ -266,11 +265,10 @@ def competitor_quarterly(raw: DataFrame) -> DataFrame:
         "competitor_id",
         "quarter",
         clean.as_long(clean.packed(packed, 0, 2)).alias("revenue_kes"),
-        clean.as_float(F.left(clean.packed(packed, 1, 2), F.lit(4))).alias("market_share_pct"),
+        clean.as_float(clean.packed(packed, 1, 2)).alias("market_share_pct"),
     )
-    # a row per rival and quarter
     order = [F.col("quarter"), F.col("competitor_id"), F.col("revenue_kes"), F.col("market_share_pct")]
-    return small_key(typed, order, "comp_qtr_key")
+    return dense_key(typed, order, "comp_qtr_key")
 
 
 def competitor_stores(raw: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from tallymill.plans import vocab as v
 def _line_rules(total: str, extra: list) -> list:
     q, p, d = F.col("quantity"), F.col("unit_price_kes"), F.col("discount_rate")
     return [
+        (clean.UNREADABLE, F.col("_unread")),
         ("Invalid quantity", q <= 0),
         ("Invalid unit price", p <= 0),
         ("Invalid discount rate", ~d.between(0, 1)),
@@ -30,23 +31,31 @@ def _line_rules(total: str, extra: list) -> list:
 
 def pos_line_items(raw: DataFrame) -> DataFrame:
     """Till lines: blanks out of ids, campaign prefix off the total, signs dropped."""
-    total = F.replace(F.col("line_total"), F.lit(","), F.lit(""))
+    total = F.col("line_total")
     has_campaign = total.startswith(v.CAMPAIGN_PREFIX)
-    amount = F.when(has_campaign, F.substr(total, F.lit(v.CAMPAIGN_ID_LENGTH + 1))).otherwise(total)
+    amount = F.when(has_campaign, compat.text_after(total, ",")).otherwise(total)
+    amount = F.trim(F.replace(amount, F.lit(","), F.lit("")))
+    qty, price, rate = F.col("quantity"), F.col("unit_price"), F.col("discount_rate")
     base = raw.where(clean.present(F.col("transaction_id")) & F.col("product_id").isNotNull()).select(
         clean.no_blanks(F.col("transaction_id")).alias("transaction_id"),
         clean.as_int(F.col("line_number")).alias("line_number"),
         clean.strip_dup(F.col("product_id")).alias("product_id"),
-        F.abs(clean.as_int(F.col("quantity"))).alias("quantity"),
-        F.round(F.abs(clean.as_float(F.col("unit_price"))), 2).alias("unit_price_kes"),
-        F.abs(clean.as_float(F.col("discount_rate"))).alias("discount_rate"),
-        F.abs(clean.as_float(F.trim(amount))).alias("line_total"),
-        F.when(has_campaign, F.left(total, F.lit(v.CAMPAIGN_ID_LENGTH))).alias("campaign_id"),
+        F.abs(clean.as_int(qty).cast("bigint")).alias("quantity"),
+        F.round(F.abs(clean.as_float(price)), 2).alias("unit_price_kes"),
+        F.abs(clean.as_float(rate)).alias("discount_rate"),
+        F.abs(clean.as_float(amount)).alias("line_total"),
+        clean.unreadable(
+            (qty, clean.as_int(qty)),
+            (price, money.amount(clean.as_float(price))),
+            (rate, clean.as_float(rate)),
+            (amount, money.amount(clean.as_float(amount))),
+        ).alias("_unread"),
+        F.when(has_campaign, F.substring_index(total, ",", 1)).alias("campaign_id"),
     )
     q, p, d = F.col("quantity"), F.col("unit_price_kes"), F.col("discount_rate")
     txn = F.col("transaction_id")
     off_by = F.abs(
-        F.col("calculated_line_total").cast("decimal(20,4)") - F.col("line_total").cast("decimal(20,4)")
+        F.col("calculated_line_total").try_cast("decimal(20,4)") - F.col("line_total").try_cast("decimal(20,4)")
     )
     return (
         base.withColumns(
@@ -73,18 +82,23 @@ def pos_line_items(raw: DataFrame) -> DataFrame:
                 )
             ),
         )
+        .drop("_unread")
     )
 
 
 def pos_transaction_heads(raw: DataFrame, as_of: date) -> DataFrame:
     """Till receipts, typed and flagged."""
-    customer = F.col("customer_id")
+    customer, stamp = F.col("customer_id"), F.left(F.col("transaction_date"), F.lit(10))
     base = raw.where(F.col("transaction_id").isNotNull()).select(
         clean.no_blanks(F.col("transaction_id")).alias("transaction_id"),
         clean.strip_dup(F.col("store_id")).alias("store_id"),
         F.coalesce(clean.strip_dup(customer), F.lit(v.WALK_IN)).alias("customer_id"),
         clean.strip_dup(F.col("cashier_id")).alias("cashier_id"),
-        clean.as_date(F.left(F.col("transaction_date"), F.lit(10))).alias("transaction_date"),
+        clean.unreadable(
+            (stamp, clean.as_date(stamp)),
+            (F.col("total_amount"), money.amount(clean.as_float(F.col("total_amount")))),
+        ).alias("_unread"),
+        clean.as_date(stamp).alias("transaction_date"),
         compat.clock_text(F.col("transaction_date")).alias("transaction_time"),
         F.col("payment_method").alias("_method"),
         clean.as_float(F.col("total_amount")).alias("total_amount"),
@@ -106,6 +120,7 @@ def pos_transaction_heads(raw: DataFrame, as_of: date) -> DataFrame:
             "transaction_weekday": F.date_format(day, "EEEE"),
             "quality_flag": clean.first_failing(
                 [
+                    (clean.UNREADABLE, F.col("_unread")),
                     ("Future date - Invalid", day > compat.today(as_of)),
                     ("Suspicious old date", day < F.lit(v.OLDEST_PLAUSIBLE).cast("date")),
                     ("Invalid amount", amount <= 0),
@@ -114,7 +129,7 @@ def pos_transaction_heads(raw: DataFrame, as_of: date) -> DataFrame:
             ),
         }
     )
-    return typed.drop("_method", "total_amount")
+    return typed.drop("_method", "_unread", "total_amount")
 
 
 def pos_transactions(raw: DataFrame, line_items: DataFrame, as_of: date) -> DataFrame:
@@ -146,6 +161,8 @@ def ecommerce_orders(raw: DataFrame) -> DataFrame:
 
 def ecommerce_order_lines(raw: DataFrame) -> DataFrame:
     order = F.col("order_id")
+    qty, price = F.col("quantity"), F.col("unit_price")
+    rate, total = F.col("discount_rate"), F.col("line_total")
     base = raw.where(order.isNotNull() & F.col("product_id").isNotNull()).select(
         "order_id",
         clean.as_int(F.col("line_number")).alias("line_number"),
@@ -154,6 +171,12 @@ def ecommerce_order_lines(raw: DataFrame) -> DataFrame:
         F.abs(F.round(clean.as_float(F.col("unit_price")), 2)).alias("unit_price_kes"),
         F.abs(clean.as_float(F.col("discount_rate"))).alias("discount_rate"),
         F.abs(F.round(clean.as_float(F.col("line_total")), 2)).alias("line_total_kes"),
+        clean.unreadable(
+            (qty, clean.as_int(qty)),
+            (price, money.amount(clean.as_float(price))),
+            (rate, clean.as_float(rate)),
+            (total, money.amount(clean.as_float(total))),
+        ).alias("_unread"),
     )
     q, p, d = F.col("quantity"), F.col("unit_price_kes"), F.col("discount_rate")
     return base.withColumns(
@@ -166,7 +189,7 @@ def ecommerce_order_lines(raw: DataFrame) -> DataFrame:
             "order_sequence_number": clean.as_int(F.right(order, F.lit(8))),
             "quality_flag": clean.first_failing(_line_rules("line_total_kes", [])),
         }
-    )
+    ).drop("_unread")
 
 
 def returns(raw: DataFrame) -> DataFrame:
@@ -212,7 +235,7 @@ def gift_card_transactions(raw: DataFrame) -> DataFrame:
         typed,
         ["card_number"],
         [F.col("date"), F.col("transaction_id")],
-        [F.trunc("date", "month")],
+        [F.col("date"), F.left(F.col("transaction_id"), F.lit(v.CHUNK_PREFIX))],
         "_n",
     )
     issue = F.col("_kind") == "issue"

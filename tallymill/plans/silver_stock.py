@@ -44,7 +44,7 @@ def inventory_movements(raw: DataFrame) -> DataFrame:
             Level(("product_id", "store_id"), sums={"running_quantity": "_signed"}),
         ],
         [F.col("movement_date"), F.col("movement_id")],
-        [F.col("movement_date")],
+        [F.col("movement_date"), F.left(F.col("movement_id"), F.lit(v.CHUNK_PREFIX))],
     )
     day, stock, moved = F.col("movement_date"), F.col("running_quantity"), F.col("moving_sum_3_transactions")
     flags = {
@@ -199,13 +199,18 @@ def purchase_order_lines(raw: DataFrame) -> DataFrame:
         clean.as_int(F.col("quantity_ordered")).alias("_qty"),
         clean.as_float(F.col("unit_price")).alias("_price"),
         F.round(clean.as_float(F.col("line_total")), 2).alias("_total"),
+        clean.unreadable(
+            (F.col("quantity_ordered"), clean.as_int(F.col("quantity_ordered"))),
+            (F.col("unit_price"), money.amount(clean.as_float(F.col("unit_price")))),
+            (F.col("line_total"), money.amount(clean.as_float(F.col("line_total")))),
+        ).alias("_unread"),
     )
     return typed.select(
         clean.join_key(po, F.col("line_number")).alias("po_line_key"),
         "po_number",
         "line_number",
         "product_id",
-        F.abs(qty).alias("quantity_ordered"),
+        F.abs(qty.cast("bigint")).alias("quantity_ordered"),
         F.abs(F.round(price, 2)).alias("unit_price_kes"),
         F.abs(total).alias("line_total_kes"),
         F.abs(money.unit_price(total, qty)).alias("calculated_unit_price"),
@@ -215,6 +220,7 @@ def purchase_order_lines(raw: DataFrame) -> DataFrame:
         clean.as_int(F.right(po, F.lit(8))).alias("po_sequence_number"),
         clean.first_failing(
             [
+                (clean.UNREADABLE, F.col("_unread")),
                 ("Invalid quantity", qty <= 0),
                 ("Invalid unit price", F.round(price, 2) <= 0),
                 ("Invalid line total", total <= 0),

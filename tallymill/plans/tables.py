@@ -35,6 +35,10 @@ def _valid() -> Column:
     return F.col("quality_flag") == clean.VALID
 
 
+def _readable_not_future() -> Column:
+    return ~F.col("quality_flag").isin("Future date - Invalid", clean.UNREADABLE)
+
+
 def _not_future() -> Column:
     return F.col("quality_flag") != "Future date - Invalid"
 
@@ -132,7 +136,7 @@ SILVER: dict[str, Silver] = {
     "pos_transactions": Silver(
         sales.pos_transactions,
         ("pos_transactions_raw", "pos_line_items"),
-        _not_future,
+        _readable_not_future,
         dated=True,
         surrogate=("pos_transaction_key", ("transaction_id", "transaction_date", "transaction_time")),
         unique=("transaction_id",),

@@ -16,7 +16,6 @@ EPOCH_PLACEHOLDER = "1900-01-01"
 WALK_IN = "WALK-IN-CUSTOMER"
 UNKNOWN = "Unknown"
 CAMPAIGN_PREFIX = "CMP"
-CAMPAIGN_ID_LENGTH = 8
 DISCOUNT_TIERS = Bands(
     "<",
     (
@@ -195,3 +194,6 @@ PROBLEM_NOTES = ["Damaged in transit", "Wrong items", "Shortage"]
 
 # Products and economy
 MARGIN_BANDS = Bands("<", ((20, "low"), ((20, 40), "medium", "between"), (40, "high", ">")), None)
+
+# Characters of an id that, with its day, name a chunk of one key's rows in running windows
+CHUNK_PREFIX = 9

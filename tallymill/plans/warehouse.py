@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,8 @@ class Warehouse(Lake):
     ):
         super().__init__(spark, root, as_of)
         self.root, self.brand, self.brand_code = root.rstrip("/"), brand, brand_code
+        # what a gold table is made from is read as written: built once, and with the keys that were given then
+        self.gold = cache(self._fixed)
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"

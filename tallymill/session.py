@@ -52,13 +52,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a few-split input (one row group, say) out to all cores.
-
-    Inputs that already have a split per core, as large ones do, are left alone.
-    Hashing the first column is cheaper than a round robin, which sorts first.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df

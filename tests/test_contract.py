@@ -46,9 +46,9 @@ def test_query_matches_sql(spark, duck, name):
     assert _sorted(df.select(*columns).collect()) == _sorted([r[i] for i in place] for r in expected.fetchall())
 
 
-def test_every_query_has_a_statement_or_a_reason():
+def test_every_query_has_a_statement():
     own = {n for n in contract.queries() if not n.startswith("op") and n != "pipeline"}
-    assert own - set(contract.oracle_sql()) == {"hash_impute"}
+    assert own <= set(contract.oracle_sql())
 
 
 def test_entry_runs(spark):
