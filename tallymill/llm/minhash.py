@@ -1,22 +1,25 @@
 """Near copies by improved consistent weighted sampling of TF-IDF word shingles.
 
-A shingle weighs its count in the document times 1 plus its relative rarity (0 to 1), from
-counts of documents over all documents. Counts are kept in 2**20 hashed cells: a cell's
+A shingle weighs its count in the document times 1 plus a quarter of its relative rarity
+(0 to 1), from counts of documents over all documents: what a large group of copies shares
+is common, and must not weigh much less than the few words in which they differ. Counts are kept in 2**20 hashed cells: a cell's
 count also holds the other shingles that share it, so rarity ends where a shingle is in
 fewer documents than such a cell has by chance, a fixed share of the corpus at any size.
 
-Each of 40 samplers draws one shingle and a quantised weight of a document, the same one
-for two documents with a probability of their weighted Jaccard similarity. Ten bands of
-four draws give buckets. Documents with the same words are one class, named by its
+Each of 56 samplers draws one shingle and a quantised weight of a document, the same one
+for two documents with a probability of their weighted Jaccard similarity. Fourteen bands of
+four draws give buckets (at a similarity of 0.8 they miss one pair in 1,600). Documents with the same words are one class, named by its
 smallest id. Links between classes are looked for in two rounds, so that a bucket of one
 large group is not expanded into pairs:
 
 1. every class of a bucket against the bucket's smallest class;
-2. classes of a bucket that are still in different components against each other.
+2. classes of a bucket that are still in different components against each other, in
+   blocks of a bounded size. A block returns the links that join components, not pairs.
 
 What two classes in one component have in common needs no further check: the result
-is components. Pairs whose total weights or draws rule the similarity out are dropped
-(the draws allow a miss with a chance below one in a million); all others are verified by
+is components. A pair that meets in several buckets is looked at in the first of them.
+Pairs whose total weights or draws rule the similarity out are dropped
+(the draws with a chance of a miss far below that of the bands); all others are verified by
 their exact weighted Jaccard similarity, from their whole texts.
 
 Cases: null and empty texts and texts without words link with nothing. Rows that share an
@@ -41,13 +44,19 @@ from tallymill.llm.shingles import digest, mix, shingles, word_hashes
 from tallymill.session import materialise
 
 SIMILARITY = 0.8
-BANDS, ROWS = 10, 4
+BANDS, ROWS = 14, 4
 SAMPLERS = BANDS * ROWS
 CELL_BITS = 20
+#: A shingle found nowhere else weighs more than one found everywhere by this share.
+RARITY_WEIGHT = 0.25
+#: A block of the second round holds about so many classes or characters at most.
+BLOCK_CLASSES, BLOCK_CHARS = 128, 1 << 23
 #: Cells travel in slices of this many.
 SLICE = 1 << 13
-#: Of 40 draws so many at least agree, but for one in a million, if the similarity is 0.8.
-LEAST_DRAWS = 18
+#: Of 56 draws so many at least agree if the similarity is 0.8, but for one pair in twenty thousand.
+LEAST_DRAWS = 32
+#: Shingles that a task of the verification remembers, so that a text met again is not read again.
+REMEMBERED = 1 << 22
 _POOL_BITS = 16
 #: Shingles drawn from in one go, so that the arrays stay in the processor's cache.
 _BLOCK = 1 << 13
@@ -106,7 +115,7 @@ def _samplers() -> tuple[np.ndarray, ...]:
 def weighted(words: np.ndarray, rare: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles, ascending, and their weights."""
     found, counts = np.unique(shingles(words), return_counts=True)
-    return found, (counts * (1.0 + rare[_cells(found)])).astype(np.float32)
+    return found, (counts * (1.0 + RARITY_WEIGHT * rare[_cells(found)])).astype(np.float32)
 
 
 def draws(found: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -181,8 +190,10 @@ def signatures(docs: DataFrame, shared) -> DataFrame:
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard: common weight over joint weight."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    common = float(np.minimum(a[1][i], b[1][j]).sum(dtype=np.float64))
+    few, many = (a, b) if len(a[0]) <= len(b[0]) else (b, a)
+    at = np.minimum(np.searchsorted(many[0], few[0]), len(many[0]) - 1)
+    same = many[0][at] == few[0]
+    common = float(np.minimum(few[1][same], many[1][at[same]]).sum(dtype=np.float64))
     return common / (float(a[1].sum(dtype=np.float64)) + float(b[1].sum(dtype=np.float64)) - common)
 
 
@@ -207,15 +218,20 @@ def _verified(pairs: DataFrame, candidates: DataFrame, shared) -> DataFrame:
     """
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare = shared.value
-        last: tuple = (None, None)
+        rare, known, size = shared.value, {}, 0
         for batch in batches:
-            keep = []
-            sides = batch.column("a").to_pylist(), batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            for a, x, y in zip(*sides):
-                if a != last[0]:
-                    last = a, weighted(next(word_hashes([x])), rare)
-                keep.append(similarity(last[1], weighted(next(word_hashes([y])), rare)) >= SIMILARITY)
+            if size > REMEMBERED:
+                known, size = {}, 0
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            new: dict[int, str] = {}
+            for ids, column in ((a, batch.column("x")), (b, batch.column("y"))):
+                for row, i in enumerate(ids):
+                    if i not in known and i not in new:
+                        new[i] = column[row].as_py()
+            for i, words in zip(new, word_hashes(list(new.values()))):
+                known[i] = weighted(words, rare)
+                size += len(known[i][0])
+            keep = [similarity(known[i], known[j]) >= SIMILARITY for i, j in zip(a, b)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     second = candidates.select(F.col("class_id").alias("b"), F.col("text").alias("y"))
@@ -223,6 +239,74 @@ def _verified(pairs: DataFrame, candidates: DataFrame, shared) -> DataFrame:
     return pairs.join(second, "b").join(first, "a").select("a", "b", "x", "y").mapInArrow(similar, "a long, b long")
 
 
+def _joining(open_rows: DataFrame, shared) -> DataFrame:
+    """Links a, b between classes of one bucket and different components, at least enough to join what is linked.
+
+    ``open_rows``: band, class_id, component, weight, text, bands, drawn.
+    """
+    sizes = open_rows.groupBy("band").agg(F.count("*").alias("n"), F.sum(F.char_length("text")).alias("chars"))
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK_CLASSES, F.col("chars") / BLOCK_CHARS))
+    placed = open_rows.join(sizes.select("band", parts.alias("parts")), "band")
+    part = F.pmod(F.xxhash64("class_id"), F.col("parts")).alias("part")
+    row = F.struct("class_id", "component", "weight", "bands", "drawn", "text")
+    blocks = placed.groupBy("band", "parts", part).agg(F.collect_list(row).alias("rows"))
+    blocks = materialise(blocks, "near-blocks")
+    left = blocks.select("band", F.col("part"), F.col("rows").alias("x"), F.explode(F.sequence(F.col("part"), F.col("parts") - 1)).alias("other"))
+    right = blocks.select("band", F.col("part").alias("other"), F.col("rows").alias("y"))
+    met = left.join(right, ["band", "other"]).select("band", "part", "other", "x", "y")
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rare, known = shared.value, {}
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for i in range(batch.num_rows):
+                band, part, other = (batch.column(c)[i].as_py() for c in ("band", "part", "other"))
+                x = batch.column("x")[i].as_py()
+                y = x if part == other else batch.column("y")[i].as_py()
+                links += _links_of_blocks(band, x, y, part == other, rare, known)
+                if sum(len(w[0]) for w in known.values()) > REMEMBERED:
+                    known.clear()
+            a, b = zip(*links) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return met.mapInArrow(joined, "a long, b long")
+
+
+def _links_of_blocks(band: int, x: list[dict], y: list[dict], same: bool, rare: np.ndarray, known: dict) -> list[tuple[int, int]]:
+    draws_x, draws_y = (np.frombuffer(b"".join(r["drawn"] for r in rows), np.uint32).reshape(-1, SAMPLERS) for rows in (x, y))
+    bands_x, bands_y = (np.array([r["bands"] for r in rows]) for rows in (x, y))
+    weight_x, weight_y = (np.array([r["weight"] for r in rows]) for rows in (x, y))
+    agree = (draws_x[:, None] == draws_y[None]).sum(axis=2)
+    shared_bands = bands_x[:, None] == bands_y[None]
+    first = np.take_along_axis(np.broadcast_to(bands_x[:, None], shared_bands.shape), shared_bands.argmax(axis=2)[:, :, None], 2)[:, :, 0]
+    close = np.minimum(weight_x[:, None], weight_y[None]) >= SIMILARITY * (1 - 1e-5) * np.maximum(weight_x[:, None], weight_y[None])
+    wanted = (agree >= LEAST_DRAWS) & (first == band) & close
+    if same:
+        wanted &= np.triu(np.ones_like(wanted), 1)
+    i, j = np.nonzero(wanted)
+    order = np.argsort(-agree[i, j], kind="stable")  # likely links first: what they join needs no further look
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            c = up
+        return c
+
+    def shingled(row: dict) -> tuple[np.ndarray, np.ndarray]:
+        if row["class_id"] not in known:
+            known[row["class_id"]] = weighted(next(word_hashes([row["text"]])), rare)
+        return known[row["class_id"]]
+
+    links = []
+    for k in order.tolist():
+        a, b = x[i[k]], y[j[k]]
+        one, two = root(a["component"]), root(b["component"])
+        if one != two and similarity(shingled(a), shingled(b)) >= SIMILARITY:
+            parent[max(one, two)] = min(one, two)
+            links.append((a["class_id"], b["class_id"]))
+    return links
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest id with the same words), component_id (smallest id linked to) and kept, for each id."""
     spark = docs.sparkSession
@@ -243,24 +327,20 @@ def near_groups(docs: DataFrame) -> DataFrame:
     stars = stars.select(F.col("head.class_id").alias("a"), F.col("class_id").alias("b")).distinct()
     stars = materialise(_plausible(stars, classes), "near-pairs")
 
-    wanted = members.select("class_id").distinct()
+    wanted = classes.select("class_id", "bands", "drawn").join(members.select("class_id").distinct(), "class_id", "left_semi")
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("class_id"), "text")
-    candidates = materialise(rows.join(wanted, "class_id", "left_semi"), "near-texts")
+    # the same plan at every size: texts move once, the ids wanted are never sent to all tasks
+    candidates = materialise(rows.join(wanted.hint("merge"), "class_id"), "near-texts")
     links = materialise(_verified(stars, candidates, shared), "near-links")
     joined = components(links)
 
     labels = joined.select(F.col("node").alias("class_id"), "component")
-    labelled = members.select("band", "class_id", "weight").join(labels, "class_id", "left")
+    others = members.where(F.col("class_id") != F.col("head.class_id"))  # the first round compared the heads with all
+    labelled = others.select("band", "class_id", "weight").join(labels, "class_id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "class_id"))
     mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    open_rows = materialise(labelled.join(mixed.select("band"), "band", "left_semi"), "near-open")
-    left = open_rows.select("band", F.col("class_id").alias("a"), F.col("weight").alias("wa"), F.col("component").alias("ca"))
-    right = open_rows.select("band", F.col("class_id").alias("b"), F.col("weight").alias("wb"), F.col("component").alias("cb"))
-    apart = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-    close = F.least("wa", "wb") >= SIMILARITY * (1 - 1e-5) * F.greatest("wa", "wb")
-    crossing = left.join(right, "band").where(apart & close).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    crossing = materialise(_plausible(crossing, classes), "near-pairs")
-    more = materialise(_verified(crossing, candidates, shared), "near-links")
+    open_rows = labelled.join(mixed.select("band"), "band", "left_semi").join(candidates, "class_id")
+    more = materialise(_joining(open_rows, shared), "near-links")
     if not more.isEmpty():
         joined = components(links.unionByName(more))
 
