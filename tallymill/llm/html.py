@@ -3,7 +3,8 @@
 A page is read as a sequence of tags and texts. A word scores positive, a tag negative,
 with weights that are log odds of standing in the article, counted over pages that label it
 by an ``article`` or ``main`` element. Words inside elements that are no article by their
-name, role or class (menus, forms, adverts, comments) score negative. One scan finds the
+name, role or class (menus, forms, adverts, comments) score negative, or nothing within an
+article. One scan finds the
 region with the highest sum; its texts outside of such elements, block by block, are the
 main text.
 
@@ -69,6 +70,7 @@ class Piece:
     text: str | None  # None for a tag
     tag: str = ""
     aside: bool = False
+    inner: bool = False  # an article or main element is open
 
 
 def is_aside(name: str, attributes: str, inside: bool) -> bool:
@@ -96,7 +98,7 @@ def pieces(page: str) -> Iterator[Piece]:
         mark = MARK.search(page, at)
         if mark is None or mark.start() > at:
             end = mark.start() if mark else length
-            yield Piece(html.unescape(page[at:end]), aside=asides > 0)
+            yield Piece(html.unescape(page[at:end]), aside=asides > 0, inner=labels > 0)
             at = end
             if mark is None:
                 return
@@ -110,7 +112,7 @@ def pieces(page: str) -> Iterator[Piece]:
                 asides -= sum(x[1] for x in opened[depth:])
                 labels -= sum(x[0] in LABEL for x in opened[depth:])
                 del opened[depth:]
-            yield Piece(None, f"/{name}", asides > 0)
+            yield Piece(None, f"/{name}", asides > 0, labels > 0)
             continue
         if name in RAW and not mark[3].rstrip().endswith("/"):
             close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(page, at)
@@ -128,10 +130,12 @@ def pieces(page: str) -> Iterator[Piece]:
             opened.append((name, set_aside))
             asides += set_aside
             labels += name in LABEL
-        yield Piece(None, name, asides > 0)
+        yield Piece(None, name, asides > 0, labels > 0)
 
 
 def _score(piece: Piece, weights: Weights) -> float:
+    if piece.aside and piece.inner:
+        return 0.0  # an advert or a comment within the article does not divide it
     if piece.text is not None:
         return len(piece.text.split()) * (weights.aside if piece.aside else weights.word)
     if piece.tag.lstrip("/") in LABEL:
