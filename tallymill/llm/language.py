@@ -12,12 +12,12 @@ read whole. Repeated rows are each answered; further columns are ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.llm.common import per_batch, texts
@@ -81,27 +81,39 @@ def learn(
         .groupBy("lang", "item")
         .agg(F.count("*").alias("n"))
     )
-    words = materialise(words, "language-words")  # read twelve times below
-
-    def commonest(counts: DataFrame, most: int) -> list:
-        top = counts.groupBy("item").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "item").limit(most)
-        return counts.join(top.select("item"), "item", "left_semi").select("lang", "item", "n").collect()
-
-    def grams(n: int) -> DataFrame:
-        padded = F.concat(F.lit("_"), F.col("item"), F.lit("_"))
-        starts = F.sequence(F.lit(1), F.length("item") + 3 - n)
-        enough = words.where(F.length("item") + 2 >= n)
-        pieces = enough.select("lang", "n", F.explode(F.transform(starts, lambda i: F.substring(padded, i, F.lit(n)))).alias("item"))
-        return pieces.groupBy("lang", "item").agg(F.sum("n").alias("n"))
+    words = materialise(words, "language-words")
+    padded = F.concat(F.lit("_"), F.col("item"), F.lit("_"))
+    pieces = [
+        F.when(
+            F.length("item") + 2 >= n,
+            F.transform(F.sequence(F.lit(1), F.greatest(F.length("item") + 3 - n, F.lit(1))), _piece_of(padded, n)),
+        ).otherwise(F.array().cast("array<string>"))
+        for n in lengths
+    ]
+    grams = words.select("lang", "n", F.explode(F.concat(*pieces)).alias("item"))
+    grams = materialise(_by_item(grams.groupBy("lang", "item").agg(F.sum("n").alias("n"))), "language-grams")
+
+    def commonest(items: DataFrame, most: int) -> list[tuple]:
+        top = items.orderBy(F.desc("total"), "item").limit(most).collect()
+        return [(x["lang"], r["item"], x["n"]) for r in top for x in r["counts"]]
 
     langs = tuple(sorted(r["lang"] for r in sizes))
     return Profile(
         langs,
-        _frequencies(commonest(words, max_words), langs),
-        tuple(_frequencies(commonest(grams(n), max_grams), langs) for n in lengths),
+        _frequencies(commonest(_by_item(words), max_words), langs),
+        tuple(_frequencies(commonest(grams.where(F.length("item") == n), max_grams), langs) for n in lengths),
     )
 
 
+def _piece_of(text: Column, n: int) -> Callable[[Column], Column]:
+    return lambda start: F.substring(text, start, F.lit(n))
+
+
+def _by_item(counts: DataFrame) -> DataFrame:
+    """item, total and its counts by language, of which there are few."""
+    return counts.groupBy("item").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("counts"))
+
+
 class Scorer:
     """Scores texts against a profile; remembers the pieces it has met."""
 
