@@ -28,7 +28,7 @@ UNDETERMINED = "und"
 #: Evidence counts as that of so many words at most when it is turned into a score.
 SCORE_WORDS = 16
 #: Scores of this many space-delimited pieces are remembered by a worker; not the longer pieces.
-REMEMBERED, REMEMBERED_LENGTH = 300_000, 40
+REMEMBERED, REMEMBERED_LENGTH = 400_000, 40
 
 
 @dataclass(frozen=True)
@@ -120,6 +120,7 @@ class Scorer:
     def __init__(self, profile: Profile, lengths: Sequence[int] = (5, 4, 3, 2, 1)):
         self.profile, self.lengths = profile, lengths
         self.width = len(profile.langs)
+        self.grams = [({g: i for i, g in enumerate(t)}, np.array(list(t.values())).reshape(len(t), -1)) for t in profile.grams]
         self.place: dict[str, int] = {}
         self.rows = np.zeros((1024, self.width + 1))  # the last column counts words
 
@@ -128,15 +129,20 @@ class Scorer:
         if known is not None:
             return known
         padded = f"_{word}_"
-        for n, table in zip(self.lengths, self.profile.grams):
-            found = [table[g] for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in table]
+        for n, (place, rows) in zip(self.lengths, self.grams):
+            pieces = [padded[i : i + n] for i in range(len(padded) - n + 1)]
+            found = [place[g] for g in pieces if g in place]
             if found:
-                return np.mean(found, axis=0)
+                return rows[found].mean(axis=0)
         return np.zeros(self.width)
 
     def piece(self, piece: str) -> np.ndarray:
         words = WORD.findall(piece.lower())
-        return np.append(sum(map(self.word, words), np.zeros(self.width)), len(words))
+        total = np.zeros(self.width + 1)
+        for word in words:
+            total[:-1] += self.word(word)
+        total[-1] = len(words)
+        return total
 
     def _remember(self, piece: str) -> int:
         at = len(self.place)
