@@ -120,7 +120,7 @@ class Scorer:
     def __init__(self, profile: Profile, lengths: Sequence[int] = (5, 4, 3, 2, 1)):
         self.profile, self.lengths = profile, lengths
         self.width = len(profile.langs)
-        self.grams = [({g: i for i, g in enumerate(t)}, np.array(list(t.values())).reshape(len(t), -1)) for t in profile.grams]
+        self.grams = [({g: i for i, g in enumerate(t)}, np.array(list(t.values())).reshape(len(t), self.width)) for t in profile.grams]
         self.place: dict[str, int] = {}
         self.rows = np.zeros((1024, self.width + 1))  # the last column counts words
 
