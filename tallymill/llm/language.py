@@ -137,7 +137,7 @@ class Scorer:
         return np.zeros(self.width)
 
     def piece(self, piece: str) -> np.ndarray:
-        words = WORD.findall(piece.lower())
+        words = [w for w in WORD.findall(piece.lower()) if any(map(str.isalpha, w))]  # not superscripts and the like alone
         total = np.zeros(self.width + 1)
         for word in words:
             total[:-1] += self.word(word)
