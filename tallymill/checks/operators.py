@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tallymill.checks import silver
 from tallymill.checks.gold import calendar
-from tallymill.checks.text import NOW, bands, dec, fixed, mean, num, raw, rules, undup, whole
+from tallymill.checks.text import NOW, bands, dec, fixed, mean, num, raw, rules, undup
 from tallymill.plans import vocab as v
 
 S = silver.SQL

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import date, datetime
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.operators.keys import dense_key
-from tallymill.operators.quality import duplicate_keys
+from tallymill.operators.quality import duplicate_keys, reconcile
+from tallymill.plans.audit import order_metrics, order_violations
 from tallymill.plans.lake import Lake
 from tallymill.plans.tables import SILVER
 from tallymill.sources import bronze, sinks
@@ -100,6 +101,30 @@ class Warehouse(Lake):
             return sinks.replace_table(table, path)
         return sinks.replace_monthly(table, MONTHLY[name], path)
 
+    def quality(self) -> DataFrame:
+        """What is looked at after a load, one row per table and check, from what the run wrote."""
+
+        def named(table: str, df: DataFrame, check: str, n: str) -> DataFrame:
+            return df.select(F.lit(table).alias("table_name"), F.col(check).alias("check_name"), F.col(n).cast("long").alias("n_rows"))
+
+        orders = self.read("silver", "ecommerce_orders")
+        parts = [
+            named("ecommerce_orders", order_metrics(orders), "metric", "value"),
+            named("ecommerce_orders", order_violations(orders, self.as_of), "check_name", "n_violations"),
+            named("ecommerce_orders", reconcile(self._raw("ecommerce_orders_raw"), orders), "source", "row_count"),
+        ]
+        for name, spec in SILVER.items():
+            if spec.unique is not None:
+                repeated = self.duplicates(name).agg(F.count(F.lit(1)).alias("n")).withColumn("check", F.lit("repeated keys"))
+                parts.append(named(name, repeated, "check", "n"))
+            if spec.keep is not None and "quality_flag" in self.rejected(name).columns:
+                flags = self.rejected(name).groupBy("quality_flag").agg(F.count(F.lit(1)).alias("n"))
+                parts.append(named(name, flags.withColumn("check", F.concat(F.lit("rejected: "), "quality_flag")), "check", "n"))
+        return reduce(DataFrame.unionByName, parts)
+
+    def build_quality(self) -> int:
+        return sinks.replace_table(self.quality(), self.path("log", "quality"))
+
     def duplicates(self, name: str) -> DataFrame:
         """Rows that break the key the table is meant to have."""
         return duplicate_keys(self.read("silver", name), list(SILVER[name].unique))
@@ -137,6 +162,7 @@ def run(
         )
     steps = [(f"silver.{n}", lambda n=n: house.build_silver(n)["rows"]) for n in SILVER]
     steps += [(f"gold.{n}", lambda n=n: house.build_gold(n)) for n in (*GOLD, *MARTS)]
+    steps.append(("log.quality", house.build_quality))
     for name, step in steps:
         if bad and not continue_on_error:
             break

@@ -83,7 +83,7 @@ def house(spark):
 def test_full_run_logs_every_table(house):
     _, _, log = house
     assert [n for n, r in log.items() if r["status"] != "SUCCESS"] == []
-    assert len(log) == len(SCHEMAS) + len(SILVER) + len(GOLD) + len(MARTS)
+    assert len(log) == len(SCHEMAS) + len(SILVER) + len(GOLD) + len(MARTS) + 1
     assert log["silver.pos_line_items"]["rows_inserted"] > 0
 
 
@@ -107,6 +107,27 @@ def test_quarantine_and_keys(house):
     assert warehouse.duplicates("pos_transactions").isEmpty()
 
 
+def test_checks_of_the_run(house):
+    _, warehouse, log = house
+    found = {(r["table_name"], r["check_name"]): r["n_rows"] for r in warehouse.read("log", "quality").collect()}
+    assert log["log.quality"]["rows_inserted"] == len(found)
+    assert found["ecommerce_orders", "Total Rows"] == log["silver.ecommerce_orders"]["rows_inserted"]
+    assert found["crm", "repeated keys"] == found["pos_transactions", "repeated keys"] == 0
+    assert found["pos_line_items", "rejected: Unreadable value"] > 0
+    rejected = warehouse.rejected("pos_line_items").count()
+    assert sum(n for (table, check), n in found.items() if table == "pos_line_items" and check[:8] == "rejected") == rejected
+
+
+def test_staff_keys_agree_with_the_written_dimension(house):
+    _, warehouse, _ = house
+    dim = warehouse.read("gold", "dim_employee")
+    facts = warehouse.read("gold", "fact_time_attendance")
+    staff = facts.where("employee_sk is not null").select("employee_sk").distinct()
+    assert staff.count() > 0 and staff.join(dim, "employee_sk", "left_anti").isEmpty()
+    bridge = warehouse.read("gold", "bridge_employee")
+    assert bridge.join(dim, ["employee_sk", "employee_id"], "left_anti").isEmpty()
+
+
 def test_as_of_is_a_parameter(spark):
     early = Lake(spark, SF, date(2020, 1, 1)).silver("crm")
     assert early.agg(F.max("age")).first()[0] < Lake(spark, SF).silver("crm").agg(F.max("age")).first()[0]
