@@ -13,7 +13,10 @@ from tallymill.plans import vocab as v
 
 
 def inventory_movements(raw: DataFrame) -> DataFrame:
-    """Stock ledger with running stock per product and per product and store."""
+    """Stock ledger with running stock per product and per product and store.
+
+    Rows whose date cannot be read have no place in the ledger; they follow it, flagged.
+    """
     kind, qty = F.col("movement_type"), F.col("_qty")
     outbound = kind.isin(*v.OUTBOUND)
     typed = raw.where(F.col("movement_date").isNotNull() & clean.not_dup(F.col("movement_id"))).select(
@@ -66,7 +69,9 @@ def inventory_movements(raw: DataFrame) -> DataFrame:
     def number(c: str) -> Column:
         return F.round(c, 2).cast("double")
 
-    return ledger.withColumns(flags).select(
+    lost = typed.where(F.col("movement_date").isNull())
+    lost = lost.select("movement_id", "store_id", "product_id", "movement_type", F.lit(clean.UNREADABLE).alias("quality_flag"))
+    placed = ledger.withColumns(flags).select(
         compat.glue(F.col("movement_id"), F.lit("_"), compat.day_key(day)).alias("inventory_movement_key"),
         "movement_id",
         "movement_date",
@@ -89,6 +94,7 @@ def inventory_movements(raw: DataFrame) -> DataFrame:
         "sign_validation_flag",
         "quality_flag",
     )
+    return placed.unionByName(lost, allowMissingColumns=True)
 
 
 def inventory_movements_slim(raw: DataFrame) -> DataFrame:

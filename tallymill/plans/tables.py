@@ -35,6 +35,10 @@ def _valid() -> Column:
     return F.col("quality_flag") == clean.VALID
 
 
+def _readable() -> Column:
+    return F.col("quality_flag") != clean.UNREADABLE
+
+
 def _readable_not_future() -> Column:
     return ~F.col("quality_flag").isin("Future date - Invalid", clean.UNREADABLE)
 
@@ -59,7 +63,7 @@ SILVER: dict[str, Silver] = {
     "employee_shifts": Silver(parties.employee_shifts, ("employee_shifts_raw",)),
     "hr": Silver(parties.hr, ("hr_raw",), dated=True),
     "time_tracking": Silver(parties.time_tracking, ("time_tracking_raw",)),
-    "inventory_movements": Silver(stock.inventory_movements, ("inventory_movements_raw",)),
+    "inventory_movements": Silver(stock.inventory_movements, ("inventory_movements_raw",), _readable),
     "inventory_movements_slim": Silver(stock.inventory_movements_slim, ("inventory_movements_raw",)),
     "inventory_snapshots": Silver(stock.inventory_snapshots, ("inventory_snapshots_raw",)),
     "inventory_snapshots_slim": Silver(

@@ -204,3 +204,15 @@ def test_quality(spark):
     }
     dim = spark.createDataFrame([(1,)], "k int")
     assert rows(quality.unmatched_keys(df, dim, "id", "k")) == [(2, 2)]
+
+
+def test_movements_without_a_readable_date_are_kept_apart(spark):
+    from tallymill.plans.silver_stock import inventory_movements
+
+    columns = "movement_id string, movement_date string, store_id string, product_id string, movement_type string, quantity string, unit_cost_kes string"
+    raw = spark.createDataFrame(
+        [("M1", "2024-01-02", "S1", "P1", "IN", "3", "1"), ("M2", "31/12/2023", "S1", "P1", "IN", "4", "1")], columns
+    )
+    found = {r["movement_id"]: r for r in inventory_movements(raw).collect()}
+    assert found["M2"]["quality_flag"] == "Unreadable value" and found["M2"]["running_quantity"] is None
+    assert found["M1"]["quality_flag"] != "Unreadable value" and found["M1"]["running_quantity"] == 3
