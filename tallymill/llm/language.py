@@ -55,8 +55,8 @@ def learn(
     labelled: DataFrame,
     docs_per_lang: int = 4_000,
     max_langs: int = 256,
-    max_words: int = 100_000,
-    max_grams: int = 20_000,
+    max_words: int = 40_000,
+    max_grams: int = 10_000,
     lengths: Sequence[int] = (5, 4, 3, 2, 1),
 ) -> Profile:
     """Fit the frequencies on ``labelled`` (doc_id, text, lang), rows without text or lang apart.
