@@ -8,6 +8,13 @@ article. One scan finds the
 region with the highest sum; its texts outside of such elements, block by block, are the
 main text.
 
+An element around the article is not set aside, whatever it is called: a form around the
+whole page, a layout class, a menu that is never closed. The article is the labelled element
+with the most words of its own, comments apart; labelled elements in something set aside
+(teasers of related pages) are taken for it only if no other labelled element, and not most of the
+unlabelled text, stands free. Without an article a class or id alone, or being a form, does not set aside
+an element with most of the page's words.
+
 Cases: null or empty html, and pages without a word that scores, give the empty text.
 Of regions with the same score the first is taken. Unclosed and crossed elements end with
 the element around them. Pages of any length are read whole. Repeated rows are each
@@ -44,8 +51,14 @@ ASIDE_WORDS = frozenset(
     " pagination popup promo promoted promotion recommended related replies reply respond share sharing sidebar"
     " signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
+FORMS = frozenset("form fieldset".split())
+HEADER_WORDS = frozenset("header masthead".split())
+STATE_BEGINS, STATE_ENDS = frozenset("has no with without".split()), frozenset("closed open".split())
 CLOSED_BY = {"p": frozenset("p h1 h2 h3 h4 h5 h6 ul ol div table section article footer header nav aside form".split()), "li": frozenset(["li"])}
 LABEL = frozenset(["article", "main"])
+#: The border of a labelled element weighs as much as so many words.
+BORDER_WORDS = 20
 
 MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>?", re.DOTALL
@@ -65,72 +78,162 @@ class Weights:
     border: float = -60.0
 
 
+@dataclass
+class Element:
+    name: str
+    up: Element | None  # None for the page
+    aside: str = ""  # what sets it aside: "name" (or role), "word" (or being a form), or nothing
+    inner: bool = False  # an article or main element is open
+    comments: bool = False  # within comments, and no main element since
+    hidden: bool = False  # it or an element around it is set aside
+    owner: Element | None = None  # the labelled element, or page, whose own words stand here
+    words: int = 0
+    own: int = 0  # without those of further labelled elements and of what is set aside
+
+
 @dataclass
 class Piece:
     text: str | None  # None for a tag
     tag: str = ""
     aside: bool = False
     inner: bool = False  # an article or main element is open
+    nested: bool = False  # begin of the article, within another labelled element
 
 
-def is_aside(name: str, attributes: str, inside: bool) -> bool:
-    """Is the element set aside by its name, role, class or id? ``inside``: an article is open."""
-    if name in ASIDE:
-        return not (inside and name == "header")
-    if not attributes or name in ("html", "body", "article", "main"):
-        return False
-    for m in ATTRIBUTE.finditer(attributes):
+def set_aside(name: str, attributes: str, inside: bool) -> tuple[str, bool]:
+    """What sets the element aside, as in ``Element``, and whether it is comments.
+
+    ``inside``: an article is open. Classes that tell a state (has-sidebar, comments-open) are no kind.
+    """
+    words: set[str] = set()
+    role = False
+    for m in ATTRIBUTE.finditer(attributes) if attributes else ():
         value = m[2] or m[3] or m[4] or ""
         if m[1].lower() == "role":
-            if value.strip().lower() in ASIDE_ROLES:
-                return True
-        elif not ASIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", CAMEL.sub(" ", value).lower())):
-            return True
-    return False
+            role |= value.strip().lower() in ASIDE_ROLES
+            continue
+        for part in value.split():
+            found = [x for x in re.split(r"[^a-z]+", CAMEL.sub(" ", part).lower()) if x]
+            if found and found[0] not in STATE_BEGINS and found[-1] not in STATE_ENDS:
+                words.update(found)
+    if name in ("html", "body", "main"):
+        return "", False
+    comments = not words.isdisjoint(COMMENT_WORDS)
+    if name == "article":
+        return "", comments
+    if name in ASIDE:
+        return "" if inside and name == "header" else "word" if name in FORMS else "name", comments
+    if role:
+        return "name", comments
+    if inside:
+        words -= HEADER_WORDS
+    return "" if words.isdisjoint(ASIDE_WORDS) else "word", comments
+
+
+def _article(elements: list[Element]) -> Element | None:
+    """The labelled element with the most own words, the first of equals; None if there is none."""
+    page, labelled, free = elements[0], [], 0
+    around: dict[int, int] = {id(page): 0}  # labelled elements with own words that stand free, at or around each
+    for e in elements[1:]:
+        before = around[id(e.up)]
+        counts = e.name in LABEL and e.own > 0 and not e.comments
+        if counts:
+            labelled.append((e, before))
+        around[id(e)] = before + (counts and not e.hidden)
+        free += counts and not e.hidden
+    found = max((e for e, before in labelled if not e.hidden or free == before), key=lambda e: e.own, default=None)
+    return None if found is None or found.hidden and found.own <= page.own else found
+
+
+def _lift(elements: list[Element]) -> Element | None:
+    """Take back what sets aside the article or most of the page's words; the article."""
+    page, article = elements[0], _article(elements)
+    if article:
+        around = article.up
+        while around:
+            around.aside = ""
+            around = around.up
+    else:
+        for e in elements:
+            if e.aside == "word" and not e.comments and 2 * e.words > page.words:
+                e.aside = ""
+    for e in elements[1:]:
+        e.hidden = e.up.hidden or bool(e.aside)
+    return article
+
+
+def _parsed(page: str) -> tuple[list[tuple[str | None, str, Element]], list[Element]]:
+    """Texts and tags in page order with the element they stand in, and the elements, the page first.
+
+    Raw elements and markup declarations are left out.
+    """
+    root = Element("", None)
+    root.owner = root
+    found, elements, opened = [], [root], [root]
+    at = words = 0
+    length = len(page)
 
+    def close(depth: int) -> None:
+        for e in opened[depth:]:
+            e.words = words - e.words
+        del opened[depth:]
 
-def pieces(page: str) -> Iterator[Piece]:
-    """Tags and texts in page order; raw elements and markup declarations are left out."""
-    opened: list[tuple[str, bool]] = []  # name, and whether it is set aside
-    asides = labels = at = 0
-    length = len(page)
     while at < length:
         mark = MARK.search(page, at)
         if mark is None or mark.start() > at:
             end = mark.start() if mark else length
-            yield Piece(html.unescape(page[at:end]), aside=asides > 0, inner=labels > 0)
+            text, top = html.unescape(page[at:end]), opened[-1]
+            n = len(text.split())
+            words += n
+            if top.owner:
+                top.owner.own += n
+            found.append((text, "", top))
             at = end
             if mark is None:
-                return
+                break
         at = mark.end()
         name = (mark[2] or "").lower()
         if not name:
             continue
         if mark[1]:
-            depth = next((i for i in range(len(opened) - 1, -1, -1) if opened[i][0] == name), -1)
-            if depth >= 0:
-                asides -= sum(x[1] for x in opened[depth:])
-                labels -= sum(x[0] in LABEL for x in opened[depth:])
-                del opened[depth:]
-            yield Piece(None, f"/{name}", asides > 0, labels > 0)
+            depth = next((i for i in range(len(opened) - 1, 0, -1) if opened[i].name == name), 0)
+            if depth:
+                close(depth)
+            found.append((None, f"/{name}", opened[-1]))
             continue
         if name in RAW and not mark[3].rstrip().endswith("/"):
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(page, at)
-            at = close.end() if close else length
+            ending = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.IGNORECASE).search(page, at)
+            at = ending.end() if ending else length
             continue
         if name == "title":
-            close = re.compile(r"</title\b[^>]*>?", re.IGNORECASE).search(page, at)
-            at = close.end() if close else at
+            ending = re.compile(r"</title\b[^>]*>?", re.IGNORECASE).search(page, at)
+            at = ending.end() if ending else at
             continue
         # a body ends the head; a block ends an open paragraph, an item the item before
-        while opened and (name == "body" and opened[-1][0] == "head" or name in CLOSED_BY.get(opened[-1][0], ())):
-            asides -= opened.pop()[1]
+        while name == "body" and opened[-1].name == "head" or name in CLOSED_BY.get(opened[-1].name, ()):
+            close(len(opened) - 1)
         if name not in VOID:
-            set_aside = is_aside(name, mark[3], labels > 0)
-            opened.append((name, set_aside))
-            asides += set_aside
-            labels += name in LABEL
-        yield Piece(None, name, asides > 0, labels > 0)
+            up = opened[-1]
+            aside, comments = set_aside(name, mark[3], up.inner)
+            e = Element(name, up, aside, up.inner or name in LABEL, name != "main" and (up.comments or comments))
+            e.hidden, e.words = up.hidden or bool(aside), words
+            e.owner = e if name in LABEL else None if aside else up.owner
+            elements.append(e)
+            opened.append(e)
+        found.append((None, name, opened[-1]))
+    close(0)
+    return found, elements
+
+
+def pieces(page: str) -> Iterator[Piece]:
+    """Tags and texts in page order; raw elements and markup declarations are left out."""
+    found, elements = _parsed(page)
+    article = _lift(elements)
+    begun = article is None or not article.up.inner
+    for text, tag, e in found:
+        nested = not begun and e is article
+        begun |= nested
+        yield Piece(text, tag, e.hidden, e.inner, nested)
 
 
 def _score(piece: Piece, weights: Weights) -> float:
@@ -138,6 +241,8 @@ def _score(piece: Piece, weights: Weights) -> float:
         return 0.0  # an advert or a comment within the article does not divide it
     if piece.text is not None:
         return len(piece.text.split()) * (weights.aside if piece.aside else weights.word)
+    if piece.nested:
+        return weights.other  # a heading before it belongs to it
     if piece.tag.lstrip("/") in LABEL:
         return weights.border
     return weights.tags.get(piece.tag, weights.other)
@@ -212,7 +317,7 @@ def learn(pages: DataFrame, sample: int = 4_000, most_tags: int = 200) -> Weight
     if "" not in odds:
         return Weights()
     word = min(6.0, max(0.5, odds.pop("")))
-    return Weights(word, -word, {k: max(-2 * word, min(-0.05, v)) for k, v in odds.items()}, -word / 2)
+    return Weights(word, -word, {k: max(-2 * word, min(-0.05, v)) for k, v in odds.items()}, -word / 2, -BORDER_WORDS * word)
 
 
 SCHEMA = "page_id long, url string, text string, n_chars long"

@@ -93,6 +93,48 @@ def test_main_text_leaves_out_what_is_not_article():
     assert html.main_text(PAGE, html.Weights()) == TEXT
 
 
+WORDS = "Many words of the story itself stand here one after another in a row "
+STORY = f"<article><h1>The head of it</h1><p>{WORDS * 3}</p></article>"
+FOUND = "The head of it\n" + " ".join((WORDS * 3).split())
+MENU = "<nav><a href=/>Home</a> <a href=/b>About us</a></nav>"
+TEASER = "<article><p>Another story that may be of interest to you</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<body><form id="aspnetForm" action="x"><div class="menu">Home and more</div>{STORY}<footer>End</footer></form>',
+        f'<body>{MENU}<div class="has-sidebar">{STORY}<div class="sidebar">Other things to read</div></div>',
+        f'<body>{MENU}<div id="page" class="with-sidebar"><main>{STORY}</main><aside>Other things</aside></div>',
+        f'<body>{MENU}<div class="layout sidebar right">{STORY}<div class="sidebar">Other things to read</div></div>',
+        f'<body><div class="post comments-open">{STORY}<div id="comments"><article>I disagree with this</article></div></div>',
+        f'<body><nav><a href=/>Home</a><main>{STORY}</main>',
+        f'<body><main><div class="widget">{STORY}</div></main>',
+        f'<body><form>{STORY}<div class="related">{TEASER * 3}</div></form>',
+        f'<body>{STORY}<div class="related">{TEASER * 3}</div><aside>{STORY}</aside>',
+        f"<body><form><h1>The head of it</h1><div><p>{WORDS * 3}</p></div></form>{MENU}",
+        f'<body>{MENU}<div class="layout sidebar right"><h1>The head of it</h1><p>{WORDS * 3}</p></div>',
+        f'<body>{MENU}<article><div class="entry-header"><h1>The head of it</h1></div><p>{WORDS * 3}</p></article>',
+        f"<body>{MENU}<main><h1>The head of it</h1><article><p>{WORDS * 3}</p></article></main>",
+    ],
+)
+def test_what_stands_around_the_article_does_not_set_it_aside(page):
+    assert html.main_text(page, html.Weights()) == FOUND
+
+
+@pytest.mark.parametrize("aside", [f'<div class="related">{TEASER}</div>', f'<div id="comments">{TEASER * 9}</div>', f"<aside>{TEASER}</aside>"])
+def test_articles_in_asides_are_not_taken_for_the_article(aside):
+    page = f"<body><div><h1>The head of it</h1><p>{WORDS * 3}</p></div>{aside}"
+    assert html.main_text(page, html.Weights()) == FOUND
+
+
+def test_the_border_keeps_its_measure_in_words(spark):
+    pages = spark.createDataFrame([(1, PAGE)], "page_id long, html string")
+    weights = html.learn(pages)
+    assert weights.border == pytest.approx(-20 * weights.word)
+    assert html.Weights().border == -20 * html.Weights().word
+
+
 def test_best_region_is_the_first_of_equals():
     assert html.best_region([-1.0, 2.0, -1.0, 3.0, -9.0, 4.0]) == (1, 4)
     assert html.best_region([-1.0, 0.0]) == (0, 0)
