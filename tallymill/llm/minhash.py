@@ -1,8 +1,7 @@
 """Near copies by improved consistent weighted sampling of TF-IDF word shingles.
 
-A shingle weighs its count in the document times 1 plus a quarter of its relative rarity
-(0 to 1), from counts of documents over all documents: what a large group of copies shares
-is common, and must not weigh much less than the few words in which they differ. Counts are kept in 2**20 hashed cells: a cell's
+A shingle weighs its count in the document times 1 plus its relative rarity (0 to 1), from
+counts of documents over all documents. Counts are kept in 2**20 hashed cells: a cell's
 count also holds the other shingles that share it, so rarity ends where a shingle is in
 fewer documents than such a cell has by chance, a fixed share of the corpus at any size.
 
@@ -48,7 +47,7 @@ BANDS, ROWS = 14, 4
 SAMPLERS = BANDS * ROWS
 CELL_BITS = 20
 #: A shingle found nowhere else weighs more than one found everywhere by this share.
-RARITY_WEIGHT = 0.25
+RARITY_WEIGHT = 1.0
 #: A block of the second round holds about so many classes or characters at most.
 BLOCK_CLASSES, BLOCK_CHARS = 128, 1 << 23
 #: Cells travel in slices of this many.

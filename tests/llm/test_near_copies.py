@@ -97,6 +97,12 @@ def test_draws_agree_as_often_as_the_similarity():
     assert abs(np.mean(agree) - np.mean(truth)) < 0.03
 
 
+def test_a_shingle_found_nowhere_else_weighs_twice_one_found_everywhere():
+    words = next(word_hashes(["a few words of a text"]))
+    common, rare = (minhash.weighted(words, np.full(1 << minhash.CELL_BITS, x, np.float32))[1] for x in (0, 1))
+    assert np.allclose(rare, 2 * common)
+
+
 def test_lattice_points_are_the_nearest():
     x = np.random.default_rng(0).normal(size=(300, 8)) * 2
     point = lattice.decode(x)
