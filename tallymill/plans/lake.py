@@ -50,7 +50,7 @@ class Lake:
     def _silver(self, name: str) -> DataFrame:
         keep = SILVER[name].keep
         flagged = self.flagged(name)
-        return flagged if keep is None else flagged.where(keep())
+        return flagged if keep is None else flagged.where(keep()).drop(*SILVER[name].evidence)
 
     def keyed(self, name: str) -> DataFrame:
         """The kept rows with the table's surrogate key."""

@@ -15,10 +15,12 @@ from tallymill.plans import vocab as v
 def inventory_movements(raw: DataFrame) -> DataFrame:
     """Stock ledger with running stock per product and per product and store.
 
-    Rows whose date cannot be read have no place in the ledger; they follow it, flagged.
+    Rows whose date cannot be read have no place in the ledger; they follow it, flagged,
+    with the texts they came with (``raw_...``, null in the ledger), so that they can be mended.
     """
     kind, qty = F.col("movement_type"), F.col("_qty")
     outbound = kind.isin(*v.OUTBOUND)
+    signed_qty = F.when(outbound, -F.abs(qty)).otherwise(F.abs(qty))
     typed = raw.where(F.col("movement_date").isNotNull() & clean.not_dup(F.col("movement_id"))).select(
         "movement_id",
         clean.fix_date(F.col("movement_date"), v.OCTOBER_2022).alias("movement_date"),
@@ -27,10 +29,11 @@ def inventory_movements(raw: DataFrame) -> DataFrame:
         F.upper("movement_type").alias("movement_type"),
         F.col("quantity").try_cast("decimal(18,4)").alias("_qty"),
         clean.as_float(F.col("unit_cost_kes")).alias("_cost"),
+        *(F.col(c.removeprefix("raw_")).alias(c) for c in v.MOVEMENT_TEXTS),
     )
-    signed = typed.withColumns(
+    signed = typed.drop(*v.MOVEMENT_TEXTS).withColumns(
         {
-            "_signed": F.when(outbound, -F.abs(qty)).otherwise(F.abs(qty)),
+            "_signed": signed_qty,
             "sign_validation_flag": F.when(outbound & (qty > 0), "Positive quantity for outbound")
             .when(kind.isin(*v.INBOUND) & (qty < 0), "Negative quantity for inbound")
             .otherwise("Valid sign"),
@@ -69,8 +72,18 @@ def inventory_movements(raw: DataFrame) -> DataFrame:
     def number(c: str) -> Column:
         return F.round(c, 2).cast("double")
 
-    lost = typed.where(F.col("movement_date").isNull())
-    lost = lost.select("movement_id", "store_id", "product_id", "movement_type", F.lit(clean.UNREADABLE).alias("quality_flag"))
+    lost = typed.where(F.col("movement_date").isNull()).select(
+        "movement_id",
+        "store_id",
+        "product_id",
+        "movement_type",
+        F.round(signed_qty, 2).cast("double").alias("quantity"),
+        F.abs(number("_qty")).alias("quantity_absolute"),
+        F.round("_cost", 2).alias("unit_cost_kes"),
+        money.extended(F.abs(qty), F.col("_cost")).alias("movement_value_kes"),
+        F.lit(clean.UNREADABLE).alias("quality_flag"),
+        *v.MOVEMENT_TEXTS,
+    )
     placed = ledger.withColumns(flags).select(
         compat.glue(F.col("movement_id"), F.lit("_"), compat.day_key(day)).alias("inventory_movement_key"),
         "movement_id",

@@ -13,12 +13,14 @@ from tallymill.functions import clean
 from tallymill.plans import silver_parties as parties
 from tallymill.plans import silver_sales as sales
 from tallymill.plans import silver_stock as stock
+from tallymill.plans import vocab as v
 
 
 @dataclass(frozen=True)
 class Silver:
     """``build`` receives the source frames in the order of ``sources`` (names
-    ending in ``_raw`` are bronze, others silver) and ``as_of`` where asked."""
+    ending in ``_raw`` are bronze, others silver) and ``as_of`` where asked.
+    The columns ``evidence`` are for the quarantine only."""
 
     build: Callable[..., DataFrame]
     sources: tuple[str, ...]
@@ -26,6 +28,7 @@ class Silver:
     dated: bool = False
     surrogate: tuple[str, tuple[str, ...]] | None = None
     unique: tuple[str, ...] | None = None
+    evidence: tuple[str, ...] = ()
 
     def make(self, as_of: date, *frames: DataFrame, **options) -> DataFrame:
         return self.build(*frames, *([as_of] if self.dated else []), **options)
@@ -63,7 +66,7 @@ SILVER: dict[str, Silver] = {
     "employee_shifts": Silver(parties.employee_shifts, ("employee_shifts_raw",)),
     "hr": Silver(parties.hr, ("hr_raw",), dated=True),
     "time_tracking": Silver(parties.time_tracking, ("time_tracking_raw",)),
-    "inventory_movements": Silver(stock.inventory_movements, ("inventory_movements_raw",), _readable),
+    "inventory_movements": Silver(stock.inventory_movements, ("inventory_movements_raw",), _readable, evidence=v.MOVEMENT_TEXTS),
     "inventory_movements_slim": Silver(stock.inventory_movements_slim, ("inventory_movements_raw",)),
     "inventory_snapshots": Silver(stock.inventory_snapshots, ("inventory_snapshots_raw",)),
     "inventory_snapshots_slim": Silver(

@@ -149,6 +149,8 @@ ACCOUNT_CLASSES = {
 }
 
 # stock
+#: Texts kept with quarantined stock movements.
+MOVEMENT_TEXTS = ("raw_movement_date", "raw_quantity", "raw_unit_cost_kes")
 OUTBOUND = ["SALE", "TRANSFER_OUT", "ADJUSTMENT_OUT"]
 INBOUND = ["RECEIPT", "TRANSFER_IN", "ADJUSTMENT_IN", "RETURN"]
 STOCK_LEVELS = Bands(

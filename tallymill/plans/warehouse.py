@@ -81,7 +81,7 @@ class Warehouse(Lake):
         if spec.keep is not None:
             gated = self.path("gated", name)
             counts = sinks.write_gated(flagged, spec.keep(), gated)
-            ready = sinks.read_gated(flagged.schema, self.spark, gated)
+            ready = sinks.read_gated(flagged.schema, self.spark, gated).drop(*spec.evidence)
         if spec.surrogate is not None:
             key, order = spec.surrogate
             ready = dense_key(ready, [F.col(c) for c in order], key, written=spec.keep is not None)

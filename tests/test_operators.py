@@ -216,3 +216,20 @@ def test_movements_without_a_readable_date_are_kept_apart(spark):
     found = {r["movement_id"]: r for r in inventory_movements(raw).collect()}
     assert found["M2"]["quality_flag"] == "Unreadable value" and found["M2"]["running_quantity"] is None
     assert found["M1"]["quality_flag"] != "Unreadable value" and found["M1"]["running_quantity"] == 3
+
+
+def test_quarantined_movements_keep_what_mends_them(spark):
+    from tallymill.plans.silver_stock import inventory_movements
+    from tallymill.plans.tables import SILVER
+
+    columns = "movement_id string, movement_date string, store_id string, product_id string, movement_type string, quantity string, unit_cost_kes string"
+    raw = spark.createDataFrame(
+        [("M1", "2024-01-02", "S1", "P1", "IN", "3", "1"), ("M2", "31/12/2023", "S1", "P1", "IN", "4", "2.5"), ("M3", "?", "S1", "P1", "IN", "four", "x")],
+        columns,
+    )
+    flagged = inventory_movements(raw)
+    found = {r["movement_id"]: r for r in flagged.collect()}
+    kept = ("quantity", "unit_cost_kes", "movement_value_kes", *SILVER["inventory_movements"].evidence)
+    assert [found["M2"][c] for c in kept] == [4.0, 2.5, 10.0, "31/12/2023", "4", "2.5"]
+    assert [found["M3"][c] for c in kept] == [None, None, None, "?", "four", "x"]
+    assert [found["M1"][c] for c in kept] == [3.0, 1.0, 3.0, None, None, None]
