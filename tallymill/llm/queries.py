@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import ann, bpe, chat, html, language, lattice, minhash, mixing, pii, tokens
+from tallymill.llm import ann, bpe, chat, fim, html, language, lattice, minhash, mixing, pii, ranking, tokens, trie
 from tallymill.llm.common import table
 
 MIX = {"share_percent": 60, "epochs": 2, "weights": {"mix_lang": {"en": 2.0}}, "seed": 17}
@@ -66,6 +66,18 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages, html.learn(pages))
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.grafted(table(spark, sf_dir, "conversations")))
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_embeddings": near_embeddings,
     "op2_personal_data": personal_data,
@@ -77,9 +89,14 @@ QUERIES = {
     "op8_source_mix": source_mix,
     "op9_main_texts": main_texts,
     "op10_near_documents": near_documents,
+    "op11_quality": quality_scores,
+    "op12_conversation_trie": conversation_trie,
+    "op13_fill_in_middle": fill_in_middle,
 }
 SQL = {
     "op1_near_embeddings": lattice.SQL,
     "op7_preference_pairs": chat.ECHO_SQL,
     "op8_source_mix": mixing.mix_sql(**MIX),
+    "op12_conversation_trie": trie.SQL,
+    "op13_fill_in_middle": fim.digest_sql(),
 }
