@@ -20,18 +20,21 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallymill.llm.common import per_batch, texts
+from tallymill.llm.common import per_task, text_slices, texts
 
 #: Characters on which Python's lower case, white space and normal forms agree with the library's.
 PLAIN = re.compile(r"[\t\n\r -~¡-¬®-ȳ]*")
-#: Encodings of this many space-delimited pieces are remembered by a worker; not of longer pieces.
-REMEMBERED, REMEMBERED_LENGTH = 600_000, 40
+#: Bytes that a task spends on encodings of pieces it has met, the longest piece remembered, and pairs remembered.
+REMEMBERED_BYTES, REMEMBERED_LENGTH, REMEMBERED_PAIRS = 64 << 20, 40, 200_000
+#: Bytes of an entry besides its piece and ids.
+_ENTRY = 200
 
 
 def byte_alphabet() -> list[str]:
@@ -81,8 +84,9 @@ class Merges:
         known = self.pairs.get(pair)
         if known is None:
             known = self._stays(*pair)
-            if len(self.pairs) < 2_000_000:
-                self.pairs[pair] = known
+            if len(self.pairs) >= REMEMBERED_PAIRS:
+                self.pairs.clear()
+            self.pairs[pair] = known
         return known
 
     def _stays(self, left: int, right: int) -> bool:
@@ -158,12 +162,19 @@ class Codec:
         self.special = re.compile("|".join(map(re.escape, sorted(self.specials, key=len, reverse=True))) or r"(?!)")
         self.word = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.known: dict[str, bytes] = {}
+        self.size = 0  # of what is known, in bytes
         names = {i: name for name, i in spec["model"]["vocab"].items()} | {i: name for name, i in self.specials.items()}
         pieces = [names.get(i, "").encode() + b" " for i in range(max(names) + 1)]
         self.offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         self.buffer = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         self.of_byte = {c: b for b, c in enumerate(byte_alphabet())}
 
+    def forget(self) -> None:
+        """Drop what was remembered of the texts met so far."""
+        self.known.clear()
+        self.merges.pairs.clear()
+        self.size = 0
+
     def _word(self, word: bytes) -> bytes:
         ids = self.merges.ids
         return b"".join([ids[t] for t in self.merges.encode(word)])
@@ -176,7 +187,11 @@ class Codec:
             found = b"".join([known[w] if w in known else self._piece(w) for w in words])
         else:
             found = self._word(piece.encode())
-        if len(known) < REMEMBERED and len(piece) <= REMEMBERED_LENGTH:
+        if len(piece) <= REMEMBERED_LENGTH:
+            self.size += _ENTRY + len(piece) + len(found)
+            if self.size > REMEMBERED_BYTES:
+                known.clear()
+                self.size = 0
             known[piece] = found
         return found
 
@@ -222,33 +237,42 @@ DECODED_AT_ONCE = 1 << 20
 def encode_documents(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, ids and decoded text of every row of ``docs`` (doc_id, text). No shuffle."""
 
-    def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def begin() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         own = codec(vocabulary)
-        ids = [own.encode(t) for t in texts(batch)]
-        lists = [np.frombuffer(x, dtype="<u4").astype(np.int64) for x in ids]
-        decoded = [own.decode(x).decode() for x in ids]
-        columns = [batch.column("doc_id"), pa.array(lists, pa.list_(pa.int64())), pa.array(decoded, pa.string())]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
-    return per_batch(docs.select("doc_id", "text"), coded, "doc_id long, ids array<long>, decoded string")
+        def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
+            ids = [own.encode(t) for t in texts(batch)]
+            lists = [np.frombuffer(x, dtype="<u4").astype(np.int64) for x in ids]
+            decoded = [own.decode(x).decode() for x in ids]
+            columns = [batch.column("doc_id"), pa.array(lists, pa.list_(pa.int64())), pa.array(decoded, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
+
+        return coded
+
+    schema = "doc_id long, ids array<long>, decoded string"
+    return per_task(docs.select("doc_id", "text"), begin, schema, lambda: codec(vocabulary).forget())
 
 
 def encode_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens and SHA-256 of ids and decoded text, for every row of ``docs``. No shuffle."""
 
-    def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def begin() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         own = codec(vocabulary)
-        counts, ids_sums, text_sums = [], [], []
-        for text in texts(batch):
-            ids = own.encode(text)
-            counts.append(len(ids) // 4)
-            ids_sums.append(hashlib.sha256(ids).hexdigest())
-            decoded = hashlib.sha256()
-            for at in range(0, len(ids), 4 * DECODED_AT_ONCE):
-                decoded.update(b" " * bool(at) + own.decode(ids[at : at + 4 * DECODED_AT_ONCE]))
-            text_sums.append(decoded.hexdigest())
-        columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sums), pa.array(text_sums)]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+        def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
+            counts, ids_sums, text_sums = [], [], []
+            for text in (t for part in text_slices(batch) for t in part):
+                ids = own.encode(text)
+                counts.append(len(ids) // 4)
+                ids_sums.append(hashlib.sha256(ids).hexdigest())
+                decoded = hashlib.sha256()
+                for at in range(0, len(ids), 4 * DECODED_AT_ONCE):
+                    decoded.update(b" " * bool(at) + own.decode(ids[at : at + 4 * DECODED_AT_ONCE]))
+                text_sums.append(decoded.hexdigest())
+            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sums), pa.array(text_sums)]
+            return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+        return coded
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return per_batch(docs.select("doc_id", "text"), coded, schema)
+    return per_task(docs.select("doc_id", "text"), begin, schema, lambda: codec(vocabulary).forget())

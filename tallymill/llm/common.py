@@ -24,6 +24,40 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
+def per_task(
+    df: DataFrame, begin: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema, end: Callable[[], None] | None = None
+) -> DataFrame:
+    """As ``per_batch``, by a function that ``begin`` makes anew for each task.
+
+    What the function remembers from batch to batch goes with the task: workers live on, and the
+    next stage needs their memory. ``end`` drops what it has left elsewhere.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = begin()
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield fn(batch)
+        finally:
+            del fn
+            if end is not None:
+                end()
+            pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
+
+
+#: Rows of a batch that are Python texts at one time.
+ROWS_AT_ONCE = 512
+
+
+def text_slices(batch: pa.RecordBatch, name: str = "text") -> Iterator[list[str]]:
+    """The texts of a batch, some at a time; null is an empty text."""
+    for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+        yield texts(batch.slice(at, ROWS_AT_ONCE), name)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null is an empty text."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -3,6 +3,8 @@
 A known word scores its log frequency in each language. An unseen word is padded with
 ``_`` and falls back to its n-grams: the longest length of which any is known scores,
 by their mean log frequency. A text takes the language with the highest sum over its words.
+Known is what a language's sample has at least ``MIN_COUNT`` times, whatever the other languages
+have; so the size of a profile follows from the sample alone.
 
 Cases: a null text or one without a letter is ``und`` with score 0; so is every text if
 nothing was learned. Ties go to the alphabetically first language. Texts of any length are
@@ -17,212 +19,252 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import per_batch, texts
+from tallymill.llm.common import per_task, text_slices
 from tallymill.session import materialise
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
+#: Lengths of n-grams, in the order in which an unseen word falls back.
+LENGTHS = (5, 4, 3, 2, 1)
+#: Times that a language's sample must have a word or n-gram for it to be known there.
+MIN_COUNT = 2
 #: Evidence counts as that of so many words at most when it is turned into a score.
 SCORE_WORDS = 16
-#: Scores of this many space-delimited pieces are remembered by a worker; not the longer pieces.
-REMEMBERED, REMEMBERED_LENGTH = 400_000, 40
+#: Bytes that a task spends on remembered pieces, whatever the number of languages, and the longest piece remembered.
+REMEMBERED_BYTES, REMEMBERED_LENGTH = 24 << 20, 40
+#: The seed with which Spark's xxhash64 begins.
+_SEED = 42
+
+
+def _key(text: str) -> int:
+    """Spark's xxhash64 of a text, as an unsigned number."""
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"), _SEED)
 
 
 @dataclass(frozen=True)
-class Profile:
-    """Log frequencies by language: rows of ``values`` for words and, by length, for n-grams."""
+class Table:
+    """Log frequencies of words, or of n-grams of one length.
+
+    ``keys`` are hashes, ascending; entries ``begins[i]`` to ``begins[i + 1]`` belong to the i-th.
+    An entry holds a language and by how much its log frequency exceeds that of the unseen (``floor``).
+    """
+
+    keys: np.ndarray
+    begins: np.ndarray
+    langs: np.ndarray
+    gains: np.ndarray
+    floor: np.ndarray
+
+    def find(self, hashes: Sequence[int]) -> np.ndarray:
+        """Place of each hash, or -1."""
+        wanted = np.array(hashes, dtype=np.uint64)
+        if not len(self.keys):
+            return np.full(len(wanted), -1)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, at, -1)
+
+    def rows(self, places: np.ndarray) -> np.ndarray:
+        """Log frequencies in every language, a row for each place."""
+        out = np.tile(self.floor, (len(places), 1))
+        sizes = self.begins[places + 1] - self.begins[places]
+        row = np.repeat(np.arange(len(places)), sizes)
+        entry = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.begins[places], sizes)
+        out[row, self.langs[entry]] += self.gains[entry]
+        return out
+
 
+@dataclass(frozen=True)
+class Profile:
     langs: tuple[str, ...]
-    words: dict[str, np.ndarray]
-    grams: tuple[dict[str, np.ndarray], ...]  # longest first
-
-
-def _frequencies(rows: Sequence, langs: Sequence[str]) -> dict[str, np.ndarray]:
-    place = {x: i for i, x in enumerate(langs)}
-    counts: dict[str, np.ndarray] = {}
-    for lang, item, n in rows:
-        counts.setdefault(item, np.zeros(len(langs)))[place[lang]] += n
-    if not counts:
-        return {}
-    totals = np.sum(list(counts.values()), axis=0) + 0.5 * len(counts)
-    return {k: np.log((v + 0.5) / totals) for k, v in counts.items()}
-
-
-def learn(
-    labelled: DataFrame,
-    docs_per_lang: int = 4_000,
-    max_langs: int = 256,
-    max_words: int = 40_000,
-    max_grams: int = 10_000,
-    lengths: Sequence[int] = (5, 4, 3, 2, 1),
-) -> Profile:
+    words: Table
+    grams: tuple[Table, ...]  # by LENGTHS
+
+
+def _table(counts: pa.Table, n_langs: int) -> Table:
+    """From rows of key, lang (a number) and n."""
+    keys = counts.column("key").to_numpy().view(np.uint64)
+    langs, n = counts.column("lang").to_numpy().astype(np.int32), counts.column("n").to_numpy().astype(float)
+    order = np.lexsort((langs, keys))
+    keys, langs, n = keys[order], langs[order], n[order]
+    found, first = np.unique(keys, return_index=True)
+    totals = np.bincount(langs, weights=n, minlength=n_langs) + 0.5 * max(len(found), 1)
+    gains = np.log(n + 0.5) - np.log(0.5)
+    return Table(found, np.append(first, len(keys)), langs, gains.astype(np.float32), np.log(0.5 / totals))
+
+
+def learn(labelled: DataFrame, docs_per_lang: int = 4_000) -> Profile:
     """Fit the frequencies on ``labelled`` (doc_id, text, lang), rows without text or lang apart.
 
-    The classifier sees a bounded sample: about ``docs_per_lang`` texts of each of the
-    ``max_langs`` commonest languages, picked by a hash of the id. It keeps the ``max_words``
-    commonest words and the ``max_grams`` commonest n-grams of each length; only those
-    reach the driver.
+    The classifier sees a bounded sample: about ``docs_per_lang`` texts of each language, picked by a
+    hash of the id. Of its words and n-grams the driver gets hashes and counts.
     """
-    rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    if not sizes:
-        return Profile((), {}, tuple({} for _ in lengths))
-    share = F.lit(0.0)
-    for r in sizes:
-        share = F.when(F.col("lang") == r["lang"], docs_per_lang / r["count"]).otherwise(share)
-    picked = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000
+    rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    sizes = rows.groupBy("lang").count()
+    langs = tuple(sorted(r["lang"] for r in sizes.select("lang").collect()))
+    numbers = F.create_map(*[x for i, lang in enumerate(langs) for x in (F.lit(lang), F.lit(i))]) if langs else None
+    if numbers is None:
+        nothing = _table(pa.table({"key": pa.array([], pa.int64()), "lang": pa.array([], pa.int32()), "n": pa.array([], pa.int64())}), 0)
+        return Profile((), nothing, (nothing,) * len(LENGTHS))
+    sizes = sizes.select("lang", numbers[F.col("lang")].alias("number"), (F.lit(float(docs_per_lang)) / F.col("count")).alias("share"))
+    # a row for each language
+    picked = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
     words = (
-        rows.where(picked)
-        .select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("item"))
+        picked.select(F.col("number").alias("lang"), F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("item"))
         .where(F.col("item") != "")
         .groupBy("lang", "item")
         .agg(F.count("*").alias("n"))
     )
     words = materialise(words, "language-words")
     padded = F.concat(F.lit("_"), F.col("item"), F.lit("_"))
-    pieces = [
-        F.when(
-            F.length("item") + 2 >= n,
-            F.transform(F.sequence(F.lit(1), F.greatest(F.length("item") + 3 - n, F.lit(1))), _piece_of(padded, n)),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in lengths
-    ]
-    grams = words.select("lang", "n", F.explode(F.concat(*pieces)).alias("item"))
-    grams = materialise(_by_item(grams.groupBy("lang", "item").agg(F.sum("n").alias("n"))), "language-grams")
-
-    def commonest(items: DataFrame, most: int) -> list[tuple]:
-        top = items.orderBy(F.desc("total"), "item").limit(most).collect()
-        return [(x["lang"], r["item"], x["n"]) for r in top for x in r["counts"]]
-
-    langs = tuple(sorted(r["lang"] for r in sizes))
-    return Profile(
-        langs,
-        _frequencies(commonest(_by_item(words), max_words), langs),
-        tuple(_frequencies(commonest(grams.where(F.length("item") == n), max_grams), langs) for n in lengths),
-    )
-
 
-def _piece_of(text: Column, n: int) -> Callable[[Column], Column]:
-    return lambda start: F.substring(text, start, F.lit(n))
+    def pieces(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length("item") + 3 - n, F.lit(1)))
+        named = F.transform(starts, lambda at: F.struct(F.lit(n).alias("length"), F.xxhash64(F.substring(padded, at, F.lit(n))).alias("key")))
+        return F.when(F.length("item") + 2 >= n, named).otherwise(F.array().cast("array<struct<length:int,key:bigint>>"))
 
-
-def _by_item(counts: DataFrame) -> DataFrame:
-    """item, total and its counts by language, of which there are few."""
-    return counts.groupBy("item").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("counts"))
+    grams = words.select("lang", "n", F.explode(F.concat(*[pieces(n) for n in LENGTHS])).alias("of"))
+    grams = grams.groupBy("lang", "of.length", "of.key").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
+    known = words.where(F.col("n") >= MIN_COUNT).select("lang", F.lit(0).alias("length"), F.xxhash64("item").alias("key"), "n")
+    counts = known.unionByName(grams).toArrow()
+    length = counts.column("length").to_numpy()
+    tables = [_table(counts.filter(pa.array(length == n)), len(langs)) for n in (0, *LENGTHS)]
+    return Profile(langs, tables[0], tuple(tables[1:]))
 
 
 class Scorer:
-    """Scores texts against a profile; remembers the pieces it has met."""
+    """Scores texts against a profile; remembers pieces it has met, within ``REMEMBERED_BYTES``."""
 
-    def __init__(self, profile: Profile, lengths: Sequence[int] = (5, 4, 3, 2, 1)):
-        self.profile, self.lengths = profile, lengths
-        self.width = len(profile.langs)
-        self.grams = [({g: i for i, g in enumerate(t)}, np.array(list(t.values())).reshape(len(t), self.width)) for t in profile.grams]
+    def __init__(self, profile: Profile):
+        self.profile, self.width = profile, len(profile.langs)
+        # a row of numbers, and about 200 bytes for the piece and its place
+        self.most = max(64, REMEMBERED_BYTES // (8 * (self.width + 1) + 200))
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((1024, self.width + 1))  # the last column counts words
-
-    def word(self, word: str) -> np.ndarray:
-        known = self.profile.words.get(word)
-        if known is not None:
-            return known
-        padded = f"_{word}_"
-        for n, (place, rows) in zip(self.lengths, self.grams):
-            pieces = [padded[i : i + n] for i in range(len(padded) - n + 1)]
-            found = [place[g] for g in pieces if g in place]
-            if found:
-                return rows[found].mean(axis=0)
-        return np.zeros(self.width)
-
-    def piece(self, piece: str) -> np.ndarray:
-        words = [w for w in WORD.findall(piece.lower()) if any(map(str.isalpha, w))]  # not superscripts and the like alone
-        total = np.zeros(self.width + 1)
-        for word in words:
-            total[:-1] += self.word(word)
-        total[-1] = len(words)
-        return total
-
-    def _remember(self, piece: str) -> int:
-        at = len(self.place)
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[at] = self.piece(piece)
-        self.place[piece] = at
-        return at
-
-    def total(self, text: str) -> np.ndarray:
-        place, known, rest = self.place, [], np.zeros(self.width + 1)
-        for piece in text.split():
-            at = place.get(piece)
-            if at is not None:
-                known.append(at)
-            elif len(place) < REMEMBERED and len(piece) <= REMEMBERED_LENGTH:
-                known.append(self._remember(piece))
-            else:
-                rest += self.piece(piece)
-        return rest + self.rows[known].sum(axis=0) if known else rest
-
-    def predict(self, text: str) -> tuple[str, float]:
-        total = self.total(text)
-        words = total[-1]
-        if not words or not self.width:
-            return UNDETERMINED, 0.0
-        sums = total[:-1] * min(1.0, SCORE_WORDS / words)
-        best = int(np.argmax(sums))
-        return self.profile.langs[best], float(1.0 / np.exp(sums - sums[best]).sum())
-
-
-_scorers: dict[int, Scorer] = {}
-
-
-def _scorer(shared) -> Scorer:
-    """One scorer for each broadcast profile in a worker, so that what it remembers lasts."""
-    if shared.id not in _scorers:
-        _scorers.clear()
-        _scorers[shared.id] = Scorer(shared.profile.value)
-    return _scorers[shared.id]
-
-
-@dataclass(frozen=True)
-class _Shared:
-    id: str
-    profile: object
-
-
-def _share(docs: DataFrame, profile: Profile) -> _Shared:
-    import uuid
-
-    return _Shared(uuid.uuid4().hex, docs.sparkSession.sparkContext.broadcast(profile))
+        self.rows = np.zeros((min(self.most, 4096), self.width + 1))  # the last column counts words
+
+    def words(self, words: Sequence[str]) -> np.ndarray:
+        """Log frequencies of words, a row for each: their own, or their n-grams' mean."""
+        out = np.zeros((len(words), self.width))
+        at = self.profile.words.find([_key(w) for w in words])
+        known = np.flatnonzero(at >= 0)
+        out[known] = self.profile.words.rows(at[known])
+        left = np.flatnonzero(at < 0).tolist()
+        for n, table in zip(LENGTHS, self.profile.grams):
+            if not left:
+                break
+            padded = [f"_{words[i]}_" for i in left]
+            sizes = np.array([max(0, len(p) - n + 1) for p in padded])
+            found = table.find([_key(p[k : k + n]) for p, size in zip(padded, sizes.tolist()) for k in range(size)])
+            owner = np.repeat(np.arange(len(left)), sizes)[found >= 0]
+            hits = np.bincount(owner, minlength=len(left))
+            sums = np.zeros((len(left), self.width))
+            np.add.at(sums, owner, table.rows(found[found >= 0]))
+            met = np.flatnonzero(hits)
+            out[np.array(left)[met]] = sums[met] / hits[met, None]
+            left = [i for i, n_hits in zip(left, hits.tolist()) if not n_hits]
+        return out
+
+    def pieces(self, pieces: Sequence[str]) -> np.ndarray:
+        """Sums over the words of space-delimited pieces, and their number, a row for each."""
+        # not superscripts and the like alone
+        split = [[w for w in WORD.findall(p.lower()) if any(map(str.isalpha, w))] for p in pieces]
+        distinct = {w: i for i, w in enumerate(dict.fromkeys(w for words in split for w in words))}
+        values = self.words(list(distinct))
+        out = np.zeros((len(pieces), self.width + 1))
+        owner = np.repeat(np.arange(len(pieces)), [len(words) for words in split])
+        np.add.at(out[:, :-1], owner, values[[distinct[w] for words in split for w in words]])
+        out[:, -1] = [len(words) for words in split]
+        return out
+
+    def _remember(self, unseen: list[str]) -> None:
+        need = len(self.place) + len(unseen)
+        if need > len(self.rows):
+            grown = np.zeros((min(self.most, max(need, 2 * len(self.rows))), self.width + 1))
+            grown[: len(self.place)] = self.rows[: len(self.place)]
+            self.rows = grown
+        self.rows[len(self.place) : need] = self.pieces(unseen)
+        self.place.update(zip(unseen, range(len(self.place), need)))
+
+    def totals(self, texts: Sequence[str]) -> np.ndarray:
+        """Sums over the words of each text, and their number."""
+        out = np.zeros((len(texts), self.width + 1))
+        split = [t.split() for t in texts]
+        for begin in range(0, len(texts), 64):
+            part = split[begin : begin + 64]
+            unseen = {p for pieces in part for p in pieces}.difference(self.place)
+            long = [p for p in unseen if len(p) > REMEMBERED_LENGTH]
+            short = sorted(unseen.difference(long))
+            if len(self.place) + len(short) > self.most:
+                self.place.clear()
+                short = sorted({p for pieces in part for p in pieces if len(p) <= REMEMBERED_LENGTH})
+            if len(short) > self.most:  # more than may be remembered at all: piece by piece, not kept
+                for i, pieces in enumerate(part, begin):
+                    for at in range(0, len(pieces), self.most):
+                        out[i] += self.pieces(pieces[at : at + self.most]).sum(axis=0)
+                continue
+            if short:
+                self._remember(short)
+            apart = dict(zip(long, self.pieces(long))) if long else {}
+            for i, pieces in enumerate(part, begin):
+                known = [p for p in pieces if p not in apart] if apart else pieces
+                out[i] = self.rows[np.fromiter(map(self.place.__getitem__, known), np.int64, len(known))].sum(axis=0)
+                for p in pieces if apart else ():
+                    if p in apart:
+                        out[i] += apart[p]
+        return out
+
+    def predict(self, texts: Sequence[str]) -> list[tuple[str, float]]:
+        found = []
+        for total in self.totals(texts):
+            words = total[-1]
+            if not words or not self.width:
+                found.append((UNDETERMINED, 0.0))
+                continue
+            sums = total[:-1] * min(1.0, SCORE_WORDS / words)
+            best = int(np.argmax(sums))
+            found.append((self.profile.langs[best], float(1.0 / np.exp(sums - sums[best]).sum())))
+        return found
+
+
+def _answers(scorer: Scorer, batch: pa.RecordBatch) -> list[tuple[str, float]]:
+    return [x for texts in text_slices(batch) for x in scorer.predict(texts)]
 
 
 def identify(docs: DataFrame, profile: Profile, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keys`` of every row of ``docs`` with lang_pred and score (0 to 1)."""
-    shared = _share(docs, profile)
-    slim = docs.select(*keys, "text")
+    shared = docs.sparkSession.sparkContext.broadcast(profile)
     schema = docs.select(*keys).schema.add("lang_pred", "string").add("score", "double")
 
-    def answer(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scorer = _scorer(shared)
-        found = [scorer.predict(t) for t in texts(batch)]
-        columns = [batch.column(k) for k in keys]
-        columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-        return pa.RecordBatch.from_arrays(columns, names=[*keys, "lang_pred", "score"])
+    def begin() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        scorer = Scorer(shared.value)  # what it remembers goes with the task
+
+        def answer(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = _answers(scorer, batch)
+            columns = [batch.column(k) for k in keys]
+            columns += [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
+            return pa.RecordBatch.from_arrays(columns, names=[*keys, "lang_pred", "score"])
 
-    return per_batch(slim, answer, schema)
+        return answer
+
+    return per_task(docs.select(*keys, "text"), begin, schema)
 
 
 def keep_identified(docs: DataFrame, profile: Profile, least: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose language is found with at least ``least``."""
-    shared = _share(docs, profile)
+    shared = docs.sparkSession.sparkContext.broadcast(profile)
+
+    def begin() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+
+        def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+            return batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in _answers(scorer, batch)]))
 
-    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scorer = _scorer(shared)
-        found = [scorer.predict(t) for t in texts(batch)]
-        return batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in found]))
+        return keep
 
-    return per_batch(docs, keep, docs.schema)
+    return per_task(docs, begin, docs.schema)
 
 
 def training_part(docs: DataFrame) -> DataFrame:

@@ -7,8 +7,8 @@ fewer documents than such a cell has by chance, a fixed share of the corpus at a
 
 Each of 56 samplers draws one shingle and a quantised weight of a document, the same one
 for two documents with a probability of their weighted Jaccard similarity. Fourteen bands of
-four draws give buckets (at a similarity of 0.8 they miss one pair in 1,600). Documents with the same words are one class, named by its
-smallest id. Links between classes are looked for in two rounds, so that a bucket of one
+four draws give buckets (at a similarity of 0.8 they miss one pair in 1,600). Documents with the same
+words are one class, named by its smallest id. Links between classes are looked for in two rounds, so that a bucket of one
 large group is not expanded into pairs:
 
 1. every class of a bucket against the bucket's smallest class;
@@ -22,7 +22,7 @@ Pairs whose total weights or draws rule the similarity out are dropped
 their exact weighted Jaccard similarity, from their whole texts.
 
 Cases: null and empty texts and texts without words link with nothing. Rows that share an
-id are one document. Rows with a null id link with nothing and are kept. Ties cannot arise:
+id are one document: that of the row with the least hash among those whose texts have words. Rows with a null id link with nothing and are kept. Ties cannot arise:
 a similarity of exactly 0.8 links. An empty table gives an empty result.
 """
 
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import texts
+from tallymill.llm.common import text_slices, texts
 from tallymill.llm.graph import components
 from tallymill.llm.shingles import digest, mix, shingles, word_hashes
 from tallymill.session import materialise
@@ -55,7 +55,7 @@ SLICE = 1 << 13
 #: Of 56 draws so many at least agree if the similarity is 0.8, but for one pair in twenty thousand.
 LEAST_DRAWS = 32
 #: Shingles that a task of the verification remembers, so that a text met again is not read again.
-REMEMBERED = 1 << 22
+REMEMBERED = 1 << 21
 _POOL_BITS = 16
 #: Shingles drawn from in one go, so that the arrays stay in the processor's cache.
 _BLOCK = 1 << 13
@@ -74,7 +74,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, n = np.zeros(1 << CELL_BITS, np.int64), 0
         for batch in batches:
-            for words in word_hashes(texts(batch)):
+            for words in (words for part in text_slices(batch) for words in word_hashes(part)):
                 if len(words):
                     n += 1
                     np.add.at(counts, np.unique(_cells(shingles(words))), 1)
@@ -152,17 +152,18 @@ def _bands(drawn: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, shared) -> DataFrame:
-    """doc_id, words (digest), weight, bands and draws of each document with words."""
+    """doc_id, words (digest), weight, bands, draws and text_key (hash) of each row with words."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = shared.value
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, keys = batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()
             group: list[tuple] = []
             size = 0
-            for doc_id, words in zip(ids, word_hashes(texts(batch))):
+            every = (words for part in text_slices(batch) for words in word_hashes(part))
+            for doc_id, key, words in zip(ids, keys, every):
                 if len(words):
-                    group.append((doc_id, digest(words), *weighted(words, rare)))
+                    group.append((doc_id, digest(words), *weighted(words, rare), key))
                     size += len(group[-1][2])
                 if size > 1 << 18:
                     yield packed(group)
@@ -180,11 +181,13 @@ def signatures(docs: DataFrame, shared) -> DataFrame:
             pa.array([float(g[3].sum(dtype=np.float64)) for g in group], pa.float64()),
             pa.array(list(bands), pa.list_(pa.int64())),
             pa.array([d.tobytes() for d in drawn], pa.binary()),
+            pa.array([g[4] for g in group], pa.int64()),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "words", "weight", "bands", "drawn"])
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "words", "weight", "bands", "drawn", "text_key"])
 
-    schema = "doc_id long, words binary, weight double, bands array<long>, drawn binary"
-    return docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").mapInArrow(signed, schema)
+    schema = "doc_id long, words binary, weight double, bands array<long>, drawn binary, text_key long"
+    known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return known.mapInArrow(signed, schema)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -310,13 +313,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest id with the same words), component_id (smallest id linked to) and kept, for each id."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(rarity(docs))
-    # rows that share an id count once, by their smallest digest
-    one = F.min(F.struct("words", "weight", "bands", "drawn")).alias("one")
+    # rows that share an id count once, by the least hash of their texts
+    one = F.min(F.struct("text_key", "words", "weight", "bands", "drawn")).alias("one")
     signed = materialise(signatures(docs, shared).groupBy("doc_id").agg(one).select("doc_id", "one.*"), "near-signatures")
     own = signed.select("doc_id", "words")
     classes = signed.groupBy("words").agg(
-        F.min("doc_id").alias("class_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("drawn").alias("drawn")
+        F.min(F.struct("doc_id", "text_key")).alias("named"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("drawn").alias("drawn")
     )
+    classes = classes.select("words", F.col("named.doc_id").alias("class_id"), F.col("named.text_key").alias("text_key"), "weight", "bands", "drawn")
     classes = materialise(classes, "near-classes")
     placed = classes.select("class_id", "weight", F.explode("bands").alias("band"))
     heads = placed.groupBy("band").agg(F.min(F.struct("class_id", "weight")).alias("head"), F.count("*").alias("n")).where("n > 1")
@@ -326,10 +330,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     stars = stars.select(F.col("head.class_id").alias("a"), F.col("class_id").alias("b")).distinct()
     stars = materialise(_plausible(stars, classes), "near-pairs")
 
-    wanted = classes.select("class_id", "bands", "drawn").join(members.select("class_id").distinct(), "class_id", "left_semi")
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("class_id"), "text")
+    wanted = classes.select("class_id", "text_key", "bands", "drawn").join(members.select("class_id").distinct(), "class_id", "left_semi")
+    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("class_id"), F.xxhash64("text").alias("text_key"), "text")
     # the same plan at every size: texts move once, the ids wanted are never sent to all tasks
-    candidates = materialise(rows.join(wanted.hint("merge"), "class_id"), "near-texts")
+    met = rows.join(wanted.hint("merge"), ["class_id", "text_key"])
+    candidates = met.groupBy("class_id").agg(*[F.first(c).alias(c) for c in ("text", "bands", "drawn")])  # equal rows once
+    candidates = materialise(candidates, "near-texts")
     links = materialise(_verified(stars, candidates, shared), "near-links")
     joined = components(links)
 
@@ -351,8 +357,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return every.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+#: The characters of words, as in ``shingles``.
+_WORD = "[0-9A-Za-z\\x{80}-\\x{10FFFF}]"
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Of ``docs``, all columns, one row of the document with the smallest id of each group; null ids stay."""
+    """Of ``docs``, all columns, one row of the document with the smallest id of each group; null ids stay.
+
+    Of rows that share an id the one that stands for the document is kept.
+    """
     dropped = materialise(near_groups(docs).where(~F.col("kept")).select("doc_id"), "near-dropped")
-    named = docs.where(F.col("doc_id").isNotNull()).join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    named = docs.where(F.col("doc_id").isNotNull()).join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    wordless = ~F.coalesce(F.col("text").rlike(_WORD), F.lit(False))
+    order = F.struct(wordless, F.xxhash64("text"), F.xxhash64(*docs.columns))
+    one = named.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
+    return one.select("row.*").unionByName(docs.where(F.col("doc_id").isNull()))

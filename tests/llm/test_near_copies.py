@@ -165,3 +165,18 @@ def test_nearest_of_odd_rows(spark):
 def test_chi_square_distribution():
     assert abs(ann.chi_square(ann.chi_square_quantile(0.99, 8), 8) - 0.99) < 1e-9
     assert abs(ann.chi_square_quantile(0.95, 8) - 15.507) < 1e-2
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 4])
+def test_rows_that_share_an_id_are_one_text_on_any_partitioning(spark, partitions):
+    draw = random.Random(8)
+    one, other = text(draw, 200), text(draw, 200)
+    rows = [(1, one), (2, one + " more"), (2, other), (3, other + " more"), (4, None), (4, other + " end"), (4, "")]
+    docs = spark.createDataFrame([(i, t, f"row {k}", k) for k, (i, t) in enumerate(rows)], DOCS)
+    key = {t: k for t, k in docs.selectExpr("text", "xxhash64(text)").collect()}
+    second = min((one + " more", other), key=key.__getitem__)
+    found = {r.doc_id: r.component_id for r in minhash.near_groups(docs.repartition(partitions)).collect()}
+    expected = {1: 1, 2: 1, 3: 3, 4: 3} if second != other else {1: 1, 2: 2, 3: 2, 4: 2}
+    assert found == expected
+    kept = {r.doc_id: r.text for r in minhash.keep_first(docs.repartition(partitions)).collect()}
+    assert kept == ({1: one, 3: other + " more"} if second != other else {1: one, 2: other})
