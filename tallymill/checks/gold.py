@@ -280,10 +280,13 @@ def mart_sales() -> str:
     ), r as (
         select return_date[:7] as year_month, sum(cast(refund_amount as decimal(18,2))) as back from {t("returns")} group by 1
     )
-    select f.year_month, n_orders, n_lines, cast(rev as double) as revenue,
+    select f.year_month, n_orders, n_lines, cast(rev as double) as revenue, cast(coalesce(back, 0) as double) as refunds,
            {mean("rev", "n_orders")} as avg_order_value, {_ratio("rev - cost", "rev")} as gross_margin,
            {_ratio("coalesce(back, 0)", "rev")} as return_rate
-    from f left join r on r.year_month = f.year_month"""
+    from f left join r on r.year_month is not distinct from f.year_month
+    union all
+    select year_month, 0, 0, 0.0, cast(coalesce(back, 0) as double), null, null, null
+    from r where not exists (select 1 from f where f.year_month is not distinct from r.year_month)"""
 
 
 def mart_campaign_roi() -> str:

@@ -2,54 +2,55 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.session import materialise
 
-_PLACE, _ROW = "_place_in_file", "_row_in_partition"
+_PLACE, _FILE, _AT = "_place", "_file", "_at"
+#: Task number, and number of the file within the task, in the names of written files.
+_PART = re.compile(r"part-(\d+)-.*?(?:-c(\d+))?(?:\.|$)")
 
 
-def dense_key(df: DataFrame, order_by: Sequence[Column], name: str, written: bool = False) -> DataFrame:
+def dense_key(df: DataFrame, order_by: Sequence[Column], name: str, steady: bool = False) -> DataFrame:
     """Number the rows 1..n along ``order_by`` without gathering them in one task.
 
-    A window over the whole table runs in a single task. Here the rows are range
-    partitioned, numbered inside their partition and written once. Row counts per
-    partition, at most one small row per written partition, then give each
-    partition its offset. The write pins the sampled range bounds: without it the
-    two reads could see different ones.
+    The rows are range partitioned, sorted and written once. Their numbers come from the files: the
+    place in its file, which every later read finds again, and the rows in the files before. The
+    driver counts these, one number per file; ids are the same on every read and every retry.
 
-    The input is written first, unless it is a plain scan of files (``written``).
-    Sampling then reads only the ordering columns, and a row's place in its file,
-    the same on every retry, can break ties: even a third of all rows being copies
-    of each other spread over many partitions.
+    Ties are broken by a place in the input, so that even a third of all rows being copies of each
+    other spreads over many partitions. A retried task must find the same places. A plain scan, or
+    what filters and projections make of one, does (``steady``); any other input is first sorted
+    within its tasks by a digest of the whole row.
     """
-    base = df if written else materialise(df, "unkeyed")
+    if not steady:
+        df = df.sortWithinPartitions(F.xxhash64(*df.columns), *df.columns)
     order = [*order_by, F.col(_PLACE)]
     placed = (
-        base.withColumn(_PLACE, F.monotonically_increasing_id())
+        df.withColumn(_PLACE, F.monotonically_increasing_id())
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .drop(_PLACE)
-        .withColumn(_ROW, F.monotonically_increasing_id())
     )
-    rows = materialise(placed, "keys")
-    part = F.shiftright(F.col(_ROW), 33)
-    in_part = F.col(_ROW).bitwiseAND(F.lit((1 << 33) - 1))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    rows = materialise(placed, "keys").select(
+        *df.columns, F.col("_metadata.file_name").alias(_FILE), F.col("_metadata.row_index").alias(_AT)
     )
-    # one row per written partition: safe to send to every task
-    return (
-        rows.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .select(
-            (F.col("_offset") + in_part + 1).cast("long").alias(name),
-            *[F.col(c) for c in df.columns],
-        )
+    counts = {r[_FILE]: r["count"] for r in rows.groupBy(_FILE).count().collect()}
+    offsets, before = [], 0
+    for file in sorted(counts, key=_written_order):
+        offsets.append((file, before))
+        before += counts[file]
+    # one row per written file: safe to send to every task
+    starts = df.sparkSession.createDataFrame(offsets, f"{_FILE} string, _before bigint")
+    return rows.join(F.broadcast(starts), _FILE).select(
+        (F.col("_before") + F.col(_AT) + 1).alias(name), *[F.col(c) for c in df.columns]
     )
+
+
+def _written_order(file: str) -> tuple[int, int]:
+    found = _PART.match(file)
+    return int(found[1]), int(found[2] or 0)

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymill.operators.keys import dense_key
+
 _CHUNK, _ORDER, _LEVEL, _TAIL = "_chunk", "_order", "_level", "_tail"
 
 
@@ -109,10 +111,11 @@ def _seeds(base: DataFrame, level: Level, i: int) -> list[DataFrame]:
             .groupBy(*keys)
             .agg(F.sort_array(F.collect_list(F.struct(_ORDER, *level.looked_at))).alias("_rows"))
         )
-        earlier = [
-            F.coalesce(F.lag("_rows", k).over(along), F.array().cast(tails.schema["_rows"].dataType))
-            for k in range(level.reach, 0, -1)
-        ]
+        nothing = F.array().cast(tails.schema["_rows"].dataType)
+        if level.keys:
+            earlier = [F.coalesce(F.lag("_rows", k).over(along), nothing) for k in range(level.reach, 0, -1)]
+        else:
+            tails, earlier = _numbered_tails(tails, level.reach, nothing)
         joined = F.concat(*earlier)
         wanted = F.slice(joined, F.greatest(F.size(joined) - level.reach + 1, F.lit(1)), level.reach)
         seeds.append(
@@ -129,6 +132,20 @@ def _seeds(base: DataFrame, level: Level, i: int) -> list[DataFrame]:
     return seeds
 
 
+def _numbered_tails(tails: DataFrame, reach: int, nothing: Column) -> tuple[DataFrame, list[Column]]:
+    """Each chunk's tail with those of the ``reach`` chunks before it, farthest first.
+
+    Without keys a window along the chunks would hold all of them in one task. Here the chunks are
+    numbered from one range-sorted write, and neighbours meet by their numbers.
+    """
+    numbered = dense_key(tails, [F.col(_CHUNK)], "_i")
+    out = numbered
+    for k in range(1, reach + 1):
+        prior = numbered.select((F.col("_i") + k).alias("_i"), F.col("_rows").alias(f"_rows_{k}"))
+        out = out.join(prior, "_i", "left")
+    return out, [F.coalesce(f"_rows_{k}", nothing) for k in range(reach, 0, -1)]
+
+
 def row_numbers(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], chunk: Sequence[Column], name: str
 ) -> DataFrame:

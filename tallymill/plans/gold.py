@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymill.functions import clean, compat, money
 from tallymill.operators.keys import dense_key
-from tallymill.operators.versions import disjoint_periods, point_in_time_join
+from tallymill.operators.versions import MonthlyPeriods, disjoint_periods, point_in_time_join
 from tallymill.operators.windows import best_per_key, latest_per_key
 from tallymill.plans import vocab as v
 
@@ -173,13 +173,13 @@ def web_heads(orders: DataFrame) -> DataFrame:
     return one_per_id(orders.select(*columns), "order_id", ["order_date", "order_time"])
 
 
-def fact_pos_sales(lines: DataFrame, heads: DataFrame, bridge: DataFrame) -> DataFrame:
+def fact_pos_sales(lines: DataFrame, heads: DataFrame, bridge: MonthlyPeriods) -> DataFrame:
     """One row per kept till line. ``heads`` and ``bridge`` have at most one match
     for a line (``pos_heads``, ``bridge_product``), so no line is doubled and the
     facts are shuffled once. Pass both as written tables: the joins then see their
     true sizes, and sit right on their shuffles, where Spark can split a hot id."""
     sold = lines.join(heads, "transaction_id", "left")
-    priced = point_in_time_join(sold, bridge.drop("product_sk"), "product_id", "transaction_date")
+    priced = point_in_time_join(sold, bridge, "transaction_date", ["supplier_id", "unit_cost_kes"])
     return priced.select(
         "transaction_id",
         "store_id",
@@ -205,15 +205,15 @@ def fact_pos_sales(lines: DataFrame, heads: DataFrame, bridge: DataFrame) -> Dat
     )
 
 
-def _web_sales(lines: DataFrame, heads: DataFrame, bridge: DataFrame, homes: DataFrame) -> DataFrame:
+def _web_sales(lines: DataFrame, heads: DataFrame, bridge: MonthlyPeriods, homes: DataFrame) -> DataFrame:
     sold = lines.join(heads, "order_id", "left")
-    priced = point_in_time_join(sold, bridge.drop("product_sk"), "product_id", "order_date")
+    priced = point_in_time_join(sold, bridge, "order_date", ["supplier_id", "unit_cost_kes"])
     store = homes.select("customer_id", F.col("primary_store_id").alias("store_id"))
     return priced.join(store, "customer_id", "left")
 
 
 def ecommerce_fact_sales(
-    lines: DataFrame, heads: DataFrame, bridge: DataFrame, homes: DataFrame
+    lines: DataFrame, heads: DataFrame, bridge: MonthlyPeriods, homes: DataFrame
 ) -> DataFrame:
     """One row per web order line; the silver line key breaks ties of the new key."""
     sold = _web_sales(lines, heads, bridge, homes).select(
@@ -244,7 +244,7 @@ def ecommerce_fact_sales(
 
 
 def fact_ecommerce_sales(
-    lines: DataFrame, heads: DataFrame, bridge: DataFrame, homes: DataFrame
+    lines: DataFrame, heads: DataFrame, bridge: MonthlyPeriods, homes: DataFrame
 ) -> DataFrame:
     """Web order lines in the columns of the till facts."""
     return _web_sales(lines, heads, bridge, homes).select(
@@ -294,12 +294,10 @@ def sale_origins(pos: DataFrame, web: DataFrame) -> DataFrame:
     )
 
 
-def fact_returns(returns: DataFrame, bridge: DataFrame, origins: DataFrame) -> DataFrame:
+def fact_returns(returns: DataFrame, bridge: MonthlyPeriods, origins: DataFrame) -> DataFrame:
     """Return events with product version, and store and customer of the original sale."""
     dated = with_date_id(returns, "return_date")
-    versioned = point_in_time_join(
-        dated, bridge.select("product_id", "valid_from", "valid_to", "product_sk"), "product_id", "return_date"
-    )
+    versioned = point_in_time_join(dated, bridge, "return_date", ["product_sk"])
     return versioned.join(
         origins, versioned["original_transaction_id"] == origins["transaction_id"], "left"
     ).drop("transaction_id")
@@ -309,14 +307,10 @@ def fact_loyalty(loyalty: DataFrame) -> DataFrame:
     return with_date_id(loyalty, "transaction_date")
 
 
-def fact_inventory_movements(movements: DataFrame, products: DataFrame, stores: DataFrame) -> DataFrame:
+def fact_inventory_movements(movements: DataFrame, products: MonthlyPeriods, stores: MonthlyPeriods) -> DataFrame:
     dated = with_date_id(movements, "movement_date")
-    by_product = point_in_time_join(
-        dated, products.select("product_id", "valid_from", "valid_to", "product_sk"), "product_id", "movement_date"
-    )
-    return point_in_time_join(
-        by_product, stores.select("store_id", "valid_from", "valid_to", "store_key"), "store_id", "movement_date"
-    )
+    by_product = point_in_time_join(dated, products, "movement_date", ["product_sk"])
+    return point_in_time_join(by_product, stores, "movement_date", ["store_key"])
 
 
 def fact_customer_experience(feedback: DataFrame) -> DataFrame:
@@ -332,9 +326,9 @@ def fact_gift_card(transactions: DataFrame, owners: DataFrame) -> DataFrame:
     return with_date_id(transactions, "date").join(owners, "card_number", "left")
 
 
-def fact_time_attendance(events: DataFrame, bridge: DataFrame) -> DataFrame:
+def fact_time_attendance(events: DataFrame, bridge: MonthlyPeriods) -> DataFrame:
     """Clock events with the staff version of that day."""
-    return point_in_time_join(with_date_id(events, "event_date"), bridge, "employee_id", "event_date")
+    return point_in_time_join(with_date_id(events, "event_date"), bridge, "event_date", ["employee_sk", "department"])
 
 
 def po_heads(orders: DataFrame) -> DataFrame:
@@ -393,16 +387,17 @@ def agg_inventory_snapshot(snapshots: DataFrame) -> DataFrame:
 
 
 def agg_competitor_benchmark(quarterly: DataFrame, competitors: DataFrame) -> DataFrame:
-    """Revenue per rival and quarter, and its share of that quarter's total."""
+    """Revenue per rival and quarter, and its share of that quarter's total; lines of no
+    known quarter are a quarter of their own."""
     each = quarterly.groupBy("competitor_id", "quarter").agg(
         F.sum("revenue_kes").alias("revenue_kes"),
         F.avg(F.col("market_share_pct").cast("decimal(9,2)")).cast("double").alias("market_share_pct"),
     )
-    total = each.groupBy("quarter").agg(F.sum("revenue_kes").alias("_all"))
+    total = each.groupBy(F.col("quarter").alias("_quarter")).agg(F.sum("revenue_kes").alias("_all"))
     names = competitors.groupBy("competitor_id").agg(F.min("competitor_name").alias("competitor_name"))
     share = F.round(F.try_divide(F.col("revenue_kes") * 100, F.col("_all")), 4)
     return (
-        each.join(total, "quarter")
+        each.join(total, F.col("quarter").eqNullSafe(F.col("_quarter")))
         .join(names, "competitor_id", "left")
         .select(
             "competitor_id", "competitor_name", "quarter", "revenue_kes", "market_share_pct",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymill.operators.keys import dense_key
+from tallymill.operators.versions import MonthlyPeriods, by_month
 from tallymill.plans import derive, gold, marts
 from tallymill.plans.silver_sales import pos_transaction_heads
 from tallymill.plans.tables import SILVER
@@ -17,6 +18,24 @@ from tallymill.session import materialise
 
 AS_OF = date(2024, 6, 30)
 STORE_BRAND, STORE_CODE = "Chain Store", "cs_"
+#: Bridges and the key by which facts meet them.
+BRIDGED = {"bridge_product": "product_id", "bridge_store": "store_id", "bridge_employee": "employee_id"}
+
+
+#: Bytes up to which an input counts as small.
+SMALL_INPUT = 256 << 20
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """A small table, written again in as many files as there are cores.
+
+    Its file may hold a single row group, which one task has to read, whatever is then
+    done with the rows. Larger tables have splits enough and stay as they lie.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SMALL_INPUT:
+        return df
+    return materialise(df.repartition(df.sparkSession.sparkContext.defaultParallelism), "dealt")
 
 
 class Lake:
@@ -29,16 +48,18 @@ class Lake:
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: date = AS_OF):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+        self.dealt = cache(lambda name: dealt(self.base(name)))
         self.raw = cache(self._raw)
         self.silver = cache(self._silver)
         self.gold = cache(self._gold)
         self.fixed = cache(self._fixed)
+        self.monthly = cache(self._monthly)
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _raw(self, name: str) -> DataFrame:
-        return materialise(derive.raw(self.spark, self.sf_dir, name), name)
+        return materialise(derive.raw(self.spark, self.dealt, name), name)
 
     def flagged(self, name: str) -> DataFrame:
         """All rows of a silver table, those its gate rejects included."""
@@ -55,7 +76,7 @@ class Lake:
     def keyed(self, name: str) -> DataFrame:
         """The kept rows with the table's surrogate key."""
         key, order = SILVER[name].surrogate
-        return dense_key(self.silver(name), [F.col(c) for c in order], key)
+        return dense_key(self.silver(name), [F.col(c) for c in order], key, steady=SILVER[name].steady)
 
     def receipts(self) -> DataFrame:
         """Kept till receipts without their line sums, for those who need no sum."""
@@ -67,6 +88,10 @@ class Lake:
         its size, and Spark may broadcast it or split hot keys of the other side."""
         return materialise(self.gold(name), name)
 
+    def _monthly(self, bridge: str) -> MonthlyPeriods:
+        """A bridge as facts meet it, split once for all of them."""
+        return by_month(self.fixed(bridge), BRIDGED[bridge])
+
     def _gold(self, name: str) -> DataFrame:
         s, g = self.silver, self.gold
         match name:
@@ -122,37 +147,37 @@ class Lake:
             case "sale_origins":
                 return gold.sale_origins(self.receipts(), s("ecommerce_orders"))
             case "fact_pos_sales":
-                return gold.fact_pos_sales(s("pos_line_items"), self.fixed("pos_heads"), self.fixed("bridge_product"))
+                return gold.fact_pos_sales(s("pos_line_items"), self.fixed("pos_heads"), self.monthly("bridge_product"))
             case "fact_ecommerce_sales":
                 return gold.fact_ecommerce_sales(
                     s("ecommerce_order_lines"),
                     self.fixed("web_heads"),
-                    self.fixed("bridge_product"),
+                    self.monthly("bridge_product"),
                     self.fixed("cust_county"),
                 )
             case "ecommerce_fact_sales":
                 return gold.ecommerce_fact_sales(
                     self.keyed("ecommerce_order_lines"),
                     self.fixed("web_heads"),
-                    self.fixed("bridge_product"),
+                    self.monthly("bridge_product"),
                     self.fixed("cust_county"),
                 )
             case "fact_sales":
                 return gold.fact_sales(g("fact_pos_sales"), g("fact_ecommerce_sales"))
             case "fact_returns":
-                return gold.fact_returns(s("returns"), self.fixed("bridge_product"), self.fixed("sale_origins"))
+                return gold.fact_returns(s("returns"), self.monthly("bridge_product"), self.fixed("sale_origins"))
             case "fact_loyalty":
                 return gold.fact_loyalty(s("loyalty_transactions"))
             case "fact_inventory_movements":
                 return gold.fact_inventory_movements(
-                    s("inventory_movements"), self.fixed("bridge_product"), self.fixed("bridge_store")
+                    s("inventory_movements"), self.monthly("bridge_product"), self.monthly("bridge_store")
                 )
             case "fact_customer_experience":
                 return gold.fact_customer_experience(s("feedback"))
             case "fact_gift_card":
                 return gold.fact_gift_card(s("gift_card_transactions"), self.fixed("card_owners"))
             case "fact_time_attendance":
-                return gold.fact_time_attendance(s("time_tracking"), self.fixed("bridge_employee"))
+                return gold.fact_time_attendance(s("time_tracking"), self.monthly("bridge_employee"))
             case "fact_procurement":
                 return gold.fact_procurement(
                     s("purchase_order_lines"), self.fixed("po_heads"), self.fixed("receipts_per_line")

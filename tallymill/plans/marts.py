@@ -21,7 +21,8 @@ def _share(part: Column, whole: Column, places: int = 4) -> Column:
 
 def sales(facts: DataFrame, returns: DataFrame, month: str = "transaction_date") -> DataFrame:
     """Per month: revenue, orders, revenue per order (AOV), gross margin
-    ``(revenue - cost) / revenue`` and refunds over revenue (return rate).
+    ``(revenue - cost) / revenue`` and refunds over revenue (return rate). A month that has
+    refunds alone has no orders, no revenue and no rates.
 
     Lines are first added up per order and month, so counting orders needs no
     distinct over the facts.
@@ -41,12 +42,16 @@ def sales(facts: DataFrame, returns: DataFrame, month: str = "transaction_date")
     back = returns.groupBy(compat.month_text(F.col("return_date")).alias("year_month")).agg(
         _sum("refund_amount").alias("_refunds")
     )
-    revenue = F.col("_revenue")
-    return sold.join(back, "year_month", "left").select(
-        "year_month",
-        "n_orders",
-        "n_lines",
-        revenue.cast("double").alias("revenue"),
+    revenue, none = F.col("_revenue"), F.lit(0).cast("bigint")
+    months = sold.withColumnRenamed("year_month", "_sold").join(
+        back.withColumnRenamed("year_month", "_back"), F.col("_sold").eqNullSafe(F.col("_back")), "full"
+    )
+    return months.select(
+        F.coalesce("_sold", "_back").alias("year_month"),
+        F.coalesce("n_orders", none).alias("n_orders"),
+        F.coalesce("n_lines", none).alias("n_lines"),
+        F.coalesce(revenue.cast("double"), F.lit(0.0)).alias("revenue"),
+        F.coalesce(F.col("_refunds").cast("double"), F.lit(0.0)).alias("refunds"),
         money.exact_mean(revenue, F.col("n_orders")).alias("avg_order_value"),
         _share(revenue - F.coalesce("_cost", F.lit(0)), revenue).alias("gross_margin"),
         _share(F.coalesce("_refunds", F.lit(0)), revenue).alias("return_rate"),

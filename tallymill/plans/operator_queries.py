@@ -99,7 +99,8 @@ def _dated_lines(lake: Lake) -> DataFrame:
 
 def asof_line_cost(lake: Lake) -> DataFrame:
     """Every line with the part version valid on its order date."""
-    return versions.point_in_time_join(_dated_lines(lake), bridge_part(lake), "l_partkey", "order_date")
+    periods = versions.by_month(materialise(bridge_part(lake), "bridge"), "l_partkey")
+    return versions.point_in_time_join(_dated_lines(lake), periods, "order_date", ["version_no", "unit_cost"])
 
 
 def asof_line_cost_ranked(lake: Lake) -> DataFrame:
@@ -290,7 +291,7 @@ def latest_per_group(lake: Lake) -> DataFrame:
 
 def surrogate_key(lake: Lake) -> DataFrame:
     orders = lake.base("orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
-    return dense_key(orders, [F.col("day"), F.col("o_orderkey")], "order_sk")
+    return dense_key(orders, [F.col("day"), F.col("o_orderkey")], "order_sk", steady=True)
 
 
 # --- repairs ---------------------------------------------------------------

@@ -20,7 +20,8 @@ from tallymill.plans import vocab as v
 class Silver:
     """``build`` receives the source frames in the order of ``sources`` (names
     ending in ``_raw`` are bronze, others silver) and ``as_of`` where asked.
-    The columns ``evidence`` are for the quarantine only."""
+    The columns ``evidence`` are for the quarantine only. ``steady``: made of one
+    source by filters and projections alone, so its rows keep their places on a retry."""
 
     build: Callable[..., DataFrame]
     sources: tuple[str, ...]
@@ -29,6 +30,7 @@ class Silver:
     surrogate: tuple[str, tuple[str, ...]] | None = None
     unique: tuple[str, ...] | None = None
     evidence: tuple[str, ...] = ()
+    steady: bool = False
 
     def make(self, as_of: date, *frames: DataFrame, **options) -> DataFrame:
         return self.build(*frames, *([as_of] if self.dated else []), **options)
@@ -83,6 +85,7 @@ SILVER: dict[str, Silver] = {
                 "safety_stock",
             ),
         ),
+        steady=True,
     ),
     "loyalty_transactions": Silver(
         parties.loyalty_transactions, ("loyalty_transactions_raw",), _not_future, dated=True
@@ -128,6 +131,7 @@ SILVER: dict[str, Silver] = {
             "order_line_key",
             ("order_id", "line_number", "product_id", "quantity", "unit_price_kes", "discount_rate", "line_total_kes"),
         ),
+        steady=True,
     ),
     "gift_cards": Silver(sales.gift_cards, ("gift_cards_raw",)),
     "gift_card_transactions": Silver(sales.gift_card_transactions, ("gift_card_transactions_raw",)),
@@ -139,6 +143,7 @@ SILVER: dict[str, Silver] = {
             "pos_line_key",
             ("transaction_id", "line_number", "product_id", "quantity", "unit_price_kes", "discount_rate", "line_total"),
         ),
+        steady=True,
     ),
     "pos_transactions": Silver(
         sales.pos_transactions,

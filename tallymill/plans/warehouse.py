@@ -84,7 +84,7 @@ class Warehouse(Lake):
             ready = sinks.read_gated(flagged.schema, self.spark, gated).drop(*spec.evidence)
         if spec.surrogate is not None:
             key, order = spec.surrogate
-            ready = dense_key(ready, [F.col(c) for c in order], key, written=spec.keep is not None)
+            ready = dense_key(ready, [F.col(c) for c in order], key, steady=spec.steady or spec.keep is not None)
         stamped = sinks.with_audit(ready, f"silver.{name}", self.as_of)
         counts["rows"] = sinks.replace_table(stamped, self.path("silver", name))
         return counts

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # the JVM compiles no method beyond 8,000 bytes of code; Spark then does better without one
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -23,17 +24,12 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder for written intermediates: the one named in ``spark.checkpoint.dir``.
-
-    Where the setting is missing a temporary folder is used, but only on a
-    local master, since executors of a cluster cannot see it.
+    """Folder for written intermediates: the one named in ``spark.checkpoint.dir``, or else the
+    one set for checkpoints, or else a folder of the warehouse, which all executors can reach.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tallymill-")
-        spark.sparkContext.setCheckpointDir(shared)
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
     return shared.rstrip("/")
 
 

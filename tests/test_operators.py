@@ -112,7 +112,7 @@ def test_dense_key_spreads_copies(spark):
     data = [("copy", 1)] * 4000 + [(f"k{i:04d}", i) for i in range(2000)]
     df = spark.createDataFrame(data, "k string, v int").repartition(6)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    keyed = dense_key(df, [F.col("k"), F.col("v")], "sk")
+    keyed = dense_key(df, [F.col("k"), F.col("v")], "sk", steady=True)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     got = keyed.collect()
     assert sorted(r["sk"] for r in got) == list(range(1, 6001))
@@ -121,6 +121,41 @@ def test_dense_key_spreads_copies(spark):
     assert len(holding) > 1
 
 
+def test_dense_key_writes_once_and_keeps_its_numbers(spark):
+    import os
+
+    from tallymill.session import work_dir
+
+    data = [(f"k{i % 700:04d}", i % 3) for i in range(5000)]
+    df = spark.createDataFrame(data, "k string, v int").repartition(5).groupBy("k", "v").count()
+    folder = f"{work_dir(spark)}/tallymill"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    keyed = dense_key(df, [F.col("v")], "sk")
+    assert len(set(os.listdir(folder)) - before) == 1
+    first = {(r["k"], r["v"]): r["sk"] for r in keyed.collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")  # other splits, the same numbers
+    again = {(r["k"], r["v"]): r["sk"] for r in keyed.collect()}
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert first == again and sorted(first.values()) == list(range(1, len(first) + 1))
+    assert [v for (_, v), _ in sorted(first.items(), key=lambda x: x[1])] == sorted(v for _, v in first)
+    assert dense_key(df.limit(0), [F.col("v")], "sk").collect() == []
+
+
+def test_lag_without_keys_has_no_task_with_all_chunks(spark):
+    data = [(i, None if i % 3 else str(i), i // 4) for i in range(400) if i % 50 < 30]
+    df = spark.createDataFrame(data, "id int, x string, c int").repartition(4)
+    out = windows.lag_fill(df, "x", [F.col("id")], [F.col("c")])
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    ordered, filled = [x for _, x, _ in data], {}
+    for (i, x, _), was in zip(data, [None, *ordered]):
+        filled[i] = x if x is not None else was
+    assert {r["id"]: r["x"] for r in out.collect()} == filled
+    moved = windows.running_windows(
+        spark.range(300).withColumn("v", F.col("id") * 2), [windows.Level((), moving={"m": ("v", 5)})], [F.col("id")], [F.floor(F.col("id") / 3)]
+    )
+    assert {r["id"]: r["m"] for r in moved.collect()} == {i: sum(2 * j for j in range(max(0, i - 4), i + 1)) for i in range(300)}
+
+
 DAY = date(2020, 1, 1)
 
 
@@ -149,6 +184,38 @@ def test_disjoint_periods_match_a_day_by_day_search(spark, spans):
             assert hits == ([] if want is None else [want])
 
 
+def test_four_thousand_versions_of_one_key(spark):
+    """Chained, and with a base version that comes back after every later one."""
+    n = 4000
+    chain = [("chain", i, DAY + timedelta(i), DAY + timedelta(i + 3)) for i in range(n)]
+    nested = [("nest", n, DAY, DAY + timedelta(3 * n))] + [("nest", i, DAY + timedelta(3 * i + 1), DAY + timedelta(3 * i + 1)) for i in range(n)]
+    df = spark.createDataFrame(chain + nested, "k string, n int, valid_from date, valid_to date")
+    out = versions.disjoint_periods(df, "k", "n", ["n"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
+    got = {(r["k"], r["valid_from"]): (r["n"], r["valid_to"]) for r in out.collect()}
+    assert len(got) == n + 2 * n + 1
+    for i in range(n - 1):
+        assert got["chain", DAY + timedelta(i)] == (i, DAY + timedelta(i))
+        assert got["nest", DAY + timedelta(3 * i + 1)] == (i, DAY + timedelta(3 * i + 1))
+        assert got["nest", DAY + timedelta(3 * i + 2)] == (n, DAY + timedelta(3 * i + 3))
+
+
+def test_hot_key_meets_its_versions_by_month(spark):
+    vers = [("hot", n, DAY + timedelta(n * 31), DAY + timedelta(n * 31 + 30)) for n in range(40)]
+    vers[-1] = ("hot", 39, DAY + timedelta(39 * 31), date(9999, 12, 31))
+    facts = [(i, "hot", DAY + timedelta(i - 40)) for i in range(1500)] + [(5000, None, DAY), (5001, "hot", None)]
+    v = spark.createDataFrame(vers, "k string, n int, valid_from date, valid_to date")
+    f = spark.createDataFrame(facts, "id int, k string, day date")
+    periods = versions.by_month(v, "k")
+    assert periods.rows.count() < 3 * len(vers)  # an open end is no thousands of months
+    joined = versions.point_in_time_join(f, periods, "day", ["n"])
+    assert "_pm" in joined._jdf.queryExecution().optimizedPlan().toString()
+    for r in joined.collect():
+        days = (r["day"] - DAY).days if r["day"] and r["k"] else -1
+        assert r["n"] == (min(days // 31, 39) if days >= 0 else None)
+
+
 def test_point_in_time_joins_agree_and_keep_the_row_count(spark):
     rng = random.Random(3)
     vers = [("hot", n, DAY + timedelta(n * 5), DAY + timedelta(n * 5 + rng.randint(0, 40))) for n in range(30)]
@@ -156,7 +223,7 @@ def test_point_in_time_joins_agree_and_keep_the_row_count(spark):
     v = spark.createDataFrame(vers, "k string, n int, valid_from date, valid_to date")
     f = spark.createDataFrame(facts, "id int, k string, day date")
     periods = versions.disjoint_periods(v, "k", "n", ["n"])
-    a = versions.point_in_time_join(f, periods, "k", "day")
+    a = versions.point_in_time_join(f, versions.by_month(periods, "k"), "day", ["n"])
     b = versions.point_in_time_guarded(f, v, "k", "day", ["id"], "n")
     assert a.count() == 600
     assert rows(a) == rows(b)
