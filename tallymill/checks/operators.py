@@ -267,10 +267,43 @@ SQL = {
         select cast(quality_flag = 'Valid' as bigint) as accepted, quality_flag, count(*) as n
         from ({silver.flagged_pos_lines()}) group by all""",
     "load_log": f"""
-        select 'silver.ecommerce_orders' as table_name, count(*) as rows_inserted, '2024-06-30 12:00:00' as load_date,
-               'batch-1' as batch_id, 'SUCCESS' as status
-        from ({S["ecommerce_orders"]})""",
+        with o as (select if(right(order_id, 1) in ('0', '2', '4', '6', '8'), 1, 2) as b, count(*) as n
+                   from ({S["ecommerce_orders"]}) group by 1)
+        select 'silver.ecommerce_orders' as table_name, n as rows_inserted, n as rows_held,
+               if(b = 1, '2024-06-30 12:00:00', '2024-07-01 12:00:00') as load_date, 'batch-' || b as batch_id, 'SUCCESS' as status
+        from o join (values (1), (2), (2)) loads(l) on l = b""",
+    "latest_batch": f"""
+        select * exclude (delivery_address), delivery_address[:30] as delivery_address_preview, 'batch-2' as etl_batch_id,
+               '2024-07-01 12:00:00' as created_date, 'silver.ecommerce_orders' as source_system
+        from ({S["ecommerce_orders"]}) where right(order_id, 1) not in ('0', '2', '4', '6', '8')
+        order by order_id, order_date, order_time, amount limit 20""",
+    "unreadable_texts": " union all ".join(
+        f"select '{t}' as table_name, '{c}' as column_name, {c} as text, count(*) as n_rows from {raw(r)} where {c} = 'abc' group by {c}"
+        for t, r, c in (
+            ("crm", "crm_raw", "feedback_score"), ("feedback", "feedback_raw", "rating"), ("gl_transactions", "gl_transactions_raw", "amount"),
+            ("hr", "hr_raw", "salary"), ("loyalty_transactions", "loyalty_transactions_raw", "points_earned"),
+            ("returns", "returns_raw", "quantity_returned"),
+        )
+    ),
+    "full_refresh": """
+        select step, o_orderstatus, count(*) as n_rows
+        from orders join (values ('refreshed', 'F'), ('died', 'F'), ('again', '%')) s(step, shown) on o_orderstatus like shown
+        group by all""",
+    "sorted_write": "select count(*) as n_rows, 0::bigint as wrong_within, 0::bigint as wrong_between from orders",
+    "loader_modes": f"""
+        with n as (
+            select 'competitors_raw' as table_name, count(*) as n from {raw("competitors_raw")}
+            union all select 'promotion_products_raw', count(*) from {raw("promotion_products_raw")}
+            union all select 'crm_raw', null
+        ), s as (select * from n, (values ('stop'), ('continue'), ('append'), ('truncate')) x(step))
+        select step, table_name,
+               case when table_name = 'crm_raw' then 'FAILED' when step = 'stop' and table_name like 'prom%' then 'SKIPPED'
+                    else 'LOADED' end as status,
+               if(step = 'stop' and table_name like 'prom%', null, n) as rows_loaded,
+               if(step = 'stop' and table_name like 'prom%', null, n * if(step = 'append', 2, 1)) as rows_held
+        from s""",
     "audit_columns": f"""
         select cast({NOW} as varchar) as etl_load_date, 'silver.feedback' as etl_source, count(*) as n from ({S["feedback"]})""",
 }
 SQL["asof_line_cost_ranked"] = SQL["asof_line_cost"]
+SQL["running_balance_batches"] = SQL["running_balance"]

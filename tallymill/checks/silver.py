@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallymill.checks.text import (
-    NOW, bands, dec, fixed, lit, num, parts, rate, raw, recode, rules, undup, unread, whole, words,
+    CRM, FEEDBACK, LEDGER, LOYALTY, NOW, RETURNS, STAFF, bands, dec, fixed, lit, num, parts, rate, raw, recode, rules, undup, unread, whole, words,
 )
 from tallymill.functions.clean import UNREADABLE
 from tallymill.plans import vocab as v
@@ -152,7 +152,7 @@ def returns(channel: str | None = None) -> str:
            cast({fixed("return_date", v.CHRISTMAS_2023)} as varchar) as return_date, {undup("product_id")} as product_id,
            {whole("quantity_returned")} as quantity_returned, {num("refund_amount")} as refund_amount, return_reason,
            if(original_transaction_id like 'TXN%', 'POS', 'ECOMMERCE') as channel
-    from {raw("returns_raw")} where return_id not like '%DUP' and original_transaction_id is not null"""
+    from {RETURNS} where return_id not like '%DUP' and original_transaction_id is not null"""
     return sql if channel is None else f"select * exclude (channel) from ({sql}) where channel = '{channel}'"
 
 
@@ -187,7 +187,7 @@ def crm() -> str:
     with u as (
         select *, row_number() over (partition by customer_id
                   order by churn_date is not null, registration_date desc) as n
-        from {raw("crm_raw")} where customer_id not like '%DUP%'
+        from {CRM} where customer_id not like '%DUP%'
     ), c as (
         select *, cast(birth_date as date) as b, cast(registration_date as date) as r, cast(churn_date as date) as x,
                regexp_replace(phone, '[ +-]', '', 'g') as ph, trim(lower(replace(email, 'example', 'gmail'))) as em
@@ -274,7 +274,7 @@ def feedback() -> str:
     with t as (
         select feedback_id, {undup("customer_id")} as customer_id, cast(date as date) as d, {whole("rating")} as r,
                trim(category) as category
-        from {raw("feedback_raw")} where feedback_id is not null
+        from {FEEDBACK} where feedback_id is not null
     )
     select feedback_id as feedback_key, feedback_id, customer_id, cast(d as varchar) as feedback_date, r as rating,
            category, {parts("d", "feedback")}, {bands("r", v.RATING_LABELS)} as rating_label,
@@ -301,7 +301,7 @@ def loyalty_transactions() -> str:
         select transaction_id, {undup("customer_id")} as customer_id, order_id,
                {fixed("date", v.CHRISTMAS_2023)} as d, lower(trim(transaction_type)) as k,
                {whole("points_earned")} as e, abs({whole("points_redeemed")}) as s, {whole("points_balance")} as bal
-        from {raw("loyalty_transactions_raw")} where transaction_id is not null and customer_id is not null
+        from {LOYALTY} where transaction_id is not null and customer_id is not null
     )
     select transaction_id as loyalty_transaction_key, transaction_id, customer_id, order_id,
            cast(d as varchar) as transaction_date, e as points_earned_raw, s as points_redeemed, bal as points_balance,
@@ -343,7 +343,7 @@ def hr() -> str:
 
     return f"""
     with t as (
-        select *, {day("birth_date")} as b, {day("hire_date")} as h from {raw("hr_raw")} where employee_id not like '%DUP'
+        select *, {day("birth_date")} as b, {day("hire_date")} as h from {STAFF} where employee_id not like '%DUP'
     ), k as (select *, year({NOW}) - year(b) as ag from t)
     select employee_id, cast(coalesce({day("valid_from")}, {NOW}) as varchar) as valid_from,
            cast(coalesce({day("valid_to")}, {NOW}) as varchar) as valid_to, {cap("first_name")} as first_name,
@@ -564,7 +564,7 @@ def campaigns() -> str:
 def gl_transactions() -> str:
     return f"""
     with t as (
-        select *, lower(type) as k, cast(date as date) as d, {num("amount")} as a from {raw("gl_transactions_raw")}
+        select *, lower(type) as k, cast(date as date) as d, {num("amount")} as a from {LEDGER}
     )
     select transaction_id as gl_transaction_key, transaction_id, account_code,
            split_part(account_code, '-', 1) as account_number, regexp_extract(account_code, '-(.*)$', 1) as account_name,

@@ -75,6 +75,21 @@ def unread(*pairs: tuple[str, str]) -> str:
     return " or ".join(f"coalesce({x}, false)" for x in lost)
 
 
+def readable(table: str, **types: str) -> str:
+    """The raw rows of which every field parses, by column → type."""
+    typed = {"int": "try_cast({0} as int)", "double": "try_cast({0} as double)", "date": f"if({{0}} = '{BAD_DATE}', date '2000-01-01', try_cast({{0}} as date))"}
+    given = {c: f"if({c} in ('n/a', 'NULL'), '', {c})" for c in types}
+    return f"(select * from {raw(table)} where not ({unread(*((given[c], typed[k].format(c)) for c, k in types.items()))}))"
+
+
+RETURNS = readable("returns_raw", return_date="date", quantity_returned="int", refund_amount="double")
+LOYALTY = readable("loyalty_transactions_raw", date="date", points_earned="int", points_redeemed="int", points_balance="int")
+LEDGER = readable("gl_transactions_raw", date="date", amount="double")
+FEEDBACK = readable("feedback_raw", date="date", rating="int")
+CRM = readable("crm_raw", feedback_score="double")
+STAFF = readable("hr_raw", salary="int")
+
+
 def mean(total: str, n: str, places: int = 2) -> str:
     """Exact average of a decimal total, half up."""
     units = f"(2 * cast({total} * {10**places} as hugeint) + {n}) // nullif(2 * {n}, 0)"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions import clean, compat, contact, money
-from tallymill.operators import quality, repair, versions, windows
+from tallymill.operators import accumulate, quality, repair, rescue, versions, windows
 from tallymill.operators.keys import dense_key
 from tallymill.plans import audit, gold
 from tallymill.plans import vocab as v
@@ -19,6 +20,8 @@ from tallymill.sources import bronze, sinks
 
 EVENT_CHUNK = 100_000
 BATCH, LOADED_AT = "batch-1", datetime(2024, 6, 30, 12, 0)
+SECOND_SHIPMENTS = date(1998, 1, 1)
+NEXT_BATCH, NEXT_AT = "batch-2", datetime(2024, 7, 1, 12, 0)
 
 
 def _event_chunk():
@@ -246,6 +249,25 @@ def running_balance(lake: Lake) -> DataFrame:
     )
 
 
+def running_balance_batches(lake: Lake) -> DataFrame:
+    """The same sums over two batches of the log, the second from the state that the first left."""
+    levels = {
+        "balance": windows.Level(("user_id",), sums={"balance": "change"}),
+        "type_balance": windows.Level(("user_id", "event_type"), sums={"type_balance": "change"}),
+    }
+    ledger = _ledger(lake)
+    first = F.col("event_id") < lake.base("events").agg(F.floor(F.percentile_approx("event_id", 0.6))).first()[0]
+    done, states = [], dict.fromkeys(levels)
+    for part in (first, ~first):
+        batch = ledger.where(part)
+        rows = batch
+        for out, level in levels.items():
+            rows = accumulate.running_sums_from(rows, level, [F.col("event_id")], _event_chunk(), states[out])
+            states[out] = materialise(accumulate.next_state(batch, level, states[out]), "state")
+        done.append(rows)
+    return done[0].unionByName(done[1])
+
+
 def moving_sum_3(lake: Lake) -> DataFrame:
     return windows.running_windows(
         _ledger(lake),
@@ -478,18 +500,17 @@ def geo_latest(lake: Lake) -> DataFrame:
 
 
 def procurement_snapshot(lake: Lake) -> DataFrame:
-    """Orders with first and last shipment and the days in between."""
-    shipped = lake.base("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.min(F.col("l_shipdate").cast("date")).alias("first_ship"),
-        F.max(F.col("l_shipdate").cast("date")).alias("last_ship"),
-    )
+    """Orders with first and last shipment and the days in between, from two batches of shipments:
+    the second rewrites the months it touches only."""
     day = F.col("o_orderdate").cast("date")
-    return (
-        lake.base("orders")
-        .select("o_orderkey", day.alias("ordered"))
-        .join(shipped, "o_orderkey", "left")
-        .withColumn("lead_days", compat.days_between(F.col("ordered"), F.col("last_ship")))
-    )
+    orders = accumulate.by_month(lake.base("orders").select("o_orderkey", day.alias("ordered")), "ordered")
+    shipped = lake.base("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_shipdate").cast("date").alias("day"))
+    late = F.coalesce(F.col("day") >= F.lit(SECOND_SHIPMENTS), F.lit(False))
+    path, measures = fresh_path(lake.spark, "snapshot"), {"first_ship": F.min("day"), "last_ship": F.max("day")}
+    accumulate.accumulate(orders, shipped.where(~late), path, ["o_orderkey"], measures)
+    accumulate.accumulate(orders, shipped, path, ["o_orderkey"], measures, batch=shipped.where(late))
+    lead = compat.days_between(F.col("ordered"), F.col("last_ship"))
+    return lake.spark.read.parquet(path).drop("month").withColumn("lead_days", lead)
 
 
 # --- quality ---------------------------------------------------------------
@@ -561,16 +582,105 @@ def gated_write(lake: Lake) -> DataFrame:
     return both[0].unionAll(both[1]).groupBy("accepted", "quality_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _two_batches(lake: Lake) -> tuple[str, str]:
+    """Web orders loaded as two batches, the second one twice; paths of the table and of its load log."""
+    path, log = fresh_path(lake.spark, "orders"), fresh_path(lake.spark, "log")
+    orders = materialise(lake.silver("ecommerce_orders"), "orders")
+    even = F.right("order_id", F.lit(1)).isin(*"02468")
+    for batch, at, part in ((BATCH, LOADED_AT, even), (NEXT_BATCH, NEXT_AT, ~even), (NEXT_BATCH, NEXT_AT, ~even)):
+        rows = sinks.append_batch(orders.where(part), path, "silver.ecommerce_orders", at, batch)
+        sinks.log_load(lake.spark, log, "silver.ecommerce_orders", rows, batch, at)
+    return path, log
+
+
 def load_log(lake: Lake) -> DataFrame:
-    """Web orders loaded with batch columns, appended, and logged from the table."""
-    path = fresh_path(lake.spark, "orders")
-    stamped = sinks.with_batch(lake.silver("ecommerce_orders"), "bronze.ecommerce_orders_raw", LOADED_AT, BATCH)
-    columns = stamped.columns
-    half = F.pmod(F.hash("order_id"), F.lit(2)) == 0
-    sinks.append_table(stamped.where(half), path, columns)
-    sinks.append_table(stamped.where(~half), path, columns)
-    table = lake.spark.read.schema(stamped.schema).parquet(path)
-    return sinks.load_log_line(table, "silver.ecommerce_orders", BATCH, LOADED_AT)
+    """What the log of two batches says, and what their table holds."""
+    path, log = _two_batches(lake)
+    held = lake.spark.read.parquet(path).groupBy(F.col("etl_batch_id").alias("batch_id")).agg(F.count(F.lit(1)).alias("rows_held"))
+    lines = lake.spark.read.schema(sinks.LOG_SCHEMA).parquet(log)
+    return lines.join(held, "batch_id").select("table_name", "rows_inserted", "rows_held", "load_date", "batch_id", "status")
+
+
+def latest_batch(lake: Lake) -> DataFrame:
+    """The first orders of the batch that came last."""
+    orders = audit.of_latest_batch(lake.spark.read.parquet(_two_batches(lake)[0]), "created_date")
+    columns = [*lake.silver("ecommerce_orders").columns, "etl_batch_id", "created_date", "source_system"]
+    return audit.preview(orders.select(*columns), ["order_id", "order_date", "order_time", "amount"])
+
+
+def unreadable_texts(lake: Lake) -> DataFrame:
+    """Texts that their columns cannot hold, in the tables that set such rows apart."""
+    tables = ("crm", "feedback", "gl_transactions", "hr", "loyalty_transactions", "returns")
+    found = [rescue.unread_texts(lake.raw(SILVER[t].sources[0]), SILVER[t].typed, t) for t in tables]
+    return reduce(DataFrame.unionByName, found)
+
+
+def full_refresh(lake: Lake) -> DataFrame:
+    """Rows that readers find after a refresh, after one that dies half way, and after the next."""
+    path = fresh_path(lake.spark, "refresh")
+    orders = lake.base("orders").select("o_orderkey", "o_orderstatus")
+    dies = F.when(F.col("o_orderkey") % 5 == 3, F.raise_error(F.lit("dies")).cast("bigint")).otherwise(F.col("o_orderkey"))
+    seen = []
+
+    def look(step: str) -> None:
+        held = materialise(sinks.read_table(lake.spark, path), "held")
+        seen.append(held.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("step", F.lit(step)))
+
+    sinks.replace_table(orders.where("o_orderstatus = 'F'"), path)
+    look("refreshed")
+    try:
+        sinks.replace_table(orders.withColumn("o_orderkey", dies), path)
+    except Exception:  # noqa: BLE001 - this is the point
+        look("died")
+    sinks.replace_table(orders, path)
+    look("again")
+    return reduce(DataFrame.unionByName, seen)
+
+
+def sorted_write(lake: Lake) -> DataFrame:
+    """Rows of a table written in order, and pairs of neighbours that are not, within files and between them."""
+    path = fresh_path(lake.spark, "sorted")
+    orders = lake.base("orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_orderkey")
+    sinks.replace_table(orders, path, ["day", "o_orderkey"])
+    place = F.struct(F.col("day"), F.col("o_orderkey"))
+    rows = sinks.read_table(lake.spark, path).select(
+        place.alias("at"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("i")
+    )
+    # runs of rows keep large files from being one window
+    run = Window.partitionBy("file", F.floor(F.col("i") / 100_000)).orderBy("i")
+    within = rows.withColumn("wrong", (F.lag("at").over(run) > F.col("at")).cast("int"))
+    files = within.groupBy("file", F.floor(F.col("i") / 100_000).alias("run")).agg(
+        F.min("at").alias("low"), F.max("at").alias("high"), F.sum("wrong").alias("wrong"), F.count(F.lit(1)).alias("n")
+    )
+    along = Window.orderBy("file", "run")  # one row for 100,000
+    checked = files.withColumn("apart", (F.lag("high").over(along) > F.col("low")).cast("int"))
+    zero = F.lit(0).cast("bigint")
+    return checked.agg(
+        F.sum("n").alias("n_rows"),
+        F.coalesce(F.sum("wrong"), zero).alias("wrong_within"),
+        F.coalesce(F.sum("apart"), zero).alias("wrong_between"),
+    )
+
+
+def loader_modes(lake: Lake) -> DataFrame:
+    """Status and rows held after loads that stop, go on, append and truncate; one extract is missing."""
+    root, target = fresh_path(lake.spark, "extract"), fresh_path(lake.spark, "bronze")
+    for table in ("competitors_raw", "promotion_products_raw"):
+        _as_text_file(lake, table, root)
+    names = ["competitors_raw", "crm_raw", "promotion_products_raw"]
+    steps = {
+        "stop": {},
+        "continue": {"continue_on_error": True},
+        "append": {"continue_on_error": True, "truncate_first": False},
+        "truncate": {"continue_on_error": True},
+    }
+    seen = []
+    for step, options in steps.items():
+        status = bronze.load_bronze(lake.spark, root, target, tables=names, **options).where("table_name <> '*'")
+        counts = [(t, bronze.read_bronze(lake.spark, target, t).count()) for t, s in status.select("table_name", "status").collect() if s == "LOADED"]
+        held = lake.spark.createDataFrame(counts, "table_name string, rows_held bigint")
+        seen.append(status.join(held, "table_name", "left").select(F.lit(step).alias("step"), "table_name", "status", "rows_loaded", "rows_held"))
+    return reduce(DataFrame.unionByName, seen)
 
 
 def audit_columns(lake: Lake) -> DataFrame:
@@ -583,11 +693,11 @@ QUERIES = {
     for f in (
         calendar, scd2_versions, first_version_opened, bridge_part, asof_line_cost, asof_line_cost_ranked,
         revenue_by_month, fact_sales_union, order_totals_vs_lines, line_mismatch_flag, discount_tier, value_tier,
-        time_of_day, running_balance, moving_sum_3, first_event_class, lag_fill, dedup_best_customer_order,
+        time_of_day, running_balance, running_balance_batches, moving_sum_3, first_event_class, lag_fill, dedup_best_customer_order,
         latest_per_group, surrogate_key, dup_id_strip, dup_rows_dropped, sentinel_repair, safe_cast, strict_cast,
         packed_split, shifted_repair, split_rows, campaign_prefix, text_norm, date_functions, email_phone_checks,
         hash_impute, landed_cost, signed_ledger, returns_split, geo_latest, procurement_snapshot, dq_metrics, summary,
         topn_preview, reconcile, unique_check, check_violations, fk_coverage, quarantine, bronze_roundtrip,
-        gated_write, load_log, audit_columns,
+        gated_write, load_log, audit_columns, latest_batch, unreadable_texts, full_refresh, sorted_write, loader_modes,
     )
 }

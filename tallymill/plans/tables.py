@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -21,7 +21,10 @@ class Silver:
     """``build`` receives the source frames in the order of ``sources`` (names
     ending in ``_raw`` are bronze, others silver) and ``as_of`` where asked.
     The columns ``evidence`` are for the quarantine only. ``steady``: made of one
-    source by filters and projections alone, so its rows keep their places on a retry."""
+    source by filters and projections alone, so its rows keep their places on a retry.
+    ``typed``: fields of the first source that must parse; rows where one does not are set
+    apart, with their texts, before the table is built, or stop a strict run. ``sort``:
+    the order in which the table is written."""
 
     build: Callable[..., DataFrame]
     sources: tuple[str, ...]
@@ -30,12 +33,21 @@ class Silver:
     surrogate: tuple[str, tuple[str, ...]] | None = None
     unique: tuple[str, ...] | None = None
     evidence: tuple[str, ...] = ()
+    typed: Mapping[str, str] | None = None
+    sort: tuple[str, ...] = ()
     steady: bool = False
 
     def make(self, as_of: date, *frames: DataFrame, **options) -> DataFrame:
         return self.build(*frames, *([as_of] if self.dated else []), **options)
 
 
+# Fields that must parse, with their types
+RETURN_TYPES = {"return_date": "date", "quantity_returned": "int", "refund_amount": "double"}
+LOYALTY_TYPES = {"date": "date", "points_earned": "int", "points_redeemed": "int", "points_balance": "int"}
+LEDGER_TYPES = {"date": "date", "amount": "double"}
+FEEDBACK_TYPES = {"date": "date", "rating": "int"}
+
+
 def _valid() -> Column:
     return F.col("quality_flag") == clean.VALID
 
@@ -56,17 +68,20 @@ SILVER: dict[str, Silver] = {
     "competitors": Silver(parties.competitors, ("competitors_raw",)),
     "competitor_quarterly": Silver(parties.competitor_quarterly, ("competitor_quarterly_raw",)),
     "competitor_stores": Silver(parties.competitor_stores, ("competitor_stores_raw",)),
-    "crm": Silver(parties.crm, ("crm_raw",), dated=True, unique=("customer_id",)),
+    "crm": Silver(parties.crm, ("crm_raw",), dated=True, unique=("customer_id",), typed={"feedback_score": "double"}),
     "feedback": Silver(
-        parties.feedback, ("feedback_raw",), lambda: F.col("rating").between(1, 5), dated=True
+        parties.feedback, ("feedback_raw",), lambda: F.col("rating").between(1, 5), dated=True,
+        typed=FEEDBACK_TYPES, sort=("feedback_date", "feedback_id"),
     ),
     "service_interactions": Silver(parties.service_interactions, ("service_interactions_raw",)),
-    "gl_transactions": Silver(stock.gl_transactions, ("gl_transactions_raw",), _valid),
+    "gl_transactions": Silver(
+        stock.gl_transactions, ("gl_transactions_raw",), _valid, typed=LEDGER_TYPES, sort=("transaction_date", "transaction_id")
+    ),
     "store_daily_financials": Silver(stock.store_daily_financials, ("store_daily_financials_raw",)),
     "gis_counties": Silver(parties.gis_counties, ("gis_counties_raw",)),
     "gis_locations": Silver(parties.gis_locations, ("gis_locations_raw",)),
     "employee_shifts": Silver(parties.employee_shifts, ("employee_shifts_raw",)),
-    "hr": Silver(parties.hr, ("hr_raw",), dated=True),
+    "hr": Silver(parties.hr, ("hr_raw",), dated=True, typed={"salary": "int"}),
     "time_tracking": Silver(parties.time_tracking, ("time_tracking_raw",)),
     "inventory_movements": Silver(stock.inventory_movements, ("inventory_movements_raw",), _readable, evidence=v.MOVEMENT_TEXTS),
     "inventory_movements_slim": Silver(stock.inventory_movements_slim, ("inventory_movements_raw",)),
@@ -88,7 +103,7 @@ SILVER: dict[str, Silver] = {
         steady=True,
     ),
     "loyalty_transactions": Silver(
-        parties.loyalty_transactions, ("loyalty_transactions_raw",), _not_future, dated=True
+        parties.loyalty_transactions, ("loyalty_transactions_raw",), _not_future, dated=True, typed=LOYALTY_TYPES
     ),
     "economic": Silver(stock.economic, ("economic_raw",), lambda: F.col("date").isNotNull()),
     "campaigns": Silver(stock.campaigns, ("campaigns_raw",)),
@@ -106,6 +121,7 @@ SILVER: dict[str, Silver] = {
         ("purchase_orders_raw",),
         lambda: F.col("order_date").isNotNull() & clean.not_dup(F.col("po_number")),
         dated=True,
+        sort=("order_date", "po_number"),
     ),
     "purchase_order_lines": Silver(
         stock.purchase_order_lines,
@@ -153,9 +169,9 @@ SILVER: dict[str, Silver] = {
         surrogate=("pos_transaction_key", ("transaction_id", "transaction_date", "transaction_time")),
         unique=("transaction_id",),
     ),
-    "pos_returns": Silver(sales.pos_returns, ("returns_raw",)),
-    "ecomerce_returns": Silver(sales.ecomerce_returns, ("returns_raw",)),
-    "returns": Silver(sales.returns, ("returns_raw",)),
+    "pos_returns": Silver(sales.pos_returns, ("returns_raw",), typed=RETURN_TYPES),
+    "ecomerce_returns": Silver(sales.ecomerce_returns, ("returns_raw",), typed=RETURN_TYPES),
+    "returns": Silver(sales.returns, ("returns_raw",), typed=RETURN_TYPES),
     "stores": Silver(parties.stores, ("stores_raw",), dated=True),
     "suppliers": Silver(parties.suppliers, ("suppliers_raw",), dated=True),
 }

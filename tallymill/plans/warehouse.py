@@ -8,9 +8,10 @@ from functools import cache, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymill.operators import rescue
 from tallymill.operators.keys import dense_key
 from tallymill.operators.quality import duplicate_keys, reconcile
-from tallymill.plans.audit import order_metrics, order_violations
+from tallymill.plans.audit import of_latest_batch, order_metrics, order_violations, preview
 from tallymill.plans.lake import Lake
 from tallymill.plans.tables import SILVER
 from tallymill.sources import bronze, sinks
@@ -41,9 +42,10 @@ class Warehouse(Lake):
     """Tables under ``root``; whatever a table needs is read from what is written."""
 
     def __init__(
-        self, spark: SparkSession, root: str, as_of: date, brand: str = "", brand_code: str = ""
+        self, spark: SparkSession, root: str, as_of: date, brand: str = "", brand_code: str = "", strict: bool = False
     ):
         super().__init__(spark, root, as_of)
+        self.strict = strict
         self.root, self.brand, self.brand_code = root.rstrip("/"), brand, brand_code
         # what a gold table is made from is read as written: built once, and with the keys that were given then
         self.gold = cache(self._fixed)
@@ -52,7 +54,7 @@ class Warehouse(Lake):
         return f"{self.root}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        return sinks.read_table(self.spark, self.path(layer, name))
 
     def _raw(self, name: str) -> DataFrame:
         return bronze.read_bronze(self.spark, f"{self.root}/bronze", name)
@@ -74,6 +76,12 @@ class Warehouse(Lake):
         """Write one silver table; rejected rows stay readable beside it."""
         spec = SILVER[name]
         frames = [self._raw(s) if s.endswith("_raw") else self.silver(s) for s in spec.sources]
+        if spec.typed is not None and self.strict:
+            frames[0] = rescue.strict(frames[0], spec.typed)
+        elif spec.typed is not None:
+            lost = rescue.rescued(frames[0], spec.typed)
+            sinks.replace_table(lost, self.path("unread", name))
+            frames[0] = rescue.readable(frames[0], spec.typed)
         options = {"brand": self.brand, "brand_code": self.brand_code} if name == "stores" else {}
         flagged = spec.make(self.as_of, *frames, **options)
         counts: dict[str, int] = {}
@@ -86,12 +94,12 @@ class Warehouse(Lake):
             key, order = spec.surrogate
             ready = dense_key(ready, [F.col(c) for c in order], key, steady=spec.steady or spec.keep is not None)
         stamped = sinks.with_audit(ready, f"silver.{name}", self.as_of)
-        counts["rows"] = sinks.replace_table(stamped, self.path("silver", name))
+        counts["rows"] = sinks.replace_table(stamped, self.path("silver", name), spec.sort)
         return counts
 
     def rejected(self, name: str) -> DataFrame:
         """The quarantine of a gated table."""
-        both = self.spark.read.parquet(self.path("gated", name))
+        both = self.read("gated", name)
         return both.where(~F.col("accepted")).drop("accepted")
 
     def build_gold(self, name: str) -> int:
@@ -125,6 +133,17 @@ class Warehouse(Lake):
     def build_quality(self) -> int:
         return sinks.replace_table(self.quality(), self.path("log", "quality"))
 
+    def append_orders(self, batch_id: str, at: datetime) -> int:
+        """Keep the web orders of this load as a batch; loading a batch again changes nothing."""
+        orders = self.silver("ecommerce_orders")
+        return sinks.append_batch(orders, self.path("history", "ecommerce_orders"), "silver.ecommerce_orders", at, batch_id)
+
+    def build_preview(self) -> int:
+        """The first orders of the latest batch."""
+        orders = of_latest_batch(self.spark.read.parquet(self.path("history", "ecommerce_orders")), "created_date")
+        first = preview(orders, ["order_id", "order_date", "order_time", "amount"])
+        return sinks.replace_table(first, self.path("log", "latest_orders"))
+
     def duplicates(self, name: str) -> DataFrame:
         """Rows that break the key the table is meant to have."""
         return duplicate_keys(self.read("silver", name), list(SILVER[name].unique))
@@ -141,13 +160,15 @@ def run(
     brand: str = "",
     brand_code: str = "",
     continue_on_error: bool = False,
+    strict: bool = False,
 ) -> DataFrame:
     """Load ``extracts`` and build every table under ``root``.
 
     Each step appends a line to the load log, which is returned. A failed step
-    stops the run unless ``continue_on_error``; the log then shows it.
+    stops the run unless ``continue_on_error``; the log then shows it. A ``strict`` run
+    fails on text that does not parse instead of setting it apart.
     """
-    house = Warehouse(spark, root, as_of, brand, brand_code)
+    house = Warehouse(spark, root, as_of, brand, brand_code, strict)
     log = house.path("log", "etl_load_log")
     loaded = bronze.load_bronze(
         spark, extracts, f"{house.root}/bronze", continue_on_error=continue_on_error
@@ -162,6 +183,8 @@ def run(
         )
     steps = [(f"silver.{n}", lambda n=n: house.build_silver(n)["rows"]) for n in SILVER]
     steps += [(f"gold.{n}", lambda n=n: house.build_gold(n)) for n in (*GOLD, *MARTS)]
+    steps.append(("history.ecommerce_orders", lambda: house.append_orders(batch_id, at)))
+    steps.append(("log.latest_orders", house.build_preview))
     steps.append(("log.quality", house.build_quality))
     for name, step in steps:
         if bad and not continue_on_error:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOG_SCHEMA = (
     "table_name string, rows_inserted bigint, rows_updated bigint, rows_deleted bigint, "
-    "load_date timestamp, batch_id string, status string, error_message string"
+    "load_date timestamp_ntz, batch_id string, status string, error_message string"
 )
 
 
@@ -37,15 +39,70 @@ def with_batch(df: DataFrame, source: str, loaded_at: datetime, batch_id: str) -
     )
 
 
-def replace_table(df: DataFrame, path: str, sort: list[str] | None = None) -> int:
-    """Full refresh; returns the rows written, counted on the way.
+# --- full refresh ----------------------------------------------------------
+_VERSION = re.compile(r"v(\d{8})")
 
-    Sorting inside partitions keeps row-group statistics narrow without the
-    shuffle a total order would need.
+
+def _versions(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
+    """Numbers of the versions of a table that were published, and of all begun."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return [], []
+    found = [m for m in (_VERSION.fullmatch(f.getPath().getName()) for f in fs.listStatus(root)) if m]
+    done = [m for m in found if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{m[0]}/_SUCCESS"))]
+    return sorted(int(m[1]) for m in done), sorted(int(m[1]) for m in found)
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Where the newest published version of a table is."""
+    published, _ = _versions(spark, path)
+    if not published:
+        raise FileNotFoundError(f"no published version of {path}")
+    return f"{path}/v{published[-1]:08d}"
+
+
+def _publish(writer: DataFrameWriter, spark: SparkSession, path: str) -> None:
+    """Write a new version of a table beside the old ones.
+
+    The mark that Spark leaves when all tasks have been committed publishes it: until then, and
+    if the job dies, readers find the version before. That one stays for readers that have
+    begun; what is older goes.
+    """
+    published, begun = _versions(spark, path)
+    number = max(begun, default=0) + 1
+    writer.parquet(f"{path}/v{number:08d}")
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for old in begun:
+        if old not in published[-1:]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/v{old:08d}"), True)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(current(spark, path))
+
+
+#: Bytes of input for one file of a sorted table.
+SORTED_FILE = 256 << 20
+
+
+def clustered(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows in order, within each written file and from file to file.
+
+    Ranges of the order go to tasks, as many as the input's estimated bytes ask for, and are sorted there.
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    files = max(1, min(-(-size // SORTED_FILE), 100_000))
+    return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+
+
+def replace_table(df: DataFrame, path: str, sort: Sequence[str] = ()) -> int:
+    """Full refresh, in the order ``sort`` if one is given; returns the rows written, counted on the way."""
     seen = Observation()
-    out = df.sortWithinPartitions(*sort) if sort else df
-    out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    out = clustered(df, sort) if sort else df
+    _publish(out.observe(seen, F.count(F.lit(1)).alias("rows")).write, df.sparkSession, path)
     return seen.get["rows"]
 
 
@@ -58,7 +115,16 @@ def replace_monthly(df: DataFrame, day: str, path: str) -> int:
     seen = Observation()
     monthly = df.withColumn("month", F.date_format(day, "yyyy-MM")).hint("rebalance", "month")
     counted = monthly.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").partitionBy("month").parquet(path)
+    _publish(counted.write.partitionBy("month"), df.sparkSession, path)
+    return seen.get["rows"]
+
+
+# --- batches ---------------------------------------------------------------
+def append_batch(df: DataFrame, path: str, source: str, loaded_at: datetime, batch_id: str) -> int:
+    """Append a batch, stamped, as a partition of its own; loading it again replaces it and nothing else."""
+    seen = Observation()
+    counted = with_batch(df, source, loaded_at, batch_id).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("etl_batch_id").parquet(path)
     return seen.get["rows"]
 
 
@@ -74,20 +140,15 @@ def write_gated(df: DataFrame, keep: Column, path: str) -> dict[str, int]:
     """Write kept and rejected rows in one pass, as two partitions of one folder."""
     seen = Observation()
     kept = F.coalesce(keep, F.lit(False))
-    (
-        df.withColumn("accepted", kept)
-        .observe(seen, F.count_if("accepted").alias("kept"), F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .partitionBy("accepted")
-        .parquet(path)
-    )
+    counted = df.withColumn("accepted", kept).observe(seen, F.count_if("accepted").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    _publish(counted.write.partitionBy("accepted"), df.sparkSession, path)
     return {"kept": seen.get["kept"], "rejected": seen.get["rows"] - seen.get["kept"]}
 
 
 def read_gated(df_schema: T.StructType, spark: SparkSession, path: str, accepted: bool = True) -> DataFrame:
     """The kept (or the rejected) partition of a gated table."""
     schema = T.StructType([*df_schema.fields, T.StructField("accepted", T.BooleanType())])
-    both = spark.read.schema(schema).parquet(path)
+    both = spark.read.schema(schema).parquet(current(spark, path))
     return both.where(F.col("accepted") == accepted).drop("accepted")
 
 
@@ -97,15 +158,3 @@ def log_load(
     """Append one line to the load log."""
     line = [(table, rows or 0, None, None, at, batch_id, "FAILED" if error else "SUCCESS", error)]
     spark.createDataFrame(line, LOG_SCHEMA).write.mode("append").parquet(path)
-
-
-def load_log_line(df: DataFrame, table: str, batch_id: str, at: datetime) -> DataFrame:
-    """The log line for a loaded batch, counted from the table itself."""
-    mine = df.where(F.col("etl_batch_id") == batch_id)
-    return mine.agg(F.count(F.lit(1)).alias("rows_inserted")).select(
-        F.lit(table).alias("table_name"),
-        "rows_inserted",
-        _clock(at).alias("load_date"),
-        F.lit(batch_id).alias("batch_id"),
-        F.lit("SUCCESS").alias("status"),
-    )

@@ -300,3 +300,38 @@ def test_quarantined_movements_keep_what_mends_them(spark):
     assert [found["M2"][c] for c in kept] == [4.0, 2.5, 10.0, "31/12/2023", "4", "2.5"]
     assert [found["M3"][c] for c in kept] == [None, None, None, "?", "four", "x"]
     assert [found["M1"][c] for c in kept] == [3.0, 1.0, 3.0, None, None, None]
+
+
+def test_a_snapshot_rewrites_the_months_that_a_batch_touches(spark):
+    import tempfile
+
+    from tallymill.operators import accumulate
+
+    path = tempfile.mkdtemp() + "/s"
+    lines = [(i, date(2024, 1 + i % 3, 1)) for i in range(30)] + [(99, None)]
+    lines = accumulate.by_month(spark.createDataFrame(lines, "k int, day date"), "day")
+    early = spark.createDataFrame([(i, date(2024, 5, i + 1)) for i in range(12)], "k int, got date")
+    later = spark.createDataFrame([(0, date(2024, 6, 1)), (3, date(2024, 4, 1)), (99, date(2024, 6, 2)), (500, DAY)], "k int, got date")
+    measures = {"first": F.min("got"), "last": F.max("got"), "n": F.count("got")}
+    assert accumulate.accumulate(lines, early, path, ["k"], measures) is None
+    for _ in range(2):  # a batch that comes again changes nothing
+        every = early.unionByName(later)
+        assert accumulate.accumulate(lines, every, path, ["k"], measures, batch=later) == ["2024-01", "unknown"]
+        found = spark.read.parquet(path)
+        assert rows(found.select("k", "first", "last", "n")) == rows(
+            lines.join(every.groupBy("k").agg(*[m.alias(n) for n, m in measures.items()]), "k", "left").select("k", "first", "last", "n")
+        )
+
+
+def test_running_sums_go_on_from_a_state(ledger):
+    from tallymill.operators import accumulate
+
+    level = windows.Level(("k",), sums={"total": "v", "n": "one"})
+    rows_ = ledger.withColumn("one", F.lit(1).cast("long"))
+    whole = windows.running_windows(rows_, [level], [F.col("id")], [F.col("day")])
+    state, parts = None, []
+    for low, high in ((0, 700), (700, 701), (701, 3000)):
+        batch = rows_.where((F.col("id") >= low) & (F.col("id") < high))
+        parts.append(accumulate.running_sums_from(batch, level, [F.col("id")], [F.col("day")], state))
+        state = accumulate.next_state(batch, level, state)
+    assert rows(parts[0].unionByName(parts[1]).unionByName(parts[2])) == rows(whole)

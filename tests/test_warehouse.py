@@ -83,7 +83,7 @@ def house(spark):
 def test_full_run_logs_every_table(house):
     _, _, log = house
     assert [n for n, r in log.items() if r["status"] != "SUCCESS"] == []
-    assert len(log) == len(SCHEMAS) + len(SILVER) + len(GOLD) + len(MARTS) + 1
+    assert len(log) == len(SCHEMAS) + len(SILVER) + len(GOLD) + len(MARTS) + 3
     assert log["silver.pos_line_items"]["rows_inserted"] > 0
 
 
@@ -131,3 +131,56 @@ def test_staff_keys_agree_with_the_written_dimension(house):
 def test_as_of_is_a_parameter(spark):
     early = Lake(spark, SF, date(2020, 1, 1)).silver("crm")
     assert early.agg(F.max("age")).first()[0] < Lake(spark, SF).silver("crm").agg(F.max("age")).first()[0]
+
+
+def test_a_refresh_that_fails_leaves_the_old_rows(spark):
+    path = tempfile.mkdtemp() + "/t"
+    with pytest.raises(FileNotFoundError):
+        sinks.read_table(spark, path)
+    assert sinks.replace_table(spark.range(5), path) == 5
+    dies = spark.range(100, numPartitions=4).withColumn("id", F.when(F.col("id") > 90, F.raise_error(F.lit("no")).cast("bigint")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_table(dies, path)
+    assert sinks.read_table(spark, path).count() == 5
+    reader = sinks.read_table(spark, path)
+    assert sinks.replace_table(spark.range(7), path) == 7
+    assert reader.count() == 5 and sinks.read_table(spark, path).count() == 7
+    sinks.replace_table(spark.range(8), path)
+    kept = [p.name for p in Path(path).iterdir()]
+    assert len(kept) == 2 and sinks.read_table(spark, path).count() == 8
+
+
+def test_batches_are_appended_once(spark):
+    path, at = tempfile.mkdtemp() + "/b", datetime(2024, 1, 1)
+    assert sinks.append_batch(spark.range(3), path, "s", at, "b1") == 3
+    for _ in range(2):
+        assert sinks.append_batch(spark.range(4), path, "s", at, "b2") == 4
+    counts = spark.read.parquet(path).groupBy("etl_batch_id").count().collect()
+    assert {(r[0], r[1]) for r in counts} == {("b1", 3), ("b2", 4)}
+
+
+def test_text_that_does_not_parse_is_set_apart(house, spark):
+    from tallymill.operators import rescue
+
+    lake, warehouse, _ = house
+    for name in ("returns", "loyalty_transactions", "gl_transactions", "feedback", "crm", "hr"):
+        texts = warehouse.read("unread", name).select(F.explode(F.map_values("unread")).alias("text")).distinct()
+        assert [r[0] for r in texts.collect()] == ["abc"], name
+    with pytest.raises(Exception, match="abc"):
+        rescue.strict(lake.raw("hr_raw"), SILVER["hr"].typed).write.format("noop").mode("overwrite").save()
+    raw = spark.createDataFrame([("1", "2024-01-01"), ("NaN", "2023-13-45"), ("x", "x"), ("", None), ("n/a", "NULL")], "n string, d string")
+    types = {"n": "double", "d": "date"}
+    assert [r.unread for r in rescue.rescued(raw, types).collect()] == [{"n": "NaN"}, {"n": "x", "d": "x"}]
+    assert rescue.readable(raw, types).count() == 3
+
+
+def test_a_second_batch_and_its_repeat(house, spark):
+    _, warehouse, log = house
+    n = log["history.ecommerce_orders"]["rows_inserted"]
+    assert n == log["silver.ecommerce_orders"]["rows_inserted"] and log["log.latest_orders"]["rows_inserted"] == 20
+    for _ in range(2):
+        warehouse.append_orders("b2", datetime(2024, 7, 1))
+    history = spark.read.parquet(warehouse.path("history", "ecommerce_orders"))
+    assert {(r[0], r[1]) for r in history.groupBy("etl_batch_id").count().collect()} == {("b1", n), ("b2", n)}
+    warehouse.build_preview()
+    assert {r.etl_batch_id for r in warehouse.read("log", "latest_orders").collect()} == {"b2"}
