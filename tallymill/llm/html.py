@@ -51,6 +51,11 @@ ASIDE_WORDS = frozenset(
     " pagination popup promo promoted promotion recommended related replies reply respond share sharing sidebar"
     " signup social sponsor sponsored subscribe toolbar widget widgets".split()
 )
+LAYOUT_WORDS = frozenset(
+    "area bar block body bottom box button buttons column container content group holder inner item label left link"
+    " links list main outer panel right row section slot space text title top unit wrap wrapper zone".split()
+)
+CONTAINERS = frozenset("div section ul ol dl span center ins".split())
 COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
 FORMS = frozenset("form fieldset".split())
 HEADER_WORDS = frozenset("header masthead".split())
@@ -104,6 +109,8 @@ def set_aside(name: str, attributes: str, inside: bool) -> tuple[str, bool]:
     """What sets the element aside, as in ``Element``, and whether it is comments.
 
     ``inside``: an article is open. Classes that tell a state (has-sidebar, comments-open) are no kind.
+    Within an article only a container is set aside by a class or id, and only by one that says
+    nothing else: adBox is an advert, share-prices or ad-hoc-committee tell of the story.
     """
     words: set[str] = set()
     role = False
@@ -114,6 +121,8 @@ def set_aside(name: str, attributes: str, inside: bool) -> tuple[str, bool]:
             continue
         for part in value.split():
             found = [x for x in re.split(r"[^a-z]+", CAMEL.sub(" ", part).lower()) if x]
+            if inside and not (name in CONTAINERS and all(x in ASIDE_WORDS or x in LAYOUT_WORDS for x in found)):
+                continue
             if found and found[0] not in STATE_BEGINS and found[-1] not in STATE_ENDS:
                 words.update(found)
     if name in ("html", "body", "main"):
@@ -170,12 +179,14 @@ def _parsed(page: str) -> tuple[list[tuple[str | None, str, Element]], list[Elem
     root = Element("", None)
     root.owner = root
     found, elements, opened = [], [root], [root]
+    names: Counter = Counter()  # of the open elements, so that a stray end tag is known without a search
     at = words = 0
     length = len(page)
 
     def close(depth: int) -> None:
         for e in opened[depth:]:
             e.words = words - e.words
+            names[e.name] -= 1
         del opened[depth:]
 
     while at < length:
@@ -196,9 +207,8 @@ def _parsed(page: str) -> tuple[list[tuple[str | None, str, Element]], list[Elem
         if not name:
             continue
         if mark[1]:
-            depth = next((i for i in range(len(opened) - 1, 0, -1) if opened[i].name == name), 0)
-            if depth:
-                close(depth)
+            if names[name] > 0:  # what the search passes is closed
+                close(next(i for i in range(len(opened) - 1, 0, -1) if opened[i].name == name))
             found.append((None, f"/{name}", opened[-1]))
             continue
         if name in RAW and not mark[3].rstrip().endswith("/"):
@@ -220,6 +230,7 @@ def _parsed(page: str) -> tuple[list[tuple[str | None, str, Element]], list[Elem
             e.owner = e if name in LABEL else None if aside else up.owner
             elements.append(e)
             opened.append(e)
+            names[name] += 1
         found.append((None, name, opened[-1]))
     close(0)
     return found, elements
@@ -294,8 +305,8 @@ def _counts(page: str) -> Counter:
     return counts
 
 
-def learn(pages: DataFrame, sample: int = 4_000, most_tags: int = 200) -> Weights:
-    """Weights from about ``sample`` pages, picked by a hash of the id; the ``most_tags`` commonest tags count."""
+def learn(pages: DataFrame, sample: int = 4_000, least_seen: int = 5) -> Weights:
+    """Weights from about ``sample`` pages, picked by a hash of the id, of all tags that these have ``least_seen`` times."""
     total = pages.count()
     if not total:
         return Weights()
@@ -312,7 +323,7 @@ def learn(pages: DataFrame, sample: int = 4_000, most_tags: int = 200) -> Weight
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("within"),
         F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("without"),
     )
-    rows = sides.orderBy((F.col("tag") != "").cast("int"), F.desc(F.col("within") + F.col("without")), "tag").limit(most_tags).collect()
+    rows = sides.where((F.col("tag") == "") | (F.col("within") + F.col("without") >= least_seen)).collect()
     odds = {r["tag"]: math.log((r["within"] + 1) / (r["without"] + 1)) for r in rows}
     if "" not in odds:
         return Weights()

@@ -128,6 +128,30 @@ def test_articles_in_asides_are_not_taken_for_the_article(aside):
     assert html.main_text(page, html.Weights()) == FOUND
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        f"<table class='share-prices'><tr><td>{WORDS}</table>",
+        f"<p class='notice'>{WORDS}</p>",
+        f"<div class='ad-hoc-committee'>{WORDS}</div>",
+        f"<h2 id='comments-on-the-law'>{WORDS}</h2>",
+        f"<ul class='social-history'><li>{WORDS}</ul>",
+    ],
+)
+def test_a_class_that_tells_of_the_story_keeps_its_text(part):
+    page = f"<body>{MENU}<article><h1>The head of it</h1>{part}<p>{WORDS * 3}</p><div class='comments-list'><p>I disagree with it</p></div><div class='adSlot'>Buy now</div></article>"
+    assert html.main_text(page, html.Weights()).split("\n") == ["The head of it", WORDS.strip(), " ".join((WORDS * 3).split())]
+
+
+def test_stray_ends_among_many_open_elements_take_linear_time():
+    import time
+
+    page = "<article><p>" + "<b>" * 20_000 + f"{WORDS * 3}" + "</i>" * 20_000 + "</article>"
+    begun = time.process_time()
+    html.main_text(page, html.Weights())
+    assert time.process_time() - begun < 4
+
+
 def test_the_border_keeps_its_measure_in_words(spark):
     pages = spark.createDataFrame([(1, PAGE)], "page_id long, html string")
     weights = html.learn(pages)
