@@ -48,8 +48,11 @@ def dim_campaign() -> str:
     from {t("campaigns")}"""
 
 
+_born = "year(cast(birth_date as date))"
+
+
 def dim_customers() -> str:
-    born = "year(cast(birth_date as date))"
+    born = _born
     return f"""
     select row_number() over (order by registration_date, customer_id) as customer_sk, * exclude (county),
            if({born} between {v.YOUNGEST_FROM} and {AS_OF.year}, '{v.YOUNGEST_GENERATION}', {bands(born, v.GENERATIONS)})
@@ -60,10 +63,54 @@ def dim_customers() -> str:
 def dim_employee() -> str:
     return f"""
     select row_number() over (order by employee_id, valid_from, valid_to) as employee_sk,
-           * replace (coalesce(store_id, 'HQ') as store_id)
+           * replace (coalesce(store_id, 'HQ') as store_id), last_name || ', ' || first_name as display_name,
+           if({_born} between {v.YOUNGEST_FROM} and {AS_OF.year}, '{v.YOUNGEST_GENERATION}', {bands(_born, v.GENERATIONS)})
+             as generation,
+           tenure_days // 365 as tenure_years, {AS_OF.year} - hire_year as years_since_hire,
+           hire_year || '-Q' || hire_quarter as hire_cohort
     from {t("hr")}"""
 
 
+def _earliest(table: str, key: str, order: tuple[str, ...], rest: tuple[str, ...]) -> str:
+    """The first row per key, nulls last, ties by the other columns."""
+    by = ", ".join(f"{c} nulls last" for c in (*order, *rest))
+    return f"""
+    select {", ".join((key, *order, *rest))} from {t(table)}
+    qualify row_number() over (partition by {key} order by {by}) = 1"""
+
+
+def pos_heads() -> str:
+    rest = ("store_id", "customer_id", "cashier_id", "payment_method")
+    return _earliest("pos_transactions", "transaction_id", ("transaction_date", "transaction_time"), rest)
+
+
+def web_heads() -> str:
+    rest = ("customer_id", "delivery_address", "delivery_fee", "payment_method", "order_status")
+    return _earliest("ecommerce_orders", "order_id", ("order_date", "order_time"), rest)
+
+
+def po_heads() -> str:
+    return _earliest("purchase_orders", "po_number", ("order_date", "expected_delivery_date"), ("supplier_id", "status"))
+
+
+def receipts_per_line() -> str:
+    return f"""
+    select po_number, product_id, min(receipt_date) as first_receipt_date, max(receipt_date) as last_receipt_date,
+           cast(sum(quantity_received) as bigint) as quantity_received
+    from {t("goods_receipts")} group by all"""
+
+
+def card_owners() -> str:
+    return f"select card_number, min(customer_id) as customer_id from {t('gift_cards')} group by 1"
+
+
+def sale_origins() -> str:
+    return f"""
+    select transaction_id, min(store_id) as store_id, min(customer_id) as customer_id
+    from (select transaction_id, store_id, customer_id from {t("pos_transactions")}
+          union all select order_id, null, customer_id from {t("ecommerce_orders")}) group by 1"""
+
+
 def dim_supplier() -> str:
     return f"""
     select row_number() over (order by supplier_id, valid_from, valid_to) as supplier_key, * from {t("suppliers")}"""
@@ -369,6 +416,7 @@ SQL = {
     "dim_geography_economic": dim_geography_economic(),
     "bridge_product": bridge_product(),
     "bridge_store": bridge_store(),
+    "bridge_employee": periods(dim_employee(), "employee_id", "employee_sk", ", department"),
     "cust_county": cust_county(),
     "fact_pos_sales": fact_pos_sales(),
     "fact_ecommerce_sales": fact_ecommerce_sales(),
@@ -384,6 +432,12 @@ SQL = {
     "agg_store_financials": agg_store_financials(),
     "agg_inventory_snapshot": agg_inventory_snapshot(),
     "agg_competitor_benchmark": agg_competitor_benchmark(),
+    "pos_heads": pos_heads(),
+    "web_heads": web_heads(),
+    "po_heads": po_heads(),
+    "receipts_per_line": receipts_per_line(),
+    "card_owners": card_owners(),
+    "sale_origins": sale_origins(),
     "mart_sales": mart_sales(),
     "mart_campaign_roi": mart_campaign_roi(),
     "mart_customer": mart_customer(),

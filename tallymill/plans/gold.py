@@ -56,22 +56,36 @@ def dim_campaign(campaigns: DataFrame) -> DataFrame:
     return dense_key(spent, [F.col("campaign_id"), F.col("start_date"), F.col("campaign_name")], "campaign_sk")
 
 
-def dim_customers(crm: DataFrame, as_of: date) -> DataFrame:
+def _generation(as_of: date) -> Column:
     born = F.year("birth_date")
     young = born.between(v.YOUNGEST_FROM, as_of.year)
-    generation = F.when(young, F.lit(v.YOUNGEST_GENERATION)).otherwise(clean.band(born, v.GENERATIONS))
+    return F.when(young, F.lit(v.YOUNGEST_GENERATION)).otherwise(clean.band(born, v.GENERATIONS))
+
+
+def dim_customers(crm: DataFrame, as_of: date) -> DataFrame:
     columns = [c for c in crm.columns if c != "county"]
     return dense_key(
-        crm.select(*columns, generation.alias("generation")),
+        crm.select(*columns, _generation(as_of).alias("generation")),
         [F.col("registration_date"), F.col("customer_id")],
         "customer_sk",
     )
 
 
-def dim_employee(hr: DataFrame) -> DataFrame:
-    """Staff versions; those without a store belong to headquarters."""
-    placed = hr.withColumn(
-        "store_id", F.coalesce("store_id", F.lit("HQ"))
+def dim_employee(hr: DataFrame, as_of: date) -> DataFrame:
+    """Staff versions; those without a store belong to headquarters.
+
+    Years of tenure are of 365 days, years since hire are turns of the year; a cohort is a quarter.
+    """
+    hired = F.col("hire_date")
+    placed = hr.withColumns(
+        {
+            "store_id": F.coalesce("store_id", F.lit("HQ")),
+            "display_name": F.concat_ws(", ", "last_name", "first_name"),
+            "generation": _generation(as_of),
+            "tenure_years": F.floor(F.col("tenure_days") / 365),
+            "years_since_hire": compat.years_between_starts(hired, compat.today(as_of)),
+            "hire_cohort": F.concat(F.year(hired).cast("string"), F.lit("-Q"), F.quarter(hired).cast("string")),
+        }
     )
     return dense_key(placed, [F.col("employee_id"), F.col("valid_from"), F.col("valid_to")], "employee_sk")
 

@@ -120,7 +120,7 @@ class Lake:
             case "dim_customers":
                 return gold.dim_customers(s("crm"), self.as_of)
             case "dim_employee":
-                return gold.dim_employee(s("hr"))
+                return gold.dim_employee(s("hr"), self.as_of)
             case "dim_store":
                 return gold.dim_store(s("stores"))
             case "dim_supplier":
