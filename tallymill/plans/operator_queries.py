@@ -102,7 +102,7 @@ def _dated_lines(lake: Lake) -> DataFrame:
 
 def asof_line_cost(lake: Lake) -> DataFrame:
     """Every line with the part version valid on its order date."""
-    periods = versions.by_month(materialise(bridge_part(lake), "bridge"), "l_partkey")
+    periods = versions.by_month(bridge_part(lake), "l_partkey")
     return versions.point_in_time_join(_dated_lines(lake), periods, "order_date", ["version_no", "unit_cost"])
 
 
