@@ -278,11 +278,18 @@ SQL = {
         from ({S["ecommerce_orders"]}) where right(order_id, 1) not in ('0', '2', '4', '6', '8')
         order by order_id, order_date, order_time, amount limit 20""",
     "unreadable_texts": " union all ".join(
-        f"select '{t}' as table_name, '{c}' as column_name, {c} as text, count(*) as n_rows from {raw(r)} where {c} = 'abc' group by {c}"
+        f"select '{t}' as table_name, '{c}' as column_name, {c} as text, count(*) as n_rows from {raw(r)} where {c} like '%abc' group by {c}"
         for t, r, c in (
             ("crm", "crm_raw", "feedback_score"), ("feedback", "feedback_raw", "rating"), ("gl_transactions", "gl_transactions_raw", "amount"),
             ("hr", "hr_raw", "salary"), ("loyalty_transactions", "loyalty_transactions_raw", "points_earned"),
-            ("returns", "returns_raw", "quantity_returned"),
+            ("pos_returns", "returns_raw", "quantity_returned"), ("service_interactions", "service_interactions_raw", "resolution_time_minutes"),
+            ("store_daily_financials", "store_daily_financials_raw", "net_profit"), ("gis_counties", "gis_counties_raw", "population"),
+            ("gis_locations", "gis_locations_raw", "accessibility_score"), ("employee_shifts", "employee_shifts_raw", "hours_worked"),
+            ("time_tracking", "time_tracking_raw", "timestamp"), ("inventory_snapshots", "inventory_snapshots_raw", "on_hand_quantity"),
+            ("economic", "economic_raw", "fuel_price_kes"), ("campaigns", "campaigns_raw", "budget_kes"),
+            ("promotions", "promotions_raw", "discount_value"), ("goods_receipts", "goods_receipts_raw", "quantity_received"),
+            ("purchase_orders", "purchase_orders_raw", "total_amount"), ("products", "products_raw", "unit_cost_kes"),
+            ("stores", "stores_raw", "size_sqm"), ("suppliers", "suppliers_raw", "lead_time_days"),
         )
     ),
     "full_refresh": """

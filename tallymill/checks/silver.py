@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from tallymill.checks.text import (
-    CRM, FEEDBACK, LEDGER, LOYALTY, NOW, RETURNS, STAFF, bands, dec, fixed, lit, num, parts, rate, raw, recode, rules, undup, unread, whole, words,
+    CAMPAIGNS, CLOCK, COUNTIES, CRM, ECONOMY, FEEDBACK, FINANCE, LEDGER, LOCATIONS, LOYALTY, NOW, PRODUCTS, PROMOTIONS, PURCHASES, RECEIPTS,
+    RETURNS, SERVICE, SHIFTS, SNAPSHOTS, STAFF, STORES, SUPPLIERS, bands, dec, fixed, lit, num, parts, rate, raw, recode, rules, undup, unread,
+    whole, words,
 )
 from tallymill.functions.clean import UNREADABLE
 from tallymill.plans import vocab as v
@@ -224,7 +226,7 @@ def suppliers() -> str:
            coalesce(contact_person, supplier_name) as contact_person, replace(phone, '+254', '') as phone,
            replace(email, 'contact', lower(substr(supplier_name, 1, 2))) as email, payment_terms,
            {whole("lead_time_days")} as lead_time_days, category, tax_id
-    from {raw("suppliers_raw")} where supplier_id not like '%DUP'"""
+    from {SUPPLIERS} where supplier_id not like '%DUP'"""
 
 
 def stores() -> str:
@@ -238,7 +240,7 @@ def stores() -> str:
                {whole("size_sqm")} as size_sqm, cast({day("opening_date")} as varchar) as opening_date,
                cast(coalesce({day("closing_date")}, {NOW}) as varchar) as closing_date,
                if(is_active = 'TRUE', 'yes', 'no') as is_active
-        from {raw("stores_raw")} where store_id not like '%DUP'
+        from {STORES} where store_id not like '%DUP'
     )
     select row_number() over w as store_key, store_id, cast(vf as varchar) as valid_from,
            cast(vt as varchar) as valid_to, store_name, county,
@@ -257,7 +259,7 @@ def products() -> str:
         select * replace ({undup("product_id")} as product_id, {undup("supplier_id")} as supplier_id),
                row_number() over (partition by {undup("product_id")} order by valid_from) as n,
                {num("margin_percentage")} as m
-        from {raw("products_raw")}
+        from {PRODUCTS}
     )
     select product_id, product_name, brand, category, subcategory, supplier_id,
            {num("unit_cost_kes")} as unit_cost_kes, {num("retail_price_kes")} as retail_price_kes,
@@ -292,7 +294,7 @@ def service_interactions() -> str:
     select interaction_id, {undup("customer_id")} as customer_id,
            cast({fixed("interaction_date", v.CHRISTMAS_2023)} as varchar) as interaction_date, channel, issue_type,
            {whole("resolution_time_minutes")} as resolution_time_minutes, {num("satisfaction_score")} as satisfaction_score
-    from {raw("service_interactions_raw")}"""
+    from {SERVICE}"""
 
 
 def loyalty_transactions() -> str:
@@ -362,7 +364,7 @@ def employee_shifts() -> str:
     select shift_id, employee_id, {undup("store_id")} as store_id,
            cast({fixed("shift_date", v.CHRISTMAS_2023)} as varchar) as shift_date, shift_type, start_time, end_time,
            {num("hours_worked")} as hours_worked, {whole("overtime_hours")} as overtime_hours
-    from {raw("employee_shifts_raw")}"""
+    from {SHIFTS}"""
 
 
 def time_tracking() -> str:
@@ -370,7 +372,7 @@ def time_tracking() -> str:
     select event_id, employee_id, {undup("store_id")} as store_id,
            cast(cast(replace(timestamp, 'T', ' ') as timestamp) as varchar) as event_time,
            left(timestamp, 10) as event_date, event_type
-    from {raw("time_tracking_raw")}"""
+    from {CLOCK}"""
 
 
 def inventory_movements() -> str:
@@ -422,7 +424,7 @@ def _snapshots() -> str:
     return f"""
     select {fixed("snapshot_date", v.CHRISTMAS_2023)} as d, {undup("store_id")} as store_id, product_id,
            {whole("on_hand_quantity")} as q, {num("reorder_point")} as p, {whole("safety_stock")} as s
-    from {raw("inventory_snapshots_raw")}"""
+    from {SNAPSHOTS}"""
 
 
 def inventory_snapshots() -> str:
@@ -454,7 +456,7 @@ def purchase_orders() -> str:
     with t as (
         select po_number, {undup("supplier_id")} as supplier_id, status, {fixed("order_date", v.OCTOBER_2022)} as d,
                {fixed("expected_delivery_date", v.OCTOBER_2022)} as e, round({num("total_amount")}, 2) as amt
-        from {raw("purchase_orders_raw")} where po_number not like '%DUP'
+        from {PURCHASES} where po_number not like '%DUP'
     )
     select po_number, po_number as purchase_order_key, supplier_id, status, cast(d as varchar) as order_date,
            cast(e as varchar) as expected_delivery_date, amt as total_amount_kes,
@@ -505,7 +507,7 @@ def goods_receipts() -> str:
         select receipt_id, upper(trim(po_number)) as po_number, product_id,
                {fixed("receipt_date", v.CHRISTMAS_2023)} as d, {whole("quantity_received")} as q,
                nullif(receiving_notes, 'NULL') as note
-        from {raw("goods_receipts_raw")} where receipt_id is not null and po_number is not null
+        from {RECEIPTS} where receipt_id is not null and po_number is not null
     )
     select receipt_id as receipt_key, receipt_id, po_number, product_id, cast(d as varchar) as receipt_date,
            q as quantity_received, coalesce(note, 'No issues recorded') as receiving_notes,
@@ -525,7 +527,7 @@ def promotions() -> str:
     with t as (
         select promotion_id, promotion_name, cast(start_date as date) as s, cast(end_date as date) as e,
                lower(trim(discount_type)) as k, {num("discount_value")} as val
-        from {raw("promotions_raw")} where promotion_id is not null
+        from {PROMOTIONS} where promotion_id is not null
     )
     select promotion_id as promotion_key, promotion_id, promotion_name,
            if(promotion_name like 'Promotion_%', promotion_name[11:], promotion_name) as promotion_short_name,
@@ -558,7 +560,7 @@ def campaigns() -> str:
            cast(end_date as date) - cast(start_date as date) as campaign_duration_days,
            {whole("budget_kes")} as budget_kes, {whole("actual_spend_kes")} as actual_spend_kes,
            {num("discount_rate")} as discount_rate
-    from {raw("campaigns_raw")}"""
+    from {CAMPAIGNS}"""
 
 
 def gl_transactions() -> str:
@@ -577,7 +579,7 @@ def gl_transactions() -> str:
 
 def store_daily_financials() -> str:
     m = ("sales_kes", "cost_of_goods_sold", "gross_margin", "operating_expenses", "net_profit")
-    return f"select store_id, date, {', '.join(f'{num(c)} as {c}' for c in m)} from {raw('store_daily_financials_raw')}"
+    return f"select store_id, date, {', '.join(f'{num(c)} as {c}' for c in m)} from {FINANCE}"
 
 
 def economic() -> str:
@@ -587,7 +589,7 @@ def economic() -> str:
     with t as (
         select county, cast(year_month || '-01' as date) as s, last_day(cast(year_month || '-01' as date)) as d,
                {', '.join(f'{num(c)} as {c}' for c in m)}
-        from {raw("economic_raw")}
+        from {ECONOMY}
     )
     select county, cast(d as varchar) as date, cast(s as varchar) as month_start_date, {', '.join(m)},
            county || '_' || strftime(d, '%Y%m') as economic_id, year(d) as calendar_year, month(d) as calendar_month,
@@ -612,13 +614,13 @@ def economic() -> str:
 def gis_counties() -> str:
     return (
         f"select county, {whole('population')} as population, {whole('avg_income_kes')} as avg_income_kes,"
-        f" {num('latitude')} as latitude, {num('longitude')} as longitude from {raw('gis_counties_raw')}"
+        f" {num('latitude')} as latitude, {num('longitude')} as longitude from {COUNTIES}"
     )
 
 
 def gis_locations() -> str:
     m = ", ".join(f"{num(c)} as {c}" for c in ("latitude", "longitude", "accessibility_score"))
-    return f"select county, location_id, location_name, location_type, {m} from {raw('gis_locations_raw')}"
+    return f"select county, location_id, location_name, location_type, {m} from {LOCATIONS}"
 
 
 SQL = {

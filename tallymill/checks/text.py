@@ -77,7 +77,10 @@ def unread(*pairs: tuple[str, str]) -> str:
 
 def readable(table: str, **types: str) -> str:
     """The raw rows of which every field parses, by column → type."""
-    typed = {"int": "try_cast({0} as int)", "double": "try_cast({0} as double)", "date": f"if({{0}} = '{BAD_DATE}', date '2000-01-01', try_cast({{0}} as date))"}
+    typed = {
+        "int": "try_cast({0} as int)", "double": "try_cast({0} as double)", "date": f"if({{0}} = '{BAD_DATE}', date '2000-01-01', try_cast({{0}} as date))",
+        "timestamp": "try_cast(replace({0}, 'T', ' ') as timestamp)",
+    }
     given = {c: f"if({c} in ('n/a', 'NULL'), '', {c})" for c in types}
     return f"(select * from {raw(table)} where not ({unread(*((given[c], typed[k].format(c)) for c, k in types.items()))}))"
 
@@ -87,7 +90,31 @@ LOYALTY = readable("loyalty_transactions_raw", date="date", points_earned="int",
 LEDGER = readable("gl_transactions_raw", date="date", amount="double")
 FEEDBACK = readable("feedback_raw", date="date", rating="int")
 CRM = readable("crm_raw", feedback_score="double")
-STAFF = readable("hr_raw", salary="int")
+STAFF = readable("hr_raw", valid_from="date", valid_to="date", birth_date="date", hire_date="date", salary="int")
+SERVICE = readable("service_interactions_raw", interaction_date="date", resolution_time_minutes="int", satisfaction_score="double")
+FINANCE = readable(
+    "store_daily_financials_raw", date="date", sales_kes="double", cost_of_goods_sold="double", gross_margin="double",
+    operating_expenses="double", net_profit="double",
+)
+COUNTIES = readable("gis_counties_raw", population="int", avg_income_kes="int", latitude="double", longitude="double")
+LOCATIONS = readable("gis_locations_raw", latitude="double", longitude="double", accessibility_score="double")
+SHIFTS = readable("employee_shifts_raw", shift_date="date", hours_worked="double", overtime_hours="int")
+CLOCK = readable("time_tracking_raw", timestamp="timestamp")
+SNAPSHOTS = readable("inventory_snapshots_raw", snapshot_date="date", on_hand_quantity="int", reorder_point="double", safety_stock="int")
+ECONOMY = readable(
+    "economic_raw", gdp_growth_pct="double", inflation_pct="double", unemployment_pct="double", consumer_confidence="double",
+    retail_sales_index="double", fuel_price_kes="double", usd_kes_rate="double",
+)
+CAMPAIGNS = readable("campaigns_raw", start_date="date", end_date="date", budget_kes="int", actual_spend_kes="int", discount_rate="double")
+PROMOTIONS = readable("promotions_raw", start_date="date", end_date="date", discount_value="double")
+RECEIPTS = readable("goods_receipts_raw", receipt_date="date", quantity_received="int")
+PURCHASES = readable("purchase_orders_raw", order_date="date", expected_delivery_date="date", total_amount="double")
+PRODUCTS = readable(
+    "products_raw", valid_from="date", valid_to="date", introduction_date="date", discontinued_date="date", unit_cost_kes="double",
+    retail_price_kes="double", margin_percentage="double",
+)
+STORES = readable("stores_raw", valid_from="date", valid_to="date", opening_date="date", closing_date="date", size_sqm="int")
+SUPPLIERS = readable("suppliers_raw", valid_from="date", valid_to="date", lead_time_days="int")
 
 
 def mean(total: str, n: str, places: int = 2) -> str:

@@ -16,7 +16,7 @@ NO_VALUE = ("", "n/a", "NULL")
 def unread(types: Mapping[str, str]) -> Column:
     """Map of column → text for every field that is there but does not parse.
 
-    ``types``: column → int, bigint, double or date. NaN is no number, and the impossible date
+    ``types``: column → int, bigint, double, date or timestamp_ntz. NaN is no number, and the impossible date
     that stands for a known one is not lost.
     """
 

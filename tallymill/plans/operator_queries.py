@@ -610,8 +610,8 @@ def latest_batch(lake: Lake) -> DataFrame:
 
 def unreadable_texts(lake: Lake) -> DataFrame:
     """Texts that their columns cannot hold, in the tables that set such rows apart."""
-    tables = ("crm", "feedback", "gl_transactions", "hr", "loyalty_transactions", "returns")
-    found = [rescue.unread_texts(lake.raw(SILVER[t].sources[0]), SILVER[t].typed, t) for t in tables]
+    first = {spec.sources[0]: t for t, spec in reversed(SILVER.items()) if spec.typed is not None}  # of tables with one source the first
+    found = [rescue.unread_texts(lake.raw(source), SILVER[t].typed, t) for source, t in first.items()]
     return reduce(DataFrame.unionByName, found)
 
 

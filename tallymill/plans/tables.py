@@ -46,6 +46,31 @@ RETURN_TYPES = {"return_date": "date", "quantity_returned": "int", "refund_amoun
 LOYALTY_TYPES = {"date": "date", "points_earned": "int", "points_redeemed": "int", "points_balance": "int"}
 LEDGER_TYPES = {"date": "date", "amount": "double"}
 FEEDBACK_TYPES = {"date": "date", "rating": "int"}
+STAFF_TYPES = {"valid_from": "date", "valid_to": "date", "birth_date": "date", "hire_date": "date", "salary": "int"}
+SERVICE_TYPES = {"interaction_date": "date", "resolution_time_minutes": "int", "satisfaction_score": "double"}
+FINANCE_TYPES = {
+    "date": "date", "sales_kes": "double", "cost_of_goods_sold": "double", "gross_margin": "double",
+    "operating_expenses": "double", "net_profit": "double",
+}
+COUNTY_TYPES = {"population": "int", "avg_income_kes": "int", "latitude": "double", "longitude": "double"}
+LOCATION_TYPES = {"latitude": "double", "longitude": "double", "accessibility_score": "double"}
+SHIFT_TYPES = {"shift_date": "date", "hours_worked": "double", "overtime_hours": "int"}
+CLOCK_TYPES = {"timestamp": "timestamp_ntz"}
+SNAPSHOT_TYPES = {"snapshot_date": "date", "on_hand_quantity": "int", "reorder_point": "double", "safety_stock": "int"}
+ECONOMY_TYPES = {
+    "gdp_growth_pct": "double", "inflation_pct": "double", "unemployment_pct": "double", "consumer_confidence": "double",
+    "retail_sales_index": "double", "fuel_price_kes": "double", "usd_kes_rate": "double",
+}
+CAMPAIGN_TYPES = {"start_date": "date", "end_date": "date", "budget_kes": "int", "actual_spend_kes": "int", "discount_rate": "double"}
+PROMOTION_TYPES = {"start_date": "date", "end_date": "date", "discount_value": "double"}
+RECEIPT_TYPES = {"receipt_date": "date", "quantity_received": "int"}
+PURCHASE_TYPES = {"order_date": "date", "expected_delivery_date": "date", "total_amount": "double"}
+PRODUCT_TYPES = {
+    "valid_from": "date", "valid_to": "date", "introduction_date": "date", "discontinued_date": "date",
+    "unit_cost_kes": "double", "retail_price_kes": "double", "margin_percentage": "double",
+}
+STORE_TYPES = {"valid_from": "date", "valid_to": "date", "opening_date": "date", "closing_date": "date", "size_sqm": "int"}
+SUPPLIER_TYPES = {"valid_from": "date", "valid_to": "date", "lead_time_days": "int"}
 
 
 def _valid() -> Column:
@@ -73,19 +98,19 @@ SILVER: dict[str, Silver] = {
         parties.feedback, ("feedback_raw",), lambda: F.col("rating").between(1, 5), dated=True,
         typed=FEEDBACK_TYPES, sort=("feedback_date", "feedback_id"),
     ),
-    "service_interactions": Silver(parties.service_interactions, ("service_interactions_raw",)),
+    "service_interactions": Silver(parties.service_interactions, ("service_interactions_raw",), typed=SERVICE_TYPES),
     "gl_transactions": Silver(
         stock.gl_transactions, ("gl_transactions_raw",), _valid, typed=LEDGER_TYPES, sort=("transaction_date", "transaction_id")
     ),
-    "store_daily_financials": Silver(stock.store_daily_financials, ("store_daily_financials_raw",)),
-    "gis_counties": Silver(parties.gis_counties, ("gis_counties_raw",)),
-    "gis_locations": Silver(parties.gis_locations, ("gis_locations_raw",)),
-    "employee_shifts": Silver(parties.employee_shifts, ("employee_shifts_raw",)),
-    "hr": Silver(parties.hr, ("hr_raw",), dated=True, typed={"salary": "int"}),
-    "time_tracking": Silver(parties.time_tracking, ("time_tracking_raw",)),
+    "store_daily_financials": Silver(stock.store_daily_financials, ("store_daily_financials_raw",), typed=FINANCE_TYPES),
+    "gis_counties": Silver(parties.gis_counties, ("gis_counties_raw",), typed=COUNTY_TYPES),
+    "gis_locations": Silver(parties.gis_locations, ("gis_locations_raw",), typed=LOCATION_TYPES),
+    "employee_shifts": Silver(parties.employee_shifts, ("employee_shifts_raw",), typed=SHIFT_TYPES),
+    "hr": Silver(parties.hr, ("hr_raw",), dated=True, typed=STAFF_TYPES),
+    "time_tracking": Silver(parties.time_tracking, ("time_tracking_raw",), typed=CLOCK_TYPES),
     "inventory_movements": Silver(stock.inventory_movements, ("inventory_movements_raw",), _readable, evidence=v.MOVEMENT_TEXTS),
     "inventory_movements_slim": Silver(stock.inventory_movements_slim, ("inventory_movements_raw",)),
-    "inventory_snapshots": Silver(stock.inventory_snapshots, ("inventory_snapshots_raw",)),
+    "inventory_snapshots": Silver(stock.inventory_snapshots, ("inventory_snapshots_raw",), typed=SNAPSHOT_TYPES),
     "inventory_snapshots_slim": Silver(
         stock.inventory_snapshots_slim,
         ("inventory_snapshots_raw",),
@@ -100,27 +125,29 @@ SILVER: dict[str, Silver] = {
                 "safety_stock",
             ),
         ),
+        typed=SNAPSHOT_TYPES,
         steady=True,
     ),
     "loyalty_transactions": Silver(
         parties.loyalty_transactions, ("loyalty_transactions_raw",), _not_future, dated=True, typed=LOYALTY_TYPES
     ),
-    "economic": Silver(stock.economic, ("economic_raw",), lambda: F.col("date").isNotNull()),
-    "campaigns": Silver(stock.campaigns, ("campaigns_raw",)),
-    "promotions": Silver(stock.promotions, ("promotions_raw",), _valid, dated=True),
+    "economic": Silver(stock.economic, ("economic_raw",), lambda: F.col("date").isNotNull(), typed=ECONOMY_TYPES),
+    "campaigns": Silver(stock.campaigns, ("campaigns_raw",), typed=CAMPAIGN_TYPES),
+    "promotions": Silver(stock.promotions, ("promotions_raw",), _valid, dated=True, typed=PROMOTION_TYPES),
     "promotion_products": Silver(
         stock.promotion_products,
         ("promotion_products_raw",),
         lambda: clean.not_null_text(F.col("product_id")),
     ),
     "goods_receipts": Silver(
-        stock.goods_receipts, ("goods_receipts_raw",), lambda: F.col("quantity_received") > 0, dated=True
+        stock.goods_receipts, ("goods_receipts_raw",), lambda: F.col("quantity_received") > 0, dated=True, typed=RECEIPT_TYPES
     ),
     "purchase_orders": Silver(
         stock.purchase_orders,
         ("purchase_orders_raw",),
         lambda: F.col("order_date").isNotNull() & clean.not_dup(F.col("po_number")),
         dated=True,
+        typed=PURCHASE_TYPES,
         sort=("order_date", "po_number"),
     ),
     "purchase_order_lines": Silver(
@@ -133,6 +160,7 @@ SILVER: dict[str, Silver] = {
         ("products_raw",),
         dated=True,
         surrogate=("product_sk", ("product_id", "valid_from", "valid_to", "product_name", "unit_cost_kes")),
+        typed=PRODUCT_TYPES,
     ),
     "ecommerce_orders": Silver(
         sales.ecommerce_orders,
@@ -172,6 +200,6 @@ SILVER: dict[str, Silver] = {
     "pos_returns": Silver(sales.pos_returns, ("returns_raw",), typed=RETURN_TYPES),
     "ecomerce_returns": Silver(sales.ecomerce_returns, ("returns_raw",), typed=RETURN_TYPES),
     "returns": Silver(sales.returns, ("returns_raw",), typed=RETURN_TYPES),
-    "stores": Silver(parties.stores, ("stores_raw",), dated=True),
-    "suppliers": Silver(parties.suppliers, ("suppliers_raw",), dated=True),
+    "stores": Silver(parties.stores, ("stores_raw",), dated=True, typed=STORE_TYPES),
+    "suppliers": Silver(parties.suppliers, ("suppliers_raw",), dated=True, typed=SUPPLIER_TYPES),
 }
