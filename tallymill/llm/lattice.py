@@ -13,6 +13,12 @@ clique. Most pairs are settled by the angle between leaders and the radii of the
 no link at all, or all with all. The rest are compared member by member in blocks of
 matrix products which give counts, not pairs.
 
+A crowded cell, whose cliques would make many pairs, makes none of its small cliques. Their
+members are cut into chunks, and each two chunks are one matrix product, which gives the
+number of links of a vector and the few links that join what the block connects. Cliques
+that meet in several crowded cells count in the first of them, and not outside. Large
+cliques, of which a cell has fewer, meet others as before.
+
 Cases: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing. Rows that share an id are one vector, the smallest; a null id is returned as a
 row of its own without links. Vectors of different lengths never link. A cosine of exactly
@@ -37,11 +43,15 @@ from tallymill.llm.shingles import mix
 from tallymill.llm.vectors import by_length, matrix, usable
 from tallymill.session import materialise
 
-#: At a cosine of 0.95 a table finds about half of the pairs; 16 miss one in some ten thousand.
-TABLES, BLOCKS, NEIGHBOURS = 16, 2, 2
+#: At a cosine of 0.95 a table finds about half of the pairs; 24 miss one in some millions.
+TABLES, BLOCKS, NEIGHBOURS = 24, 2, 2
 SCALE, COARSE_SCALE, COARSE_TABLES = 0.6, 0.5, 3
 #: Vectors compared at once in a block.
 CHUNK = 512
+#: A cell that would make more pairs of cliques is crowded.
+CELL_PAIRS = 4_096
+#: Cliques of more members meet others as a whole in crowded cells, too.
+SMALL = 32
 #: Angles within this of a bound are compared vector by vector.
 MARGIN = 1e-6
 
@@ -224,6 +234,128 @@ def _compared(pairs: DataFrame, gathered: DataFrame, cliques: DataFrame, cosine:
     return met.mapInArrow(compare, "a long, b long, vec_id long, links long")
 
 
+def _seats(units: DataFrame, gathered: DataFrame, cliques: DataFrame) -> DataFrame:
+    """cell, leader, home (does a member live there, or do some only visit), members: once for a cell and clique."""
+    placed = units.join(gathered.select("vec_id", "leader"), "vec_id")
+    homes = placed.select("leader", F.explode("home").alias("cell"), F.lit(True).alias("home"))
+    visits = placed.select("leader", F.explode("visited").alias("cell"), F.lit(False).alias("home"))
+    once = homes.unionByName(visits).groupBy("cell", "leader").agg(F.max("home").alias("home"))
+    return materialise(once.join(cliques.select("leader", "members"), "leader"), "lattice-seats")
+
+
+def _meetings(homes: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs (a, b) of leaders, one of which is at home in a cell that the other is in."""
+    met = homes.select("cell", "leader").join(others.select("cell", F.col("leader").alias("guest")), "cell")
+    met = met.where(F.col("leader") != F.col("guest"))
+    return met.select(F.least("leader", "guest").alias("a"), F.greatest("leader", "guest").alias("b"))
+
+
+def _marked(crowd: DataFrame) -> DataFrame:
+    """leader, and the crowded cells that it is at home in, and that it visits."""
+    cell = F.col("cell")
+    return crowd.groupBy("leader").agg(
+        F.collect_list(F.when(F.col("home"), cell)).alias("lives"), F.collect_list(F.when(~F.col("home"), cell)).alias("calls")
+    )
+
+
+def _apart(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs that meet in no crowded cell."""
+    first = marks.select(F.col("leader").alias("a"), F.col("lives").alias("la"), F.col("calls").alias("ca"))
+    second = marks.select(F.col("leader").alias("b"), F.col("lives").alias("lb"), F.col("calls").alias("cb"))
+    meet = F.arrays_overlap("la", "lb") | F.arrays_overlap("la", "cb") | F.arrays_overlap("ca", "lb")
+    return pairs.join(first, "a", "left").join(second, "b", "left").where(~F.coalesce(meet, F.lit(False))).select("a", "b")
+
+
+def _side(column: pa.ListArray, i: int) -> dict[str, pa.Array]:
+    rows = column[i].values
+    return dict(zip((f.name for f in rows.type), rows.flatten()))
+
+
+def _belongs(lists: pa.ListArray, cells: np.ndarray) -> np.ndarray:
+    """Which of the sorted ``cells`` each list names, as zeros and ones."""
+    out = np.zeros((len(lists), len(cells)), np.float32)
+    row, value = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy()), lists.flatten().to_numpy()
+    at = np.minimum(np.searchsorted(cells, value), len(cells) - 1)
+    there = cells[at] == value
+    out[row[there], at[there]] = 1
+    return out
+
+
+def _met_before(x: dict[str, pa.Array], y: dict[str, pa.Array], cell: int) -> np.ndarray:
+    """Do rows of x and y meet in a crowded cell before ``cell``?"""
+    named = [np.concatenate([side[c].flatten().to_numpy() for c in ("lives", "calls")]) for side in (x, y)]
+    cells = np.intersect1d(*named)
+    cells = cells[cells < cell]
+    if not len(cells):
+        return np.zeros((len(x["leader"]), len(y["leader"])), bool)
+    lives_x, calls_x, lives_y, calls_y = (_belongs(side[c], cells) for side in (x, y) for c in ("lives", "calls"))
+    return lives_x @ (lives_y + calls_y).T + calls_x @ lives_y.T > 0
+
+
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the rows and the columns of ``linked`` the least row they are connected with."""
+    n = len(linked)
+    row, column = np.arange(n), np.full(linked.shape[1], n)
+    while True:
+        column = np.minimum(column, np.where(linked, row[:, None], n).min(axis=0))
+        least = np.minimum(row, np.where(linked, column[None, :], n).min(axis=1))
+        if (least == row).all():
+            return row, column
+        row = least
+
+
+def _crowded(crowd: DataFrame, marks: DataFrame, gathered: DataFrame, cosine: float) -> DataFrame:
+    """Links between small cliques that meet in crowded cells.
+
+    Rows are vec_id and links (counts of a block, to be added up), or a and b (leaders of linked cliques).
+    """
+    load = crowd.groupBy("cell", "home").agg(F.sum("members").alias("load"))
+    items = crowd.join(load, ["cell", "home"]).join(gathered.select("vec_id", "v", "leader").join(marks, "leader"), "leader")
+    part = F.pmod(F.xxhash64("vec_id"), F.ceil(F.col("load") / CHUNK))
+    rows = F.collect_list(F.struct("leader", "vec_id", "v", "lives", "calls")).alias("rows")
+    chunks = materialise(items.groupBy("cell", "home", part.alias("part")).agg(rows), "lattice-crowd")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                x, y = _side(batch.column("x_rows"), i), _side(batch.column("y_rows"), i)
+                cell, same = batch.column("cell")[i].as_py(), batch.column("same")[i].as_py()
+                linked = np.zeros((len(x["v"]), len(y["v"])), bool)
+                for r in by_length(x["v"]):
+                    for c in by_length(y["v"]):
+                        if len(x["v"][int(r[0])].as_py()) == len(y["v"][int(c[0])].as_py()):
+                            linked[np.ix_(r, c)] = matrix(x["v"].take(pa.array(r))) @ matrix(y["v"].take(pa.array(c))).T >= cosine
+                lx, ly = (side["leader"].to_numpy() for side in (x, y))
+                linked &= lx[:, None] != ly[None, :]
+                if same:
+                    linked = np.triu(linked, 1)
+                if linked.any():
+                    linked &= ~_met_before(x, y, cell)
+                if not linked.any():
+                    continue
+                ids = np.concatenate([x["vec_id"].to_numpy(), y["vec_id"].to_numpy()])
+                counts = np.concatenate([linked.sum(axis=1), linked.sum(axis=0)])
+                some = counts > 0
+                root = np.concatenate(_forest(linked))[some]
+                joined = np.unique(np.stack([np.concatenate([lx, ly])[some], lx[root]], axis=1), axis=0)
+                joined = joined[joined[:, 0] != joined[:, 1]]
+                n, m = int(some.sum()), len(joined)
+                none = pa.nulls
+                columns = [(ids[some], none(m)), (counts[some], none(m)), (none(n), joined[:, 0]), (none(n), joined[:, 1])]
+                merged = [pa.concat_arrays([pa.array(c).cast(pa.int64()) for c in pair]) for pair in columns]
+                yield pa.RecordBatch.from_arrays(merged, names=["vec_id", "links", "a", "b"])
+
+    index = chunks.select("cell", "home", "part")
+    x = index.where("home").select("cell", F.col("part").alias("x_part"))
+    y = index.select("cell", F.col("home").alias("y_home"), F.col("part").alias("y_part"))
+    blocks = x.join(y, "cell").where(~F.col("y_home") | (F.col("y_part") >= F.col("x_part")))
+    first = chunks.where("home").select("cell", F.col("part").alias("x_part"), F.col("rows").alias("x_rows"))
+    second = chunks.select("cell", F.col("home").alias("y_home"), F.col("part").alias("y_part"), F.col("rows").alias("y_rows"))
+    same = (F.col("y_home") & (F.col("x_part") == F.col("y_part"))).alias("same")
+    met = blocks.join(first, ["cell", "x_part"]).join(second, ["cell", "y_home", "y_part"]).select("cell", same, "x_rows", "y_rows")
+    return materialise(met.mapInArrow(compare, "vec_id long, links long, a long, b long"), "lattice-crowd-links")
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     """vec_id, n_links, component_id and kept for every vector of ``vectors`` (vec_id, embedding)."""
     link = math.acos(cosine)
@@ -231,24 +363,32 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     gathered = _gathered(units, link / 2)
     cliques = materialise(_radii(gathered), "lattice-cliques")
 
-    placed = units.join(gathered.select("vec_id", "leader"), "vec_id")
-    homes = placed.select("leader", F.explode("home").alias("cell")).distinct()
-    visits = placed.select("leader", F.explode("visited").alias("cell")).distinct()
-    homes = materialise(homes, "lattice-homes")
-    guests = homes.unionByName(visits).select(F.col("leader").alias("guest"), "cell")
-    met = homes.join(guests, "cell").where(F.col("leader") != F.col("guest"))
-    pairs = met.select(F.least("leader", "guest").alias("a"), F.greatest("leader", "guest").alias("b")).distinct()
+    seats = _seats(units, gathered, cliques)
+    taken = seats.groupBy("cell").agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("all"))
+    crowded = materialise(taken.where(F.col("homes") * F.col("all") > CELL_PAIRS).select("cell"), "lattice-crowded")
+    calm = seats.join(crowded, "cell", "left_anti")
+    pairs, blocks = _meetings(calm.where("home"), calm), None
+    if not crowded.isEmpty():
+        crowd = materialise(seats.join(crowded, "cell", "left_semi"), "lattice-crowds")
+        small, large = crowd.where(F.col("members") <= SMALL), crowd.where(F.col("members") > SMALL)
+        marks = materialise(_marked(small), "lattice-marks")
+        blocks = _crowded(small, marks, gathered, cosine)
+        pairs = _apart(pairs.distinct(), marks).unionByName(_meetings(large.where("home"), crowd)).unionByName(_meetings(small.where("home"), large))
+    pairs = pairs.distinct()
     judged = materialise(_judged(pairs, cliques, link), "lattice-judged")
     compared = materialise(_compared(judged.where(~F.col("whole")), gathered, cliques, cosine), "lattice-compared")
 
     whole = judged.where("whole").select("a", "b")
     ends = whole.unionByName(whole.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = ends.join(cliques.select(F.col("leader").alias("b"), "members"), "b").groupBy(F.col("a").alias("leader")).agg(F.sum("members").alias("more"))
-    single = compared.groupBy("vec_id").agg(F.sum("links").alias("single"))
+    counted, edges = compared.select("vec_id", "links"), whole.unionByName(compared.select("a", "b").distinct())
+    if blocks is not None:
+        counted = counted.unionByName(blocks.where(F.col("vec_id").isNotNull()).select("vec_id", "links"))
+        edges = edges.unionByName(blocks.where(F.col("a").isNotNull()).select("a", "b").distinct())
+    single = counted.groupBy("vec_id").agg(F.sum("links").alias("single"))
 
     hub = cliques.select("leader", "hub")
-    linked = whole.unionByName(compared.select("a", "b").distinct())
-    linked = linked.join(hub.withColumnsRenamed({"leader": "a", "hub": "x"}), "a").join(hub.withColumnsRenamed({"leader": "b", "hub": "y"}), "b")
+    linked = edges.join(hub.withColumnsRenamed({"leader": "a", "hub": "x"}), "a").join(hub.withColumnsRenamed({"leader": "b", "hub": "y"}), "b")
     joined = components(linked.select(F.col("x").alias("a"), F.col("y").alias("b")))
     labels = hub.join(joined.withColumnRenamed("node", "hub"), "hub", "left").select("leader", F.coalesce("component", "hub").alias("component"))
 

@@ -10,6 +10,7 @@ import pytest
 from tallymill.llm import ann, lattice, minhash
 from tallymill.llm.graph import components
 from tallymill.llm.shingles import SEGMENT, shingles, word_hashes
+from tallymill.session import materialise
 
 DOCS = "doc_id long, text string, words string, weight int"
 VECTORS = "vec_id long, embedding array<float>, leader string"
@@ -142,6 +143,40 @@ def test_near_vectors_match_brute_force(spark):
     assert len(found) == len(ids) + len(odd) + 2
 
 
+@pytest.mark.parametrize(("small", "chunk"), [(32, 512), (3, 100), (0, 512)])
+def test_a_crowd_of_different_vectors_is_counted_in_blocks(spark, monkeypatch, small, chunk):
+    monkeypatch.setattr(lattice, "SMALL", small)
+    monkeypatch.setattr(lattice, "CHUNK", chunk)
+    labels = []
+    monkeypatch.setattr(lattice, "materialise", lambda df, label: labels.append((label, materialise(df, label))) or labels[-1][1])
+    draw = np.random.default_rng(5)
+    centre = draw.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    x = [centre + draw.normal(size=64) * 0.0285 for _ in range(1200)]  # cosines about 0.95
+    x += [x[k] + draw.normal(size=64) * 0.004 for k in range(5) for _ in range(60)]  # cliques within the crowd
+    x += [-v for v in x[:3]] + [draw.normal(size=64) for _ in range(100)]
+    ids = draw.permutation(len(x)).tolist()
+    df = spark.createDataFrame([(i, [float(c) for c in v], "") for i, v in zip(ids, x)], VECTORS)
+    found = {r.vec_id: r for r in lattice.near_vectors(df.repartition(4)).collect()}
+    unit = np.array(x, dtype=np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    label = union(ids, [(ids[i], ids[j]) for i, j in zip(*np.nonzero(linked))])
+    assert [found[i].n_links for i in ids] == linked.sum(axis=1).tolist()
+    assert [found[i].component_id for i in ids] == [label[i] for i in ids]
+    written = {label: df.count() for label, df in labels}
+    if small == 32:  # the links of a block, not its pairs
+        assert linked.sum() > 500_000 and written["lattice-judged"] < 50_000
+
+
+def test_blocks_give_the_least_row_of_what_they_connect():
+    linked = np.zeros((5, 4), bool)
+    linked[[4, 4, 2, 1], [0, 3, 3, 2]] = True
+    row, column = lattice._forest(linked)
+    assert row.tolist() == [0, 1, 2, 3, 2] and column.tolist() == [2, 5, 1, 2]
+
+
 def test_nearest_of_odd_rows(spark):
     from pyspark.sql import functions as F
 
