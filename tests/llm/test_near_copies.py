@@ -177,6 +177,42 @@ def test_blocks_give_the_least_row_of_what_they_connect():
     assert row.tolist() == [0, 1, 2, 3, 2] and column.tolist() == [2, 5, 1, 2]
 
 
+@pytest.mark.parametrize("spread", [0.02, 3.0])
+def test_nearest_by_cells_and_blocks(spark, monkeypatch, spread):
+    """Many cells, cells of several blocks (copies that no split parts), blocks sent in several chunks."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(ann, "CHUNK_QUERIES", 16)
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(12, 16)) * 10
+    x = centres[draw.integers(0, 12, 1_500)] + draw.normal(size=(1_500, 16)) * spread
+    x[:300] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest(df, F.col("vec_id") % 10 == 0).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    hits = 0
+    for q in range(0, 1_500, 10):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        best = np.lexsort((np.arange(len(d)), d))[:10]
+        rows = sorted(found[q])
+        assert [r for r, _, _ in rows] == list(range(1, 11))
+        assert all(abs(score - d[i]) < 1e-9 for _, i, score in rows)
+        if q < 300:
+            assert [i for _, i, _ in rows] == best.tolist()
+        hits += len(set(best) & {i for _, i, _ in rows})
+    assert hits >= 0.95 * 1_500, hits
+
+
+def test_splits_place_every_point():
+    points = np.random.default_rng(1).normal(size=(5_000, ann.DIMENSIONS))
+    points[:2_000] = points[0]
+    cells = ann.Splits(points, 4).cells(points)
+    assert len(set(cells)) <= 16 and set(cells[:2_000]) == {cells[0]} and cells.min() >= 16 and cells.max() < 32
+
+
 def test_nearest_of_odd_rows(spark):
     from pyspark.sql import functions as F
 
