@@ -152,14 +152,29 @@ class Splits:
 
 
 def learn_splits(rows: DataFrame, total: int, seed: int) -> dict[int, Splits]:
-    """Splits by vector length, from the sample; lengths too rare for two blocks have none."""
-    sample = rows.where(hash_share(F.col("vec_id"), SAMPLE / max(1, total))).select("v").toArrow().column("v")
+    """Splits by vector length, from the sample; lengths too rare for two blocks have none.
+
+    The driver gets the projections of the sample, not its vectors.
+    """
+
+    def project(batches):
+        for batch in batches:
+            length = np.zeros(batch.num_rows, np.int64)
+            points = np.zeros((batch.num_rows, DIMENSIONS))
+            for part in by_length(batch.column("v")) if batch.num_rows else []:
+                x = matrix(batch.column("v").take(pa.array(part)))
+                length[part], points[part] = x.shape[1], x @ projection(seed, x.shape[1])
+            yield pa.RecordBatch.from_arrays([pa.array(length), *map(pa.array, points.T)], names=["length", *names])
+
+    names = [f"p{i}" for i in range(DIMENSIONS)]
+    sample = rows.where(hash_share(F.col("vec_id"), SAMPLE / max(1, total))).select("v")
+    found = sample.mapInArrow(project, ", ".join(["length long", *(f"{n} double" for n in names)])).toArrow()
+    length, points = found.column("length").to_numpy(), np.stack([found.column(n).to_numpy() for n in names], axis=1)
     splits = {}
-    for part in by_length(sample):
-        x = matrix(sample.take(pa.array(part)))
-        cells = min(CELLS, total / BLOCK_ROWS) * len(x) / len(sample)
+    for n in np.unique(length).tolist():
+        cells = min(CELLS, total / BLOCK_ROWS) * float((length == n).mean())
         if cells > 1:
-            splits[x.shape[1]] = Splits(x @ projection(seed, x.shape[1]), min(int(math.log2(CELLS)), math.ceil(math.log2(cells))))
+            splits[n] = Splits(points[length == n], math.ceil(math.log2(cells)))
     return splits
 
 
