@@ -184,21 +184,33 @@ def _returns(lasting: DataFrame, gaps: DataFrame, key: str, order_by: str) -> Da
     )
 
 
+#: Months of a cell, from the finest to the coarsest.
+_WIDTHS = (1, 2, 3, 6, 12, 24, 60, 120, 600, 1 << 20)
+#: Rows that cells may make of a period, on average.
+_MOST_CELLS = 1.5
+#: Rows up to which periods may be broadcast; their files are far smaller than they are in memory.
+_BROADCAST_ROWS = 100_000
+
+
 @dataclass(frozen=True)
 class MonthlyPeriods:
-    """Disjoint periods as they are met by month: ``rows`` have a row for each period and month.
+    """Disjoint periods as they are met by cells of ``width`` months: ``rows`` have a row for each period and cell.
 
     Months run from that of the first start (``first``) to that of the last (``last``), counted from
     year 0; whatever lies before or after belongs to these two, as no other version begins there.
+    ``n_rows`` is the number of ``rows``.
     """
 
     rows: DataFrame
     key: str
     first: int
     last: int
+    width: int = 1
+    n_rows: int = 0
 
     def month(self, day: Column) -> Column:
-        return _clamped(_month(day), self.first, self.last)
+        """The cell of a day."""
+        return _cell(_clamped(_month(day), self.first, self.last), self.width)
 
 
 def _month(day: Column) -> Column:
@@ -210,20 +222,32 @@ def _clamped(month: Column, first: int, last: int) -> Column:
     return F.when(month.isNotNull(), F.least(F.greatest(month, F.lit(first)), F.lit(last)))
 
 
+def _cell(month: Column, width: int) -> Column:
+    return F.floor(month / width).cast("int")
+
+
 def by_month(periods: DataFrame, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> MonthlyPeriods:
-    """Split disjoint periods at month ends, and write them: joins then know their true size."""
+    """Split disjoint periods at the ends of months, and write them: joins then know their true size.
+
+    Where periods last long, several months make a cell: the finest width is taken with which the
+    periods become no more than ``_MOST_CELLS`` times as many, so what is written grows with the
+    periods, not with their days.
+    """
     ends = periods.agg(F.min(_month(F.col(valid_from))), F.max(_month(F.col(valid_from)))).first()
     first, last = (x if x is not None else 0 for x in ends)
-    month = lambda c: _clamped(_month(F.col(c)), first, last)
+    cell = lambda c, width: _cell(_clamped(_month(F.col(c)), first, last), width)
+    cells = [F.sum(cell(valid_to, w) - cell(valid_from, w) + 1).alias(f"w{w}") for w in _WIDTHS]
+    sizes = periods.agg(F.count(F.lit(1)).alias("n"), *cells).first()
+    width = next((w for w in _WIDTHS if (sizes[f"w{w}"] or 0) <= _MOST_CELLS * sizes["n"]), _WIDTHS[-1])
     payload = [c for c in periods.columns if c not in (key, valid_from, valid_to)]
     rows = periods.select(
         F.col(key).alias("_pk"),
         F.col(valid_from).alias("_from"),
         F.col(valid_to).alias("_to"),
-        F.explode(F.sequence(month(valid_from), month(valid_to))).alias("_pm"),
+        F.explode(F.sequence(cell(valid_from, width), cell(valid_to, width))).alias("_pm"),
         *payload,
     )
-    return MonthlyPeriods(materialise(rows, "periods"), key, first, last)
+    return MonthlyPeriods(materialise(rows, "periods"), key, first, last, width, sizes[f"w{width}"] or 0)
 
 
 def point_in_time_join(
@@ -232,13 +256,15 @@ def point_in_time_join(
     """Left join each fact to the version valid on its date, both ends included.
 
     The periods are disjoint per key (``disjoint_periods``), so facts keep their row count, and
-    met by key and month: a fact is compared with the one or two versions of its month,
-    however many its key has, and a hot key spreads over its months. No broadcast is
-    forced: Spark broadcasts periods below its size limit, and otherwise splits what
-    is still hot of the sort-merge join.
+    met by key and cell of months: a fact is compared with the one or two versions of its cell,
+    however many its key has, and a hot key spreads over its cells. No broadcast is
+    forced: Spark broadcasts periods below its size limit and ``_BROADCAST_ROWS``, and
+    otherwise splits what is still hot of the sort-merge join.
     """
     key = key or periods.key
     p = periods.rows.select("_pk", "_pm", "_from", "_to", *columns)
+    if periods.n_rows > _BROADCAST_ROWS:
+        p = p.hint("merge")
     same = (F.col(key) == F.col("_pk")) & (periods.month(F.col(on_date)) == F.col("_pm"))
     return facts.join(p, same & F.col(on_date).between(F.col("_from"), F.col("_to")), "left").drop("_pk", "_pm", "_from", "_to")
 

@@ -335,3 +335,18 @@ def test_running_sums_go_on_from_a_state(ledger):
         parts.append(accumulate.running_sums_from(batch, level, [F.col("id")], [F.col("day")], state))
         state = accumulate.next_state(batch, level, state)
     assert rows(parts[0].unionByName(parts[1]).unionByName(parts[2])) == rows(whole)
+
+
+def test_long_periods_make_few_rows_and_no_broadcast_beyond_its_size(spark, monkeypatch):
+    vers = [(k, n, date(2016, 1, 1) if n == 0 else date(2024, 1, 10), date(2024, 1, 9) if n == 0 else date(2024, 6, 30)) for k in range(50) for n in (0, 1)]
+    v = spark.createDataFrame(vers, "k int, n int, valid_from date, valid_to date")
+    f = spark.createDataFrame([(i, i % 60, date(2015, 12, 1) + timedelta(i * 7)) for i in range(460)], "id int, k int, day date")
+    periods = versions.by_month(v, "k")
+    assert periods.rows.count() == periods.n_rows <= 1.5 * len(vers)  # by months they were over 5,000
+    for most in (10**6, 10):
+        monkeypatch.setattr(versions, "_BROADCAST_ROWS", most)
+        joined = versions.point_in_time_join(f, periods, "day", ["n"])
+        assert ("BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()) == (most > 10)
+        for r in joined.collect():
+            known = r["k"] < 50 and date(2016, 1, 1) <= r["day"] <= date(2024, 6, 30)
+            assert r["n"] == (int(r["day"] >= date(2024, 1, 10)) if known else None)
