@@ -13,6 +13,15 @@ from tallymill.functions.clean import BAD_DATE
 NO_VALUE = ("", "n/a", "NULL")
 
 
+def _lost(c: str, kind: str) -> Column:
+    raw = F.col(c)
+    typed = raw.try_cast(kind)
+    gone = typed.isNull() | (typed.cast("string") == "NaN")
+    if kind == "date":
+        gone = gone & (raw != BAD_DATE)
+    return F.coalesce(~raw.isin(*NO_VALUE), F.lit(False)) & gone
+
+
 def unread(types: Mapping[str, str]) -> Column:
     """Map of column → text for every field that is there but does not parse.
 
@@ -20,15 +29,7 @@ def unread(types: Mapping[str, str]) -> Column:
     that stands for a known one is not lost.
     """
 
-    def lost(c: str, kind: str) -> Column:
-        raw = F.col(c)
-        typed = raw.try_cast(kind)
-        gone = typed.isNull() | (typed.cast("string") == "NaN")
-        if kind == "date":
-            gone = gone & (raw != BAD_DATE)
-        return F.coalesce(~raw.isin(*NO_VALUE), F.lit(False)) & gone
-
-    entries = [F.when(lost(c, kind), F.struct(F.lit(c).alias("key"), F.col(c).alias("value"))) for c, kind in types.items()]
+    entries = [F.when(_lost(c, kind), F.struct(F.lit(c).alias("key"), F.col(c).alias("value"))) for c, kind in types.items()]
     return F.map_from_entries(F.filter(F.array(*entries), lambda e: e.isNotNull()))
 
 
@@ -37,6 +38,12 @@ def readable(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return raw.where(F.size(unread(types)) == 0)
 
 
+def blanked(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """All rows, with NULL for every number that does not parse; dates are left to the table's own rules."""
+    numbers = {c: kind for c, kind in types.items() if kind in ("int", "bigint", "double")}
+    return raw.withColumns({c: F.when(~_lost(c, kind), F.col(c)) for c, kind in numbers.items()})
+
+
 def rescued(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """The other rows, as they came, with the map of what does not parse as ``unread``."""
     return raw.withColumn("unread", unread(types)).where(F.size("unread") > 0)

@@ -23,7 +23,8 @@ class Silver:
     The columns ``evidence`` are for the quarantine only. ``steady``: made of one
     source by filters and projections alone, so its rows keep their places on a retry.
     ``typed``: fields of the first source that must parse; rows where one does not are set
-    apart, with their texts, before the table is built, or stop a strict run. ``sort``:
+    apart, with their texts, before the table is built, or stop a strict run. ``whole``: the
+    texts are set apart all the same, but their rows stay, with NULL in such fields. ``sort``:
     the order in which the table is written."""
 
     build: Callable[..., DataFrame]
@@ -34,6 +35,7 @@ class Silver:
     unique: tuple[str, ...] | None = None
     evidence: tuple[str, ...] = ()
     typed: Mapping[str, str] | None = None
+    whole: bool = False
     sort: tuple[str, ...] = ()
     steady: bool = False
 
@@ -132,7 +134,7 @@ SILVER: dict[str, Silver] = {
         parties.loyalty_transactions, ("loyalty_transactions_raw",), _not_future, dated=True, typed=LOYALTY_TYPES
     ),
     "economic": Silver(stock.economic, ("economic_raw",), lambda: F.col("date").isNotNull(), typed=ECONOMY_TYPES),
-    "campaigns": Silver(stock.campaigns, ("campaigns_raw",), typed=CAMPAIGN_TYPES),
+    "campaigns": Silver(stock.campaigns, ("campaigns_raw",), typed=CAMPAIGN_TYPES, whole=True),
     "promotions": Silver(stock.promotions, ("promotions_raw",), _valid, dated=True, typed=PROMOTION_TYPES),
     "promotion_products": Silver(
         stock.promotion_products,
@@ -161,6 +163,7 @@ SILVER: dict[str, Silver] = {
         dated=True,
         surrogate=("product_sk", ("product_id", "valid_from", "valid_to", "product_name", "unit_cost_kes")),
         typed=PRODUCT_TYPES,
+        whole=True,
     ),
     "ecommerce_orders": Silver(
         sales.ecommerce_orders,

@@ -81,7 +81,7 @@ class Warehouse(Lake):
         elif spec.typed is not None:
             lost = rescue.rescued(frames[0], spec.typed)
             sinks.replace_table(lost, self.path("unread", name))
-            frames[0] = rescue.readable(frames[0], spec.typed)
+            frames[0] = rescue.blanked(frames[0], spec.typed) if spec.whole else rescue.readable(frames[0], spec.typed)
         options = {"brand": self.brand, "brand_code": self.brand_code} if name == "stores" else {}
         flagged = spec.make(self.as_of, *frames, **options)
         counts: dict[str, int] = {}

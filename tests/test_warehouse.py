@@ -185,3 +185,23 @@ def test_a_second_batch_and_its_repeat(house, spark):
     assert {(r[0], r[1]) for r in history.groupBy("etl_batch_id").count().collect()} == {("b1", n), ("b2", n)}
     warehouse.build_preview()
     assert {r.etl_batch_id for r in warehouse.read("log", "latest_orders").collect()} == {"b2"}
+
+
+def test_products_and_campaigns_keep_rows_with_text_that_does_not_parse(spark):
+    lake = Lake(spark, SF)
+    columns = "product_id valid_from valid_to product_name category subcategory brand supplier_id unit_cost_kes retail_price_kes margin_percentage introduction_date discontinued_date is_active"
+    day = "2017-01-01"
+    goods = [(f"P{i}", day, None, "n", "c", "s", "b", "S1", cost, "20", "5", day, None, "TRUE") for i, cost in enumerate(("10", "abc", "NaN", "n/a"))]
+    campaigns = [(f"C{i}", "n", "t", "Radio", day, day, budget, "7", "0.1") for i, budget in enumerate(("10", "abc", None))]
+    raw = {
+        "products_raw": spark.createDataFrame(goods, ", ".join(f"{c} string" for c in columns.split())),
+        "campaigns_raw": spark.createDataFrame(
+            campaigns, ", ".join(f"{c} string" for c in "campaign_id campaign_name campaign_type channel start_date end_date budget_kes actual_spend_kes discount_rate".split())
+        ),
+    }
+    lake.raw = raw.__getitem__
+    costs = {r.product_id: r.unit_cost_kes for r in lake.silver("products").collect()}
+    assert costs == {"P0": 10.0, "P1": None, "P2": None, "P3": None}
+    assert lake.gold("dim_product").count() == 4
+    spent = {r.campaign_id: (r.budget_kes, r.actual_spend_kes, r.budget_utilisation_pct) for r in lake.gold("dim_campaign").collect()}
+    assert spent == {"C0": (10, 7, 70.0), "C1": (None, 7, None), "C2": (None, 7, None)}
