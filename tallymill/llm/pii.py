@@ -4,7 +4,7 @@ Base spans (email, ip, card, phone) follow fixed patterns and checks. Beyond the
 patterns propose many, overlapping candidates: spaced or bracketed addresses, numbers in
 other groupings, local numbers of seven digits and more. Features of format and context of
 each candidate are small integers, and boosted trees, written out as CASE expressions, score
-it. The trees are fitted to what the base rules say on a bounded sample of documents: base
+it. The trees are fitted to what the base rules say on all documents: base
 spans and rewritten copies of them (no plus sign, ``(at)``, spaced dots, local numbers) are
 examples, unless they are part of a longer word; candidates apart from any base span are
 counter-examples. All rewritings of a base span together count as one example. A kind's
@@ -35,8 +35,6 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import hash_share
-
 KINDS = ("email", "ip", "card", "phone")
 # The base patterns and what they look for first; parts of an address up to 255.
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -355,15 +353,12 @@ def _embedded(span: Column) -> Column:
     return F.right(span["before"], F.lit(1)).rlike("[A-Za-z0-9]") | span["after"].rlike("[A-Za-z0-9]")
 
 
-def learn(docs: DataFrame, sample: int = 20_000, precision: float = 0.98) -> Selector:
-    """Fit the selector on about ``sample`` documents, picked by a hash of the id.
+def learn(docs: DataFrame, precision: float = 0.98) -> Selector:
+    """Fit the selector on all of ``docs``.
 
     Only counts by combination of features reach the driver, at most two for each of COMBINATIONS.
     """
-    total = docs.count()
-    if not total:
-        return NOTHING
-    picked = with_base(docs.where(hash_share(F.col("doc_id"), sample / total)).select("doc_id", "text"))
+    picked = with_base(docs.select("doc_id", "text"))
     picked = picked.withColumn("pii_all", F.concat(*(F.col(f"pii_{k}") for k in KINDS)))
 
     def shape(kind: str, found: Callable[[Column], Column], example: str) -> Callable[[Column], Column]:

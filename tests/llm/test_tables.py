@@ -138,6 +138,17 @@ def test_planted_rewritings_are_found_and_plain_numbers_left(spark):
     assert all(hit >= 0.8 * total for hit, total in by_kind.values()), by_kind
 
 
+def test_every_document_teaches_the_selector(spark, monkeypatch):
+    fitted = []
+    boost = pii.boost
+    monkeypatch.setattr(pii, "boost", lambda patterns: fitted.extend(patterns) or boost(patterns))
+    n = 21_000  # more than were sampled
+    made = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("a"), F.col("id"), F.lit("@mail.example.org")).alias("text"))
+    pii.learn(made.unionByName(spark.createDataFrame([(None, "no address"), (n, None)], "doc_id long, text string")))
+    fit = made.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) != 0).count()
+    assert sum(g for _, g, _ in fitted) == pytest.approx(2 * fit)  # each base span, and its rewritings as one
+
+
 def test_rewritten_forms_are_proposed(spark):
     own = {"email": "ann.b@mail.example.org", "ip": "10.20.30.40", "card": "4539 5787 6362 1486", "phone": "+49 (30) 555-5229"}
     for kind, found in own.items():
