@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import operator
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymill.llm.common import per_batch, texts
+from tallymill.operators.keys import dense_key
 from tallymill.session import materialise
 
 #: The score of the texts that stand just at the learned cut.
@@ -105,54 +106,56 @@ def with_features(docs: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFra
     return per_batch(docs.select(*keys, "text"), measure, schema)
 
 
-def sampled_labels(labels: DataFrame, per_label: int) -> DataFrame:
-    """doc_id, label: about ``per_label`` ids of each label, picked by a hash of the id.
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, label: every labelled id once.
 
     ``labels`` has doc_id and label (0 or 1); ids with both, and nulls, are left out.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     one = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_most"))
-    one = one.where(F.col("label") == F.col("_most")).drop("_most")
-    sizes = {r["label"]: r["count"] for r in one.groupBy("label").count().collect()}
-    share = F.lit(0.0)
-    for label, n in sizes.items():
-        share = F.when(F.col("label") == label, min(1.0, per_label / n)).otherwise(share)
-    return one.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    return one.where(F.col("label") == F.col("_most")).drop("_most")
 
 
 def label_pairs(rows: DataFrame, most: int) -> DataFrame:
-    """better, worse (features): about ``most`` pairs of rows with label 1 and with label 0.
+    """better, worse (features): pairs of rows with label 1 and with label 0, in which every row occurs.
 
-    ``rows``: doc_id (unique), label, x. Rows meet where their hashes fall into the same of as
-    many slots as the rarer label has rows, anew in each round; so pairs grow with the rows.
+    ``rows``: doc_id (unique), label, x. Both labels are numbered in an order by hash, and in each
+    round every row of the commoner one meets the next row of the rarer one, round about; rounds make
+    up to ``most`` pairs, and one is made in any case. So pairs grow with the rows.
     """
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    slots = min(sizes.get(0, 0), sizes.get(1, 0))
-    if not slots:
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    dealt = {k: dense_key(rows.where(F.col("label") == k).select("doc_id", "x"), order, "_i") for k in (0, 1)}
+    sizes = {k: df.count() for k, df in dealt.items()}
+    if not min(sizes.values()):
         return rows.limit(0).select(F.col("x").alias("better"), F.col("x").alias("worse"))
-    rounds = max(1, most // max(sizes.values()))
-    again = rows.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
-    slot = F.pmod(F.xxhash64("doc_id", "round"), F.lit(slots))
-    dealt = again.withColumn("slot", slot)
-    good = dealt.where("label = 1").select("round", "slot", F.col("x").alias("better"))
-    bad = dealt.where("label = 0").select("round", "slot", F.col("x").alias("worse"))
-    return good.join(bad, ["round", "slot"]).select("better", "worse")
+    rare = min(sizes, key=sizes.get)
+    rounds = max(1, min(most // max(sizes.values()), sizes[rare]))  # beyond that pairs would come again
+    again = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("_round")
+    many = dealt[1 - rare].select("x", "_i", again)
+    many = many.select(F.col("x").alias("_x"), F.pmod(F.col("_i") + F.col("_round"), F.lit(sizes[rare])).alias("_at"))
+    few = dealt[rare].select(F.pmod("_i", F.lit(sizes[rare])).alias("_at"), "x")
+    good, bad = ("_x", "x") if rare == 0 else ("x", "_x")
+    return many.join(few, "_at").select(F.col(good).alias("better"), F.col(bad).alias("worse"))
 
 
-def fit(better: np.ndarray, worse: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Weights that make the pairs likely: Newton steps on the logistic loss of differences.
+def _bend(diff: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """What pairs add to the slope (first row) and curvature (the other rows) of the logistic loss at ``w``."""
+    p = 1 / (1 + np.exp(np.clip(diff @ w, -700, 700)))  # chance of the opposite
+    return np.vstack([diff.T @ p, (diff * (p * (1 - p))[:, None]).T @ diff])
+
+
+def _newton(added: Callable[[np.ndarray], np.ndarray], squares: np.ndarray, ridge: float, steps: int) -> np.ndarray:
+    """Newton steps by the sums that ``added`` gives at weights; ``squares``: mean squares of the differences.
 
-    Differences are scaled by their root mean square, which the weights returned undo.
+    Differences count as scaled by their root mean square, which the weights returned undo.
     """
-    diff = better - worse
-    scale = np.sqrt((diff**2).mean(axis=0))
+    scale = np.sqrt(squares)
     scale[scale < 1e-9] = np.inf  # a feature that never differs has no weight
-    diff = diff / scale
-    w = np.zeros(diff.shape[1])
+    w = np.zeros(len(scale))
     for _ in range(steps):
-        p = 1 / (1 + np.exp(np.clip(diff @ w, -700, 700)))  # chance of the opposite
-        slope = diff.T @ p - ridge * w
-        bend = (diff * (p * (1 - p))[:, None]).T @ diff + ridge * np.eye(len(w))
+        sums = added(w / scale)
+        slope = sums[0] / scale - ridge * w
+        bend = sums[1:] / np.outer(scale, scale) + ridge * np.eye(len(w))
         move = np.linalg.solve(bend, slope)
         w += move
         if np.abs(move).max() < 1e-8:
@@ -160,6 +163,43 @@ def fit(better: np.ndarray, worse: np.ndarray, ridge: float = 1.0, steps: int =
     return w / scale
 
 
+def fit(better: np.ndarray, worse: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
+    """Weights that make the pairs likely: Newton steps on the logistic loss of differences."""
+    diff = better - worse
+    return _newton(lambda w: _bend(diff, w), (diff**2).mean(axis=0), ridge, steps)
+
+
+def _array(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).flatten().to_numpy().reshape(batch.num_rows, -1)
+
+
+def _summed(df: DataFrame, sums: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The sum of what ``sums`` makes of each Arrow batch; a task sends one array to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                found = sums(batch)
+                total = found if total is None else total + found
+        if total is not None:
+            flat = pa.array([total.ravel().tolist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([flat, pa.array([total.shape[0]])], names=["sums", "n"])
+
+    parts = sorted((r.sums, r.n) for r in df.mapInArrow(run, "sums array<double>, n long").collect())
+    return np.sum([np.array(flat).reshape(n, -1) for flat, n in parts], axis=0)
+
+
+def fit_pairs(pairs: DataFrame, n: int, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
+    """As ``fit`` over ``n`` written pairs (better, worse): a pass over them for each step."""
+
+    def differences(batch: pa.RecordBatch) -> np.ndarray:
+        return _array(batch, "better") - _array(batch, "worse")
+
+    squares = _summed(pairs, lambda b: (differences(b) ** 2).sum(axis=0)[None]).ravel() / n
+    return _newton(lambda w: _summed(pairs, lambda b: _bend(differences(b), w)), squares, ridge, steps)
+
+
 def quantile_cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
     """The quantile of the scores with the least weight on the wrong side, in the middle
     between the two scores next to it; the lowest one of equals."""
@@ -175,28 +215,68 @@ def quantile_cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) ->
     return float((scores[k - 1] + scores[k]) / 2 if k < len(scores) else scores[-1] + 1)
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_label: int = 6_000, pairs: int = 40_000) -> Ranker:
+def quantile_cut_of(scored: DataFrame, weights: Sequence[float]) -> float:
+    """As ``quantile_cut`` for ``scored`` (score, label), rows of label k weighing ``weights[k]``.
+
+    Scores are range partitioned and sorted. A task goes along its own and returns their weight by
+    label and its best cut, seen from where it begins; the driver adds what lies before.
+    """
+    by_score = scored.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad"))
+    bad, good = weights
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = at = before = None
+        best, goods, bads = np.inf, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            scores, g, b = (batch.column(c).to_numpy() for c in ("score", "good", "bad"))
+            below = good * (goods + np.cumsum(g) - g) - bad * (bads + np.cumsum(b) - b)
+            k = int(np.argmin(below))
+            if below[k] < best:
+                best, at, before = float(below[k]), float(scores[k]), float(scores[k - 1]) if k else last
+            first = float(scores[0]) if first is None else first
+            last, goods, bads = float(scores[-1]), goods + int(g.sum()), bads + int(b.sum())
+        if first is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(_CUTS.names, (first, last, at, before, best, goods, bads)))], _CUTS)
+
+    ordered = by_score.repartitionByRange("score").sortWithinPartitions("score")
+    parts = sorted(ordered.mapInArrow(run, "first double, last double, at double, before double, best double, good long, bad long").collect())
+    left = sum(p.bad for p in parts)
+    passed, end, wrong, cut = 0, None, np.inf, 0.0
+    for p in parts:
+        here = good * passed + bad * left + p.best
+        if here < wrong:
+            below = p.before if p.before is not None else end
+            wrong, cut = here, p.at - 1 if below is None else (below + p.at) / 2
+        passed, left, end = passed + p.good, left - p.bad, p.last
+    return float(end + 1 if good * passed < wrong else cut)
+
+
+_CUTS = pa.schema([*((c, pa.float64()) for c in ("first", "last", "at", "before", "best")), ("good", pa.int64()), ("bad", pa.int64())])
+
+
+def learn(docs: DataFrame, labels: DataFrame, pairs: int = 40_000) -> Ranker:
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, label; 1 better than 0).
 
-    The classifier sees a bounded sample: about ``per_label`` ids of each label and ``pairs``
-    pairs of them (or as many as the commoner label has ids). Only their features, some 30
-    numbers each, reach the driver.
+    Every labelled id teaches: in ``pairs`` pairs, or as many as the commoner label has ids if that is
+    more, and in the cut. Only sums over the features, some 30 numbers each, reach the driver.
     """
-    chosen = materialise(sampled_labels(labels, per_label), "ranking-labels")
-    taught = docs.join(F.broadcast(chosen), "doc_id")  # 2 x per_label rows of two numbers
-    measured = with_features(taught, ("doc_id", "label"))
-    rows = measured.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x"))
-    rows = materialise(rows, "ranking-features")
-    met = label_pairs(rows, pairs).collect()
-    if not met:
+    taught = with_features(docs).join(known_labels(labels), "doc_id")  # texts are not shuffled, features are
+    rows = materialise(taught.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x")), "ranking-features")
+    met = materialise(label_pairs(rows, pairs), "ranking-pairs")
+    n = met.count()
+    if not n:
         return NOTHING
-    weights = fit(np.array([r.better for r in met]), np.array([r.worse for r in met]))
-    seen = rows.select("label", "x").collect()
-    kinds = np.array([r.label for r in seen])
+    weights = fit_pairs(met, n)
     sizes = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
-    taken = {k: max(1, int((kinds == k).sum())) for k in (0, 1)}
-    share = np.array([sizes.get(k, 0) / taken[k] for k in kinds])
-    return Ranker(tuple(weights.tolist()), quantile_cut(np.array([r.x for r in seen]) @ weights, kinds, share))
+    taken = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+
+    def answer(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(_array(batch, "x") @ weights), batch.column("label")], names=["score", "label"])
+
+    scored = per_batch(rows.select("x", "label"), answer, T.StructType([T.StructField("score", T.DoubleType()), rows.schema["label"]]))
+    return Ranker(tuple(weights.tolist()), quantile_cut_of(scored, [sizes.get(k, 0) / max(1, taken.get(k, 0)) for k in (0, 1)]))
 
 
 def rank(docs: DataFrame, ranker: Ranker, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -12,6 +12,7 @@ import pytest
 from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallymill.llm import fim, ranking, trie
 from tallymill.llm.queries import QUERIES
@@ -210,3 +211,30 @@ def test_pairs_grow_with_the_rows_only(spark):
 def test_features_are_finite(text):
     x = ranking.features(text)
     assert len(x) == len(ranking.FEATURES) and np.isfinite(x).all()
+
+
+def test_every_label_teaches(spark):
+    # more of one label than were sampled
+    n = 13_000
+    rows = [(i, int(i % 100 > 0), [float(i % 7), float(i % 100 == 0)]) for i in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, label int, x array<double>")
+    named = frame.withColumn("x", F.array(F.col("doc_id").cast("double")))
+    pairs = ranking.label_pairs(named, 20_000).collect()
+    assert len(pairs) == n - n // 100
+    assert {int(r.better[0]) for r in pairs} | {int(r.worse[0]) for r in pairs} == set(range(n))
+    labels = frame.select("doc_id", "label")
+    assert ranking.known_labels(labels.unionByName(spark.createDataFrame([(0, 1), (None, 1)], labels.schema))).count() == n - 1
+
+
+def test_sums_over_tasks_equal_the_whole(spark):
+    rng = np.random.default_rng(5)
+    better, worse = rng.normal(0.5, 1, (700, 4)), rng.normal(0, 1, (700, 4))
+    better[:, 3] = worse[:, 3] = 2.0
+    pairs = spark.createDataFrame([(b.tolist(), w.tolist()) for b, w in zip(better, worse)], "better array<double>, worse array<double>").repartition(5)
+    assert np.allclose(ranking.fit_pairs(pairs, 700), ranking.fit(better, worse), rtol=1e-6, atol=1e-9)
+    for size, spread, bias in ((1, 3, 0), (400, 400, 0), (400, 30, 0), (400, 30, 40), (400, 30, -40), (300, 1, 0)):
+        scores = rng.integers(0, spread, size).astype(float)
+        labels = (scores + rng.normal(bias, spread / 4, size) > spread / 2).astype(int)
+        weights = [2.5, 1.0]
+        frame = spark.createDataFrame(list(zip(scores.tolist(), labels.tolist())), "score double, label int").repartition(3)
+        assert ranking.quantile_cut_of(frame, weights) == ranking.quantile_cut(scores, labels, np.array(weights)[labels])
