@@ -3,8 +3,8 @@
 A known word scores its log frequency in each language. An unseen word is padded with
 ``_`` and falls back to its n-grams: the longest length of which any is known scores,
 by their mean log frequency. A text takes the language with the highest sum over its words.
-Known is what a language's sample has at least ``MIN_COUNT`` times, whatever the other languages
-have; so the size of a profile follows from the sample alone.
+Known is what a language's texts have at least ``MIN_COUNT`` times, whatever the other languages
+have; so the size of a profile follows from the vocabulary, of which all texts count.
 
 Cases: a null text or one without a letter is ``und`` with score 0; so is every text if
 nothing was learned. Ties go to the alphabetically first language. Texts of any length are
@@ -30,7 +30,7 @@ WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 #: Lengths of n-grams, in the order in which an unseen word falls back.
 LENGTHS = (5, 4, 3, 2, 1)
-#: Times that a language's sample must have a word or n-gram for it to be known there.
+#: Times that a language's texts must have a word or n-gram for it to be known there.
 MIN_COUNT = 2
 #: Evidence counts as that of so many words at most when it is turned into a score.
 SCORE_WORDS = 16
@@ -96,24 +96,19 @@ def _table(counts: pa.Table, n_langs: int) -> Table:
     return Table(found, np.append(first, len(keys)), langs, gains.astype(np.float32), np.log(0.5 / totals))
 
 
-def learn(labelled: DataFrame, docs_per_lang: int = 4_000) -> Profile:
-    """Fit the frequencies on ``labelled`` (doc_id, text, lang), rows without text or lang apart.
+def learn(labelled: DataFrame) -> Profile:
+    """Fit the frequencies on all of ``labelled`` (text, lang), rows without text or lang apart.
 
-    The classifier sees a bounded sample: about ``docs_per_lang`` texts of each language, picked by a
-    hash of the id. Of its words and n-grams the driver gets hashes and counts.
+    Of the words and n-grams that are known the driver gets hashes and counts.
     """
-    rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").count()
-    langs = tuple(sorted(r["lang"] for r in sizes.select("lang").collect()))
+    rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
+    langs = tuple(sorted(r["lang"] for r in rows.select("lang").distinct().collect()))
     numbers = F.create_map(*[x for i, lang in enumerate(langs) for x in (F.lit(lang), F.lit(i))]) if langs else None
     if numbers is None:
         nothing = _table(pa.table({"key": pa.array([], pa.int64()), "lang": pa.array([], pa.int32()), "n": pa.array([], pa.int64())}), 0)
         return Profile((), nothing, (nothing,) * len(LENGTHS))
-    sizes = sizes.select("lang", numbers[F.col("lang")].alias("number"), (F.lit(float(docs_per_lang)) / F.col("count")).alias("share"))
-    # a row for each language
-    picked = rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
     words = (
-        picked.select(F.col("number").alias("lang"), F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("item"))
+        rows.select(numbers[F.col("lang")].alias("lang"), F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("item"))
         .where(F.col("item") != "")
         .groupBy("lang", "item")
         .agg(F.count("*").alias("n"))

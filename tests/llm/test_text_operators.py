@@ -80,6 +80,15 @@ def test_language_of_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_every_document_teaches_its_language(spark):
+    n = 9_000  # more than were sampled; each word occurs twice, in two documents
+    words = [("abcdefghij"[i // 1000 % 10] + "abcdefghij"[i // 100 % 10] + "abcdefghij"[i // 10 % 10] + "abcdefghij"[i % 10]) * 2 for i in range(n // 2)]
+    teach = [(i, words[i // 2], "en", "") for i in range(n)] + [(n + i, "z", "de", "") for i in range(3)]
+    profile = language.learn(spark.createDataFrame(teach, DOCS))
+    assert (profile.words.find([language._key(w) for w in words]) >= 0).all()
+    assert len(profile.words.keys) == n // 2 + 1
+
+
 PAGE = """<!doctype html><html><head><title>No title</title><style>p{}</style></head><body class="page">
 <nav><a href=/a>Menu one</a> <a>Menu two</a></nav><div id="cookie-notice">We use cookies and more cookies here</div>
 <header>Site name</header><article><h1>Head&amp;line</h1><p>First <b>bo</b>ld &lt;text&gt;&nbsp;here<br>goes on
