@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
@@ -119,12 +120,28 @@ def replace_monthly(df: DataFrame, day: str, path: str) -> int:
     return seen.get["rows"]
 
 
+@contextmanager
+def _open_files(spark: SparkSession, n: int) -> Iterator[None]:
+    """Let a task keep ``n`` partitions' files open at once.
+
+    Otherwise Spark sorts all rows of a task by partition before it writes them, and holds them for that.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(n, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # --- batches ---------------------------------------------------------------
 def append_batch(df: DataFrame, path: str, source: str, loaded_at: datetime, batch_id: str) -> int:
     """Append a batch, stamped, as a partition of its own; loading it again replaces it and nothing else."""
     seen = Observation()
     counted = with_batch(df, source, loaded_at, batch_id).observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("etl_batch_id").parquet(path)
+    with _open_files(df.sparkSession, 1):
+        counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("etl_batch_id").parquet(path)
     return seen.get["rows"]
 
 
@@ -141,7 +158,8 @@ def write_gated(df: DataFrame, keep: Column, path: str) -> dict[str, int]:
     seen = Observation()
     kept = F.coalesce(keep, F.lit(False))
     counted = df.withColumn("accepted", kept).observe(seen, F.count_if("accepted").alias("kept"), F.count(F.lit(1)).alias("rows"))
-    _publish(counted.write.partitionBy("accepted"), df.sparkSession, path)
+    with _open_files(df.sparkSession, 2):
+        _publish(counted.write.partitionBy("accepted"), df.sparkSession, path)
     return {"kept": seen.get["kept"], "rejected": seen.get["rows"] - seen.get["kept"]}
 
 
