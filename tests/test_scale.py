@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 
+from conftest import SF, rows
 from pyspark.sql import functions as F
 
+from tallymill.operators import rescue
+from tallymill.plans.lake import Lake
 from tallymill.sources import sinks
 
 
@@ -12,6 +15,23 @@ def plan(df, which="optimizedPlan"):
     return getattr(df._jdf.queryExecution(), which)().toString()
 
 
+def test_raw_tables_made_row_by_row_are_not_written(spark):
+    lake = Lake(spark, SF)
+    assert set(lake.raw("pos_line_items_raw").inputFiles()) == set(lake.dealt("lineitem").inputFiles())
+    assert "economic_raw" in lake.raw("economic_raw").inputFiles()[0]
+
+
+def test_fields_are_tested_without_building_the_map_of_texts(spark):
+    types = {"n": "int", "x": "double", "d": "date"}
+    texts = [("1", "2.5", "2020-01-01"), ("abc", "NaN", "2023-13-45"), ("", "n/a", None), ("7", "inf", "31/12/2023"), (None, "1e400", "NULL"), ("1e13", " nan ", "")]
+    raw = spark.createDataFrame(texts, "n string, x string, d string")
+    kept = rescue.readable(raw, types)
+    assert "map_from_entries" not in plan(kept)
+    assert rows(kept) == rows(spark.createDataFrame([texts[0], texts[2], texts[4]], raw.schema))
+    lost = {tuple(sorted(r["unread"].items())) for r in rescue.rescued(raw, types).collect()}
+    assert lost == {(("n", "abc"), ("x", "NaN")), (("d", "31/12/2023"),), (("n", "1e13"), ("x", " nan "))}
+
+
 def test_gated_rows_are_not_sorted_before_they_are_written(spark, tmp_path, monkeypatch):
     seen, publish = [], sinks._publish
     name = "spark.sql.maxConcurrentOutputFileWriters"
