@@ -57,7 +57,9 @@ def running_windows(
     first = levels[0]
     if any(not set(first.keys) <= set(lv.keys) for lv in levels):
         raise ValueError("every level must contain the keys of the first level")
-    base = df.withColumn(_CHUNK, F.struct(*chunk)).withColumn(_ORDER, F.struct(*order_by))
+    base, order = df.withColumn(_CHUNK, F.struct(*chunk)), list(order_by)
+    if any(level.reach for level in levels):  # seeds with a place in the order carry it; sums have none
+        base, order = base.withColumn(_ORDER, F.struct(*order_by)), [F.col(_ORDER)]
     rows = base
     outputs: dict[str, Column] = {}
     for i, level in enumerate(levels):
@@ -71,7 +73,7 @@ def running_windows(
             rows = rows.unionByName(seed, allowMissingColumns=True)
         mine = F.col(_LEVEL) == i
         rank = F.when(F.col(_LEVEL).isNull(), 2).when(mine & F.col(_TAIL), 1).otherwise(0)
-        w = Window.partitionBy(*level.keys, _CHUNK).orderBy(rank, F.col(_ORDER))
+        w = Window.partitionBy(*level.keys, _CHUNK).orderBy(rank, *order)
         so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         for out in level.sums:
             outputs[out] = F.sum(f"_s{i}_{out}").over(so_far)

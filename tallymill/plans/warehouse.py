@@ -62,7 +62,7 @@ class Warehouse(Lake):
     def _silver(self, name: str) -> DataFrame:
         return self.read("silver", name).drop("etl_load_date", "etl_source")
 
-    def keyed(self, name: str) -> DataFrame:
+    def keyed(self, name: str, *columns: str) -> DataFrame:
         return self.silver(name)
 
     def receipts(self) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 
 from conftest import SF, rows
 from pyspark.sql import functions as F
 
-from tallymill.operators import rescue
+from tallymill.operators import rescue, windows
+from tallymill.plans import gold
 from tallymill.plans.lake import Lake
+from tallymill.operators.versions import by_month, disjoint_periods
 from tallymill.sources import sinks
 
 
@@ -32,6 +35,33 @@ def test_fields_are_tested_without_building_the_map_of_texts(spark):
     assert lost == {(("n", "abc"), ("x", "NaN")), (("d", "31/12/2023"),), (("n", "1e13"), ("x", " nan "))}
 
 
+def test_row_numbers_shuffle_each_column_once(spark):
+    df = spark.range(20).select((F.col("id") % 3).alias("k"), "id", F.lit("text").alias("t"))
+    numbered = windows.row_numbers(df, ["k"], [F.col("id"), F.col("t")], [F.floor(F.col("id") / 5)], "n")
+    assert windows._ORDER not in plan(numbered)
+    assert sorted(r["n"] for r in numbered.where("k = 0").collect()) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_web_lines_meet_the_home_store_with_their_head_and_are_measured_after_the_joins(spark):
+    lines = spark.createDataFrame(
+        [("o1", 1, "p", 2, 10.0, 0.1, 18.0), ("o1", 2, "p", 1, 5.0, 0.0, 5.0), ("o2", 1, "q", 1, 3.0, 0.5, 1.5), ("none", 1, "p", 1, 1.0, 0.0, 1.0)],
+        "order_id string, line_number int, product_id string, quantity int, unit_price_kes double, discount_rate double, line_total_kes double",
+    )
+    heads = spark.sql(
+        "select * from values ('o1', 'c1', date'2020-01-05', '10:00:00', 'x', '1', 'Card', 'Delivered'),"
+        " ('o2', null, date'2020-02-05', '10:00:00', 'x', '1', 'Card', 'Delivered')"
+        " as t(order_id, customer_id, order_date, order_time, delivery_address, delivery_fee, payment_method, order_status)"
+    )
+    homes = spark.sql("select 'c1' as customer_id, 's9' as primary_store_id, 'x' as home_county")
+    dim = spark.sql("select 'p' as product_id, 1 as product_sk, 'sup' as supplier_id, 2.0D as unit_cost_kes, date'2019-01-01' as valid_from, date'2021-01-01' as valid_to")
+    periods = by_month(disjoint_periods(dim, "product_id", "product_sk", ["product_sk", "supplier_id", "unit_cost_kes"]), "product_id")
+    sold = gold.fact_ecommerce_sales(lines, heads, periods, homes)
+    joins = re.findall(r"Join LeftOuter, .*", plan(sold))
+    assert len(joins) == 3 and "_pk" in joins[0] and "order_id" in joins[1] and "customer_id" in joins[2]
+    got = {(r["transaction_id"], r["line_number"]): (r["store_id"], r["supplier_id"], r["discount_amount_kes"], r["unit_price_after_discount_kes"]) for r in sold.collect()}
+    assert got == {("o1", 1): ("s9", "sup", 2.0, 9.0), ("o1", 2): ("s9", "sup", 0.0, 5.0), ("o2", 1): (None, None, 1.5, 1.5), ("none", 1): (None, None, 0.0, 1.0)}
+
+
 def test_gated_rows_are_not_sorted_before_they_are_written(spark, tmp_path, monkeypatch):
     seen, publish = [], sinks._publish
     name = "spark.sql.maxConcurrentOutputFileWriters"
