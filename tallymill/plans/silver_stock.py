@@ -208,6 +208,18 @@ def purchase_orders(raw: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def purchase_line_parts(po: Column, line: Column, qty: Column, total: Column) -> dict[str, Column]:
+    """What follows from a purchase line's number, quantity and total, whatever the signs of these."""
+    return {
+        "po_line_key": clean.join_key(po, line),
+        "calculated_unit_price": F.abs(money.unit_price(total, qty)),
+        "landed_cost_kes": F.abs(money.landed_cost(total)),
+        "estimated_vat_kes": F.abs(money.vat(total)),
+        "po_prefix": F.left(po, F.lit(2)),
+        "po_sequence_number": clean.as_int(F.right(po, F.lit(8))),
+    }
+
+
 def purchase_order_lines(raw: DataFrame) -> DataFrame:
     po, qty = F.col("po_number"), F.col("_qty")
     price, total = F.col("_price"), F.col("_total")
@@ -224,19 +236,16 @@ def purchase_order_lines(raw: DataFrame) -> DataFrame:
             (F.col("line_total"), money.amount(clean.as_float(F.col("line_total")))),
         ).alias("_unread"),
     )
+    parts = purchase_line_parts(po, F.col("line_number"), qty, total)
     return typed.select(
-        clean.join_key(po, F.col("line_number")).alias("po_line_key"),
+        parts.pop("po_line_key").alias("po_line_key"),
         "po_number",
         "line_number",
         "product_id",
         F.abs(qty.cast("bigint")).alias("quantity_ordered"),
         F.abs(F.round(price, 2)).alias("unit_price_kes"),
         F.abs(total).alias("line_total_kes"),
-        F.abs(money.unit_price(total, qty)).alias("calculated_unit_price"),
-        F.abs(money.landed_cost(total)).alias("landed_cost_kes"),
-        F.abs(money.vat(total)).alias("estimated_vat_kes"),
-        F.left(po, F.lit(2)).alias("po_prefix"),
-        clean.as_int(F.right(po, F.lit(8))).alias("po_sequence_number"),
+        *[c.alias(name) for name, c in parts.items()],
         clean.first_failing(
             [
                 (clean.UNREADABLE, F.col("_unread")),

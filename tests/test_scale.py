@@ -62,6 +62,12 @@ def test_web_lines_meet_the_home_store_with_their_head_and_are_measured_after_th
     assert got == {("o1", 1): ("s9", "sup", 2.0, 9.0), ("o1", 2): ("s9", "sup", 0.0, 5.0), ("o2", 1): (None, None, 1.5, 1.5), ("none", 1): (None, None, 0.0, 1.0)}
 
 
+def test_purchase_lines_shuffle_no_column_that_follows_from_others(spark):
+    lake = Lake(spark, SF)
+    shuffles = re.findall(r"Join LeftOuter.*?Join LeftOuter", plan(lake.gold("fact_procurement")), re.S)
+    assert shuffles and not any("landed_cost_kes" in s for s in shuffles)
+
+
 def test_gated_rows_are_not_sorted_before_they_are_written(spark, tmp_path, monkeypatch):
     seen, publish = [], sinks._publish
     name = "spark.sql.maxConcurrentOutputFileWriters"
