@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallymill.functions import clean, compat, money
 from tallymill.operators.repair import shift_gift_card, unpack_order
+from tallymill.operators.settle import settled
 from tallymill.operators.windows import row_numbers
 from tallymill.plans import vocab as v
 
@@ -36,7 +37,7 @@ def pos_line_items(raw: DataFrame) -> DataFrame:
     amount = F.when(has_campaign, compat.text_after(total, ",")).otherwise(total)
     amount = F.trim(F.replace(amount, F.lit(","), F.lit("")))
     qty, price, rate = F.col("quantity"), F.col("unit_price"), F.col("discount_rate")
-    base = raw.where(clean.present(F.col("transaction_id")) & F.col("product_id").isNotNull()).select(
+    base = settled(raw).where(clean.present(F.col("transaction_id")) & F.col("product_id").isNotNull()).select(
         clean.no_blanks(F.col("transaction_id")).alias("transaction_id"),
         clean.as_int(F.col("line_number")).alias("line_number"),
         clean.strip_dup(F.col("product_id")).alias("product_id"),
@@ -57,7 +58,7 @@ def pos_line_items(raw: DataFrame) -> DataFrame:
     off_by = F.abs(
         F.col("calculated_line_total").try_cast("decimal(20,4)") - F.col("line_total").try_cast("decimal(20,4)")
     )
-    return (
+    return settled(
         base.withColumns(
             {
                 "calculated_line_total": money.line_total(q, p, d),
@@ -89,7 +90,7 @@ def pos_line_items(raw: DataFrame) -> DataFrame:
 def pos_transaction_heads(raw: DataFrame, as_of: date) -> DataFrame:
     """Till receipts, typed and flagged."""
     customer, stamp = F.col("customer_id"), F.left(F.col("transaction_date"), F.lit(10))
-    base = raw.where(F.col("transaction_id").isNotNull()).select(
+    base = settled(raw).where(F.col("transaction_id").isNotNull()).select(
         clean.no_blanks(F.col("transaction_id")).alias("transaction_id"),
         clean.strip_dup(F.col("store_id")).alias("store_id"),
         F.coalesce(clean.strip_dup(customer), F.lit(v.WALK_IN)).alias("customer_id"),
@@ -129,7 +130,7 @@ def pos_transaction_heads(raw: DataFrame, as_of: date) -> DataFrame:
             ),
         }
     )
-    return typed.drop("_method", "_unread", "total_amount")
+    return settled(typed.drop("_method", "_unread", "total_amount"))
 
 
 def pos_transactions(raw: DataFrame, line_items: DataFrame, as_of: date) -> DataFrame:

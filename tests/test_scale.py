@@ -7,9 +7,11 @@ import re
 from conftest import SF, rows
 from pyspark.sql import functions as F
 
-from tallymill.operators import rescue, windows
-from tallymill.plans import gold
-from tallymill.plans.lake import Lake
+from tallymill.operators import rescue, settle, windows
+from tallymill.plans import derive, gold
+from tallymill.plans import silver_sales as sales
+from tallymill.plans.lake import AS_OF, Lake
+from tallymill.plans.tables import SILVER
 from tallymill.operators.versions import by_month, disjoint_periods
 from tallymill.sources import sinks
 
@@ -35,6 +37,51 @@ def test_fields_are_tested_without_building_the_map_of_texts(spark):
     assert lost == {(("n", "abc"), ("x", "NaN")), (("d", "31/12/2023"),), (("n", "1e13"), ("x", " nan "))}
 
 
+def longest_method(df):
+    """Bytes of the longest method generated for a plan; beyond 8,000 the JVM interprets it."""
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.length()))
+
+
+def test_a_settled_column_is_made_below_the_filter(spark, tmp_path):
+    spark.range(6).write.parquet(str(tmp_path / "ids"))
+    made = spark.read.parquet(str(tmp_path / "ids")).withColumn("text", F.concat(F.lit("x"), F.col("id").cast("string")))
+    kept = settle.settled(made).where(F.col("text").isin("x1", "x4"))
+    assert plan(kept).count("concat") == 1 < plan(made.where(F.col("text").isin("x1", "x4"))).count("concat")
+    assert rows(kept) == rows(made.where("id in (1, 4)")) and kept.columns == made.columns
+
+
+def sold(spark, tmp_path):
+    """Lines and orders of their own, as the raw tables are derived from them."""
+    spark.sql(
+        "select id div 4 as l_orderkey, id * 7 % 300 as l_partkey, id % 40 as l_suppkey, cast(id % 4 + 1 as int) as l_linenumber,"
+        " cast(id % 50 + 1 as double) as l_quantity, id * 13.25D + 1 as l_extendedprice, id % 11 / 100D as l_discount, 0.02D as l_tax,"
+        " 'R' as l_returnflag, 'F' as l_linestatus, timestamp'1995-03-04' as l_shipdate from range(2000)"
+    ).write.parquet(str(tmp_path / "lineitem"))
+    spark.sql(
+        "select id as o_orderkey, id % 90 as o_custkey, 'F' as o_orderstatus, id * 3.5D as o_totalprice,"
+        " timestamp'1995-02-03' as o_orderdate, '1-URGENT' as o_orderpriority from range(500)"
+    ).write.parquet(str(tmp_path / "orders"))
+    return lambda name: derive.raw(spark, lambda t: spark.read.parquet(str(tmp_path / t)), name)
+
+
+def test_the_gate_of_till_lines_and_receipts_leaves_code_that_the_jvm_compiles(spark, tmp_path):
+    raw = sold(spark, tmp_path)
+    lines = SILVER["pos_line_items"].make(AS_OF, raw("pos_line_items_raw"))
+    kept = lines.where(SILVER["pos_line_items"].keep())
+    narrow = kept.select("transaction_id", "line_number", "product_id", "quantity", "unit_price_kes", "discount_rate", "line_total", "campaign_id")
+    assert longest_method(narrow) < 8_000
+    flags = {r["quality_flag"] for r in lines.collect()}
+    assert {"Valid", "Unreadable value", "Invalid quantity", "Line total mismatch"} <= flags
+    assert rows(kept) == [r for r in rows(lines) if "Valid" in r] and 0 < kept.count() < lines.count()
+
+    heads = SILVER["pos_transactions"].keep
+    receipts = sales.pos_transaction_heads(raw("pos_transactions_raw"), AS_OF).where(heads())
+    columns = ("transaction_id", "store_id", "customer_id", "cashier_id", "payment_method", "transaction_date", "transaction_time")
+    assert longest_method(receipts.select(*columns)) < 8_000
+    assert 0 < receipts.count() < 500
+
+
 def test_row_numbers_shuffle_each_column_once(spark):
     df = spark.range(20).select((F.col("id") % 3).alias("k"), "id", F.lit("text").alias("t"))
     numbered = windows.row_numbers(df, ["k"], [F.col("id"), F.col("t")], [F.floor(F.col("id") / 5)], "n")
