@@ -164,7 +164,7 @@ def ecommerce_order_lines(raw: DataFrame) -> DataFrame:
     order = F.col("order_id")
     qty, price = F.col("quantity"), F.col("unit_price")
     rate, total = F.col("discount_rate"), F.col("line_total")
-    base = raw.where(order.isNotNull() & F.col("product_id").isNotNull()).select(
+    base = settled(raw).where(order.isNotNull() & F.col("product_id").isNotNull()).select(
         "order_id",
         clean.as_int(F.col("line_number")).alias("line_number"),
         clean.strip_dup(F.col("product_id")).alias("product_id"),
@@ -180,17 +180,19 @@ def ecommerce_order_lines(raw: DataFrame) -> DataFrame:
         ).alias("_unread"),
     )
     q, p, d = F.col("quantity"), F.col("unit_price_kes"), F.col("discount_rate")
-    return base.withColumns(
-        {
-            "calculated_line_total": money.line_total(q, p, d),
-            "discount_amount_kes": money.line_discount(q, p, d),
-            "unit_price_after_discount_kes": money.net_price(p, d),
-            "discount_tier": clean.band(d, v.DISCOUNT_TIERS),
-            "order_prefix": F.left(order, F.lit(4)),
-            "order_sequence_number": clean.as_int(F.right(order, F.lit(8))),
-            "quality_flag": clean.first_failing(_line_rules("line_total_kes", [])),
-        }
-    ).drop("_unread")
+    return settled(
+        base.withColumns(
+            {
+                "calculated_line_total": money.line_total(q, p, d),
+                "discount_amount_kes": money.line_discount(q, p, d),
+                "unit_price_after_discount_kes": money.net_price(p, d),
+                "discount_tier": clean.band(d, v.DISCOUNT_TIERS),
+                "order_prefix": F.left(order, F.lit(4)),
+                "order_sequence_number": clean.as_int(F.right(order, F.lit(8))),
+                "quality_flag": clean.first_failing(_line_rules("line_total_kes", [])),
+            }
+        ).drop("_unread")
+    )
 
 
 def returns(raw: DataFrame) -> DataFrame:

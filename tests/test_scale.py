@@ -82,6 +82,16 @@ def test_the_gate_of_till_lines_and_receipts_leaves_code_that_the_jvm_compiles(s
     assert 0 < receipts.count() < 500
 
 
+def test_the_gate_of_web_lines_leaves_code_that_the_jvm_compiles(spark, tmp_path):
+    lines = SILVER["ecommerce_order_lines"].make(AS_OF, sold(spark, tmp_path)("ecommerce_order_lines_raw"))
+    kept = lines.where(SILVER["ecommerce_order_lines"].keep())
+    narrow = kept.select("order_id", "line_number", "product_id", "quantity", "unit_price_kes", "discount_rate", "line_total_kes")
+    assert longest_method(narrow) < 8_000
+    flags = {r["quality_flag"] for r in lines.collect()}
+    assert {"Valid", "Unreadable value", "Invalid quantity", "Invalid line total"} <= flags
+    assert rows(kept) == [r for r in rows(lines) if "Valid" in r] and 0 < kept.count() < lines.count()
+
+
 def test_row_numbers_shuffle_each_column_once(spark):
     df = spark.range(20).select((F.col("id") % 3).alias("k"), "id", F.lit("text").alias("t"))
     numbered = windows.row_numbers(df, ["k"], [F.col("id"), F.col("t")], [F.floor(F.col("id") / 5)], "n")
