@@ -7,7 +7,7 @@ import re
 from conftest import SF, rows
 from pyspark.sql import functions as F
 
-from tallymill.operators import rescue, settle, windows
+from tallymill.operators import keys, rescue, settle, windows
 from tallymill.plans import derive, gold
 from tallymill.plans import silver_sales as sales
 from tallymill.plans.lake import AS_OF, Lake
@@ -92,6 +92,26 @@ def test_the_gate_of_web_lines_leaves_code_that_the_jvm_compiles(spark, tmp_path
     assert rows(kept) == [r for r in rows(lines) if "Valid" in r] and 0 < kept.count() < lines.count()
 
 
+def test_web_facts_are_not_sorted_before_they_are_dealt_out_by_their_key(spark, monkeypatch):
+    lines = spark.createDataFrame(
+        [(7, "o2", 1, "p"), (3, "o1", 2, "q"), (4, "o1", 2, "q"), (9, "o1", 1, "p"), (8, "none", 1, "p")],
+        "order_line_key bigint, order_id string, line_number int, product_id string",
+    ).withColumns({c: F.lit(1.0) for c in ("unit_price_kes", "discount_rate", "line_total_kes")} | {"quantity": F.lit(1)})
+    heads = spark.sql(
+        "select *, 'c' as customer_id, '10:00:00' as order_time, 'x' as delivery_address, '1' as delivery_fee, 'Card' as payment_method,"
+        " 'Delivered' as order_status from values ('o1', date'2020-01-05'), ('o2', date'2020-01-04') as t(order_id, order_date)"
+    )
+    homes = spark.sql("select 'c' as customer_id, 's9' as primary_store_id, 'x' as home_county")
+    dim = spark.sql("select 'p' as product_id, 1 as product_sk, 'sup' as supplier_id, 2.0D as unit_cost_kes, date'2019-01-01' as valid_from, date'2021-01-01' as valid_to")
+    periods = by_month(disjoint_periods(dim, "product_id", "product_sk", ["product_sk", "supplier_id", "unit_cost_kes"]), "product_id")
+    plans, write = [], keys.materialise
+    monkeypatch.setattr(keys, "materialise", lambda df, label: plans.append(plan(df)) or write(df, label))
+    facts = gold.ecommerce_fact_sales(lines, heads, periods, homes)
+    assert [len(re.findall(r"\bSort ", p)) for p in plans] == [1]
+    got = [tuple(r) for r in facts.orderBy("order_line_key").select("order_line_key", "order_id", "line_number", "supplier_id").collect()]
+    assert got == [(1, "none", 1, None), (2, "o2", 1, "sup"), (3, "o1", 1, "sup"), (4, "o1", 2, None), (5, "o1", 2, None)]
+
+
 def test_row_numbers_shuffle_each_column_once(spark):
     df = spark.range(20).select((F.col("id") % 3).alias("k"), "id", F.lit("text").alias("t"))
     numbered = windows.row_numbers(df, ["k"], [F.col("id"), F.col("t")], [F.floor(F.col("id") / 5)], "n")
